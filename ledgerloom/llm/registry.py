@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_automaton, bpe_count
+from . import bpe_automaton, bpe_count, langid, mixing
 from .durable import read
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,12 +22,61 @@ def op7_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), BPE_FILE, limit=1024)
 
 
+def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.queue(read(spark, sf_dir, "documents")))
+
+
+OP9_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+           md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+    FROM documents
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), weighed AS (
+    SELECT source, source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS nth FROM sizes
+), caps AS (
+    SELECT *, (nth - 1) % 3 + 1 AS weight, 3 * source_size AS cap, CAST(3 * source_size AS DOUBLE) / ((nth - 1) % 3 + 1) AS full_at FROM weighed
+), shares AS (
+    SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY full_at, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_left,
+           sum(weight) OVER (ORDER BY full_at, nth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights_left
+    FROM caps
+), level AS (
+    SELECT words_left, weights_left FROM shares WHERE NOT words_left * weight > cap * weights_left ORDER BY full_at, nth LIMIT 1
+), targets AS (
+    SELECT s.source, s.source_size,
+           CASE WHEN s.words_left * s.weight > s.cap * s.weights_left THEN CAST(s.cap AS DOUBLE)
+                ELSE CAST(l.words_left AS DOUBLE) * s.weight / CAST(l.weights_left AS DOUBLE) END AS target
+    FROM shares s LEFT JOIN level l ON true
+), queued AS (
+    SELECT d.doc_id, d.size, t.source_size, t.target,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS queued
+    FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(greatest(0, least(size, floor(target) - queued))
+          + greatest(0, least(size, floor(target) - (source_size + queued)))
+          + greatest(0, least(size, floor(target) - (2 * source_size + queued))) AS BIGINT) AS taken
+FROM queued
+"""
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    predicted = langid.predict(docs, langid.fit(docs))
+    return predicted.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_bpe_automaton": op4_bpe_automaton,
         "op7_bpe_count": op7_bpe_count,
+        "op9_fair_mix": op9_fair_mix,
+        "op10_langid": op10_langid,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_fair_mix": OP9_SQL,
+    }
