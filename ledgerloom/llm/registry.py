@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, bpe_count, langid, mixing
+from . import bpe_automaton, bpe_count, langid, mixing, toxicity
 from .durable import read
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(read(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -69,6 +75,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op4_bpe_automaton": op4_bpe_automaton,
         "op7_bpe_count": op7_bpe_count,
         "op9_fair_mix": op9_fair_mix,
