@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, bpe_count, langid, mixing, toxicity
+from . import bpe_automaton, bpe_count, jaccard_join, langid, mixing, toxicity
 from .durable import read
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,10 @@ def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(read(spark, sf_dir, "documents"), BPE_FILE)
 
 
+def op5_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), BPE_FILE, limit=1024)
 
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity": op2_toxicity,
         "op4_bpe_automaton": op4_bpe_automaton,
+        "op5_jaccard_classes": op5_jaccard_classes,
         "op7_bpe_count": op7_bpe_count,
         "op9_fair_mix": op9_fair_mix,
         "op10_langid": op10_langid,
