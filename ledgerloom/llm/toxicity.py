@@ -306,7 +306,9 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
         return constant
     drawn = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("id").cast("string")), F.lit(1_000_000)) / 1e6
     marks = marks.filter(drawn < F.when(F.col("toxic") == 1, F.lit(toxic_rows / n1)).otherwise(F.lit(clean_rows / n0)))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(marks, "id").select("toxic", "text")
+    # The marks drawn are bounded by the sample's size, so texts needn't move to meet them.
+    marks = cut(marks.filter("id IS NOT NULL"))
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marks), "id").select("toxic", "text")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
