@@ -8,18 +8,55 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_automaton, bpe_count, jaccard_join, langid, mixing, toxicity
+from . import bm25, bpe_automaton, bpe_count, chat_repair, jaccard_join, langid, mixing, multi_index, toxicity, url_trust
 from .durable import read
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_trust.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
     return scored.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = read(spark, sf_dir, "benchmark").filter("item_id % 20 = 0")
+    return bm25.search(read(spark, sf_dir, "documents"), queries, k=10)
+
+
+OP3_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words FROM documents
+), queries AS (
+    SELECT item_id AS query_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark WHERE item_id % 20 = 0
+), asked AS (
+    SELECT query_id, term, count(*) AS times FROM queries GROUP BY ALL
+), totals AS (
+    SELECT count(*) AS documents, CAST(sum(len(words)) AS DOUBLE) / count(*) AS average FROM docs
+), held AS (
+    SELECT doc_id, len(words) AS length, unnest(words) AS term FROM docs
+), postings AS (
+    SELECT doc_id, length, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), holding AS (
+    SELECT term, count(*) AS df FROM postings GROUP BY term
+), scored AS (
+    SELECT query_id, doc_id, round(sum(times * ln(1 + (documents - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / average)))), 6) AS score
+    FROM asked JOIN postings USING (term) JOIN holding USING (term), totals GROUP BY query_id, doc_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.round_trip(read(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -28,10 +65,18 @@ def op5_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(read(spark, sf_dir, "documents"))
 
 
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0, k=20)
+
+
 def op7_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(read(spark, sf_dir, "documents"), BPE_FILE, limit=1024)
 
 
+def op8_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(read(spark, sf_dir, "conversations"))
+
+
 def op9_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.queue(read(spark, sf_dir, "documents")))
 
@@ -79,10 +124,14 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_trust": op1_url_trust,
         "op2_toxicity": op2_toxicity,
+        "op3_bm25": op3_bm25,
         "op4_bpe_automaton": op4_bpe_automaton,
         "op5_jaccard_classes": op5_jaccard_classes,
+        "op6_multi_index": op6_multi_index,
         "op7_bpe_count": op7_bpe_count,
+        "op8_chat_repair": op8_chat_repair,
         "op9_fair_mix": op9_fair_mix,
         "op10_langid": op10_langid,
     }
@@ -90,5 +139,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_bm25": OP3_SQL,
         "op9_fair_mix": OP9_SQL,
     }
