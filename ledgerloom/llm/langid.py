@@ -172,13 +172,29 @@ def fit(docs: DataFrame, rows_a_language: int = ROWS_A_LANGUAGE, id_col: str = "
     return model
 
 
-def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred and score of every row: one scan, no shuffle.
+def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with lang_pred and lang_score (in place of columns of those names): one scan, no shuffle.
 
     The model that is broadcast has a fixed number of places for each language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.drop("lang_pred", "lang_score")
+    at = rows.columns.index(text_col)
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            made = [own.predict(t.as_py()) for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred and score of every row."""
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

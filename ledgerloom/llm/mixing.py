@@ -25,6 +25,8 @@ from .durable import cut
 #: Rows of all sources that share a bucket, on average.
 ROWS_A_BUCKET = 256
 _SLOTS = 65536
+#: Sources whose cuts are broadcast; more are joined by shuffling.
+MOST_BROADCAST = 10_000
 #: Times that a source, and so a document, can be gone through.
 MOST_PASSES = 3
 
@@ -64,12 +66,17 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def shuffle_key(seed: int, id_col: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
 def queue(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row a document: id, source, size, source_size, target, queued.
+    """One row a document: id, source, size, source_size, target, queued, and key, same, same_queued.
 
-    queued: the words of its source ahead of it in the shuffled order.
+    queued: the words of its source ahead of it in the shuffled order; same: how many rows
+    of the source have its key and size; same_queued: the words ahead of the first of them.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    key = shuffle_key(seed, id_col)
     sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")))
     buckets = min(_SLOTS, max(1, sized.count() // ROWS_A_BUCKET))
     slot = F.conv(F.substring("key", 1, 4), 16, 10).cast("long")
@@ -81,11 +88,12 @@ def queue(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str
     offsets = sums.withColumn("offset", F.coalesce(F.sum("words").over(ahead), F.lit(0))).alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.source", "bucket", "offset", "source_size", "target")
 
     within = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = sized.withColumn("earlier", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    alike = Window.partitionBy("source", "bucket", "key", "size")
+    ranked = sized.withColumn("earlier", F.coalesce(F.sum("size").over(within), F.lit(0))).withColumn("same", F.count("*").over(alike)).withColumn("same_earlier", F.min("earlier").over(alike))
     return (
         ranked.alias("r")
         .join(offsets.alias("f"), (F.col("r.bucket") == F.col("f.bucket")) & F.col("r.source").eqNullSafe(F.col("f.source")))
-        .select(F.col("id").alias(id_col), F.col("r.source").alias("source"), "size", "source_size", "target", (F.col("offset") + F.col("earlier")).alias("queued"))
+        .select(F.col("id").alias(id_col), F.col("r.source").alias("source"), "size", "source_size", "target", (F.col("offset") + F.col("earlier")).alias("queued"), "key", "same", (F.col("offset") + F.col("same_earlier")).alias("same_queued"))
     )
 
 
@@ -115,3 +123,36 @@ def taken(queued: DataFrame, id_col: str = "doc_id") -> DataFrame:
         .sortWithinPartitions("virtual_finish", id_col)
         .select(id_col, "size", "source_size", "target", "taken")
     )
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1), F.lit(1), n.cast("int")), "")
+
+
+def draw(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` as the mix takes them: a row for each copy; a cut copy keeps the words served.
+
+    In the shuffled order a source is gone through some times wholly and then up to one
+    document, so a row for each source says what is taken of any document: texts needn't
+    move.  Of repeated rows at the cut each keeps an equal share.  A column n_chars, where
+    there is one, follows the text.
+    """
+    budget = F.floor("target")
+    cuts = (
+        queue(docs, seed, id_col, text_col, source_col)
+        .filter("source_size > 0")
+        .withColumn("passes", F.floor(budget / F.col("source_size")))
+        .withColumn("rest", budget - F.col("passes") * F.col("source_size"))
+        .filter("queued <= rest AND rest < queued + size")
+        .select(F.col("source").alias("cut_source"), "passes", F.struct("key", "size").alias("cut_at"), F.floor((F.col("rest") - F.col("same_queued")) / F.col("same")).alias("cut_words"))
+    )
+    cuts = cut(cuts)
+    rows = docs.withColumn("mix_size", word_count(F.col(text_col))).withColumn("mix_at", F.struct(shuffle_key(seed, id_col).alias("key"), F.col("mix_size").alias("size")))
+    met = rows.join(F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST else cuts, F.col(source_col).cast("string").eqNullSafe(F.col("cut_source")))
+    extra = F.when(F.col("mix_at") < F.col("cut_at"), F.col("mix_size")).when(F.col("mix_at") == F.col("cut_at"), F.col("cut_words")).otherwise(F.lit(0))
+    copies = F.filter(F.concat(F.array_repeat("mix_size", F.col("passes").cast("int")), F.array(extra.cast("long"))), lambda n: n > 0)
+    taken_rows = met.withColumn("mix_words", F.explode(copies)).withColumn(text_col, F.when(F.col("mix_words") < F.col("mix_size"), first_words(F.col(text_col), F.col("mix_words"))).otherwise(F.col(text_col)))
+    if "n_chars" in docs.columns:
+        taken_rows = taken_rows.withColumn("n_chars", F.when(F.col("mix_words") < F.col("mix_size"), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return taken_rows.select(docs.columns)

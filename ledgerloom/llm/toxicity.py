@@ -359,3 +359,19 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     z = F.lit(model.slope) * F.col("decision") + F.lit(model.offset)
     return _decide(rows, model, id_col).select(id_col, (1 / (1 + F.exp(-z))).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def annotate(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with toxic_score and toxic_predicted (in place of columns of those names): one scan, no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.drop("toxic_score", "toxic_predicted")
+    at = rows.columns.index(text_col)
+    schema = T.StructType([*rows.schema.fields, T.StructField("toxic_score", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = shared.value, {}
+        for batch in batches:
+            made = [own.probability(d) for d in own.scores((t.as_py() for t in batch.column(at)), known)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.float64())], names=schema.names)
+
+    return rows.mapInArrow(run, schema).withColumn("toxic_predicted", (F.col("toxic_score") >= 0.5).cast("int"))
