@@ -11,10 +11,12 @@ linked when 100 * intersection >= 75 * union; the result is exact.
   m, as a candidate must be brought up m times.  A pair must share as many prefix n-grams
   as the smaller m of both.
 * Copies (equal sets) are one node.  Prefix n-grams of one node only are dropped.
-* Each node is first compared with the node that shares most around each of its n-grams;
-  what links forms stars, and stars components.  Only pairs of components that still share
-  enough prefix n-grams are compared, member by member, in blocks of bounded size, so that
-  neither a large group of near copies nor a common n-gram makes pairs of its members.
+* A prefix n-gram counts for a pair only if what both sets have left from it on can still
+  make up the overlap that their sizes ask for.
+* Each node is first compared with the node that shares most around its n-grams; what links
+  forms stars, and stars components.  Only pairs of components that still share enough
+  prefix n-grams are compared, member by member, in blocks of bounded size, so that neither
+  a large group of near copies nor a common n-gram makes pairs of its members.
 
 Texts without words have an empty set, linked with nothing.  Rows without an id link with
 nothing and have no component.  Repeated rows are copies; columns other than the id and
@@ -158,32 +160,45 @@ def choose_prefix(grams: np.ndarray, counts: np.ndarray, noise: float, rule: Rul
     return grams[order[: rule.prefix(n, best)]], best
 
 
-def sketch(docs: DataFrame, rule: Rule) -> np.ndarray:
-    """How many of all documents' n-grams fall into each cell; of fixed size."""
+def first_scan(docs: DataFrame, id_col: str, rule: Rule) -> DataFrame:
+    """id, node (hash of the set; null without n-grams) and n_shingles of every row; and each task's sketch, in pieces."""
+    schema = T.StructType([T.StructField(id_col, docs.schema[0].dataType), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("places", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, kind = np.zeros(CELLS, np.int64), None
         for batch in batches:
-            held = [_cell(ngrams(t.as_py(), rule.words)) for t in batch.column(1)]
-            if held:
-                cells += np.bincount(np.concatenate(held), minlength=CELLS)
+            found, kind = [ngrams(t.as_py(), rule.words) for t in batch.column(1)], batch.column(0).type
+            n = len(found)
+            if n:
+                cells += np.bincount(_cell(np.concatenate(found)), minlength=CELLS)
+            nodes = [set_hash(g) if len(g) else None for g in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array([len(g) for g in found], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=schema.names)
         for piece in range(0, CELLS, PIECE):
             part = cells[piece : piece + PIECE]
             at = np.flatnonzero(part)
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array([piece // PIECE], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([part[at].astype(np.int64).tobytes() if part.max() >= 1 << 16 else part[at].astype(np.uint16).tobytes()], pa.binary())], names=["piece", "places", "n"])
+                dense = len(at) > PIECE // 2
+                width = np.uint16 if part.max() < 1 << 16 else np.int64
+                places, counts = (b"", part) if dense else (at.astype(np.uint16).tobytes(), part[at])
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece // PIECE], pa.int32()), pa.array([places], pa.binary()), pa.array([counts.astype(width).tobytes()], pa.binary())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def sketch(scanned: DataFrame) -> np.ndarray:
+    """How many of all documents' n-grams fall into each cell; of fixed size."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for piece, places, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.frombuffer(places, np.uint16)
-                own = sums.setdefault(piece, np.zeros(PIECE, np.int64))
-                own[at] += np.frombuffer(n, np.int64 if len(n) == 8 * len(at) else np.uint16).astype(np.int64)
+            for piece, places, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.frombuffer(places, np.uint16) if places else slice(None)
+                size = len(places) // 2 or PIECE
+                sums.setdefault(piece, np.zeros(PIECE, np.int64))[at] += np.frombuffer(counts, np.int64 if len(counts) == 8 * size else np.uint16).astype(np.int64)
         for piece, own in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([np.minimum(own, (1 << 31) - 1).astype(np.int32).tobytes()], pa.binary())], names=["piece", "n"])
 
-    parts = docs.mapInArrow(count, "piece int, places binary, n binary").repartition("piece").mapInArrow(add, "piece int, n binary").collect()
+    parts = scanned.filter("piece IS NOT NULL").select("piece", "places", "counts").repartition("piece").mapInArrow(add, "piece int, n binary").collect()
     cells = np.zeros(CELLS, np.int32)
     for r in parts:
         cells[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(r["n"], np.int32)
@@ -191,7 +206,9 @@ def sketch(docs: DataFrame, rule: Rule) -> np.ndarray:
 
 
 def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame:
-    """gram, node, need (matches asked for) and n (set size) of prefix n-grams of several nodes.
+    """gram, node, need (matches asked for), n (set size) and rest of prefix n-grams of several nodes.
+
+    rest: how many of the set's n-grams there are from this one on, in the common order.
 
     The rows of a task go to buckets of n-grams as packed arrays; n-grams that the sketch
     finds in very many documents don't meet in a bucket but pass as they are.
@@ -204,6 +221,7 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
     def packed(grams: list[np.ndarray], nodes: list[int], needs: list[int], sizes: list[int], heavy_bucket: int) -> Iterator[pa.RecordBatch]:
         all_grams = np.concatenate(grams)
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        place = np.concatenate([np.minimum(np.arange(len(g)), 65535) for g in grams]).astype(np.uint16)
         bucket = (all_grams % _U(buckets)).astype(np.int64)
         bucket[shared.value[_cell(all_grams)] > HEAVY] = heavy_bucket
         order = np.argsort(bucket, kind="stable")
@@ -212,10 +230,10 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             rows = order[a:b]
             who, length = np.unique(owner[rows], return_counts=True)
-            columns = [all_grams[rows], node[who], need[who], size[who], length.astype(np.uint32)]
+            columns = [all_grams[rows], place[rows], node[who], need[who], size[who], length.astype(np.uint32)]
             yield pa.RecordBatch.from_arrays([pa.array([bucket[rows[0]]], pa.int64()), *(pa.array([c.tobytes()], pa.binary()) for c in columns)], names=names)
 
-    names = ["bucket", "grams", "nodes", "needs", "sizes", "lengths"]
+    names = ["bucket", "grams", "places", "nodes", "needs", "sizes", "lengths"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, nodes, needs, sizes, held, done = [], [], [], [], 0, set()
@@ -241,11 +259,11 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
             yield from packed(grams, nodes, needs, sizes, -1 - abs(nodes[0]) % 1000)
 
     def unpacked(row: tuple) -> tuple[np.ndarray, ...]:
-        grams, nodes, needs, sizes, lengths = (np.frombuffer(x, t) for x, t in zip(row, (np.uint64, np.int64, np.uint8, np.uint32, np.uint32), strict=True))
-        return grams, *(np.repeat(x, lengths) for x in (nodes, needs, sizes))
+        grams, places, nodes, needs, sizes, lengths = (np.frombuffer(x, t) for x, t in zip(row, (np.uint64, np.uint16, np.int64, np.uint8, np.uint32, np.uint32), strict=True))
+        return grams, places, *(np.repeat(x, lengths) for x in (nodes, needs, sizes))
 
     def rows_of(parts: list[tuple], single: bool) -> Iterator[pa.RecordBatch]:
-        grams, nodes, needs, sizes = (np.concatenate(c) for c in zip(*map(unpacked, parts), strict=True))
+        grams, places, nodes, needs, sizes = (np.concatenate(c) for c in zip(*map(unpacked, parts), strict=True))
         order = np.lexsort((nodes, grams))
         g, v = grams[order], nodes[order]
         first = np.ones(len(g), bool)
@@ -257,12 +275,12 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
             order, g = order[many], g[many]
         for at in range(0, len(g), 100_000):
             part = order[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(g[at : at + 100_000].view(np.int64)), pa.array(nodes[part]), pa.array(needs[part].astype(np.int32)), pa.array(sizes[part].astype(np.int64))], names=["gram", "node", "need", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(g[at : at + 100_000].view(np.int64)), pa.array(nodes[part]), pa.array(needs[part].astype(np.int32)), pa.array(sizes[part].astype(np.int64)), pa.array(sizes[part].astype(np.int64) - places[part])], names=["gram", "node", "need", "n", "rest"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
         for batch in batches:
-            for now, *row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for now, *row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if now < 0:
                     yield from rows_of([tuple(row)], single=False)
                     continue
@@ -274,21 +292,8 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
         if parts:
             yield from rows_of(parts, single=True)
 
-    blobs = docs.mapInArrow(scan, "bucket long, grams binary, nodes binary, needs binary, sizes binary, lengths binary")
-    return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gram long, node long, need int, n long")
-
-
-def set_nodes(docs: DataFrame, id_col: str, rule: Rule) -> DataFrame:
-    """id, node (hash of the set; null without n-grams) and n_shingles of every row."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[0].dataType), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [ngrams(t.as_py(), rule.words) for t in batch.column(1)]
-            nodes = [set_hash(g) if len(g) else None for g in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array([len(g) for g in found], pa.int64())], names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+    blobs = docs.mapInArrow(scan, "bucket long, grams binary, places binary, nodes binary, needs binary, sizes binary, lengths binary")
+    return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gram long, node long, need int, n long, rest long")
 
 
 def packed_texts(docs: DataFrame, id_col: str) -> DataFrame:
@@ -351,18 +356,29 @@ def _part_of(node: str, parts: str):
     return F.pmod(F.xxhash64(F.col(node)), F.col(parts)).cast("int")
 
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """node, centre: up to three centres for each node, those met most often.
+def _possible(rule: Rule, need, one: str, other: str):
+    """Whether sets of such sizes, sharing no more than need - 1 n-grams before this one, can link.
+
+    The overlap that a link takes is above what both have left, and one is long enough for the other.
+    """
+    a, b = (lambda x: F.col(f"{one}.{x}")), (lambda x: F.col(f"{other}.{x}"))
+    enough = (F.lit(100 + rule.per_cent) * (need - 1 + F.least(a("rest"), b("rest")))) >= F.lit(rule.per_cent) * (a("least") + b("least"))
+    return enough & (a("most") * 100 >= b("least") * rule.per_cent) & (b("most") * 100 >= a("least") * rule.per_cent)
+
+
+def star_pairs(shared: DataFrame, rule: Rule) -> DataFrame:
+    """node, centre: for each node the centre that it meets most often.
 
     The centre of an n-gram is the node, among those with it, that has most shared prefix
     n-grams for its size: an unedited original rather than its edited copies.
     """
     rank = shared.groupBy("node").agg((F.count("*") / F.max("n")).alias("rank"))
-    ranked = shared.select("gram", "node").join(rank, "node")
-    centres = ranked.groupBy("gram").agg(F.max(F.struct("rank", "node")).alias("top")).select("gram", F.col("top.node").alias("centre"))
-    met = shared.select("gram", "node").join(centres, "gram").filter("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("met"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("met", "centre")), asc=False), 1, 3)
-    return met.groupBy("node").agg(best.alias("best")).select("node", F.explode("best.centre").alias("centre"))
+    sized = shared.join(rank, "node").select("gram", "node", "need", "rest", F.col("n").alias("least"), F.col("n").alias("most"), "rank")
+    tops = sized.groupBy("gram").agg(F.max(F.struct("rank", "node", "need", "rest", "least", "most")).alias("top")).select("gram", "top.*")
+    x, y = sized.alias("x"), tops.alias("y")
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") != F.col("y.node")) & _possible(rule, F.least("x.need", "y.need"), "x", "y"))
+    met = met.groupBy(F.col("x.node").alias("node"), F.col("y.node").alias("centre")).agg(F.count("*").alias("met"))
+    return met.groupBy("node").agg(F.max(F.struct("met", "centre")).alias("best")).select("node", "best.centre")
 
 
 def star_blocks(pairs: DataFrame) -> DataFrame:
@@ -375,12 +391,12 @@ def star_blocks(pairs: DataFrame) -> DataFrame:
 def component_pairs(shared: DataFrame, labels: DataFrame, compared: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of components (one, other) that share as many prefix n-grams as either asks for."""
     held = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    by_gram = held.groupBy("gram", "component").agg(F.min("need").alias("need"), F.min("n").alias("least"), F.max("n").alias("most"))
+    by_gram = held.groupBy("gram", "component").agg(F.min("need").alias("need"), F.max("need").alias("most_need"), F.max("rest").alias("rest"), F.min("n").alias("least"), F.max("n").alias("most"))
     many = by_gram.groupBy("gram").agg(F.count("*").alias("k")).filter("k > 1").select("gram")
     left = cut(by_gram.join(many, "gram", "left_semi"))
     one, other = left.alias("x"), left.alias("y")
-    near = (F.col("x.most") * 100 >= F.col("y.least") * rule.per_cent) & (F.col("y.most") * 100 >= F.col("x.least") * rule.per_cent)
-    met = one.join(other, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") < F.col("y.component")) & near)
+    possible = _possible(rule, F.least("x.most_need", "y.most_need"), "x", "y")
+    met = one.join(other, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") < F.col("y.component")) & possible)
     pairs = met.groupBy(F.col("x.component").alias("one"), F.col("y.component").alias("other")).agg(F.count("*").alias("met"), F.min(F.least("x.need", "y.need")).alias("need")).filter("met >= need")
     larger = labels.select("component").distinct()
     done = compared.select(F.least("node", "centre").alias("one"), F.greatest("node", "centre").alias("other")).distinct()
@@ -408,13 +424,14 @@ def classes(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", t
     rule = rule or Rule()
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     there = rows.filter(F.col(id_col).isNotNull())
-    shared = cut(shared_prefixes(there, sketch(there, rule), rule))
-    nodes = cut(set_nodes(rows, id_col, rule))
+    scanned = cut(first_scan(rows, id_col, rule))
+    nodes = scanned.filter("piece IS NULL").select(id_col, "node", "n_shingles")
+    shared = cut(shared_prefixes(there, sketch(scanned), rule))
 
     wanted = nodes.filter(F.col(id_col).isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias(id_col)).join(shared.select("node").distinct(), "node", "left_semi")
     texts = cut(packed_texts(there, id_col).join(wanted, id_col).select("node", "packed"))
 
-    compared = cut(star_pairs(shared))
+    compared = cut(star_pairs(shared, rule))
     stars = components(verify(star_blocks(compared), texts, rule))
     pairs = cut(component_pairs(shared, stars, compared, rule))
     links = verify(component_blocks(pairs, stars), texts, rule)
