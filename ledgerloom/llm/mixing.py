@@ -125,6 +125,14 @@ def taken(queued: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name that isn't taken."""
+    low = {c.lower() for c in taken}
+    while (name := f"_{name}").lower() in low:
+        pass
+    return name
+
+
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word."""
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1), F.lit(1), n.cast("int")), "")
@@ -139,20 +147,23 @@ def draw(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
     there is one, follows the text.
     """
     budget = F.floor("target")
+    mine = {n: fresh(n, docs.columns) for n in ("source", "cut", "size", "at", "words")}
     cuts = (
         queue(docs, seed, id_col, text_col, source_col)
         .filter("source_size > 0")
         .withColumn("passes", F.floor(budget / F.col("source_size")))
         .withColumn("rest", budget - F.col("passes") * F.col("source_size"))
         .filter("queued <= rest AND rest < queued + size")
-        .select(F.col("source").alias("cut_source"), "passes", F.struct("key", "size").alias("cut_at"), F.floor((F.col("rest") - F.col("same_queued")) / F.col("same")).alias("cut_words"))
+        .select(F.col("source").alias(mine["source"]), F.struct(F.col("passes").cast("int").alias("passes"), F.struct("key", "size").alias("at"), F.floor((F.col("rest") - F.col("same_queued")) / F.col("same")).alias("words")).alias(mine["cut"]))
+        .distinct()
     )
     cuts = cut(cuts)
-    rows = docs.withColumn("mix_size", word_count(F.col(text_col))).withColumn("mix_at", F.struct(shuffle_key(seed, id_col).alias("key"), F.col("mix_size").alias("size")))
-    met = rows.join(F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST else cuts, F.col(source_col).cast("string").eqNullSafe(F.col("cut_source")))
-    extra = F.when(F.col("mix_at") < F.col("cut_at"), F.col("mix_size")).when(F.col("mix_at") == F.col("cut_at"), F.col("cut_words")).otherwise(F.lit(0))
-    copies = F.filter(F.concat(F.array_repeat("mix_size", F.col("passes").cast("int")), F.array(extra.cast("long"))), lambda n: n > 0)
-    taken_rows = met.withColumn("mix_words", F.explode(copies)).withColumn(text_col, F.when(F.col("mix_words") < F.col("mix_size"), first_words(F.col(text_col), F.col("mix_words"))).otherwise(F.col(text_col)))
+    size, at, words, taken_by = (F.col(mine[n]) for n in ("size", "at", "words", "cut"))
+    rows = docs.withColumn(mine["size"], word_count(F.col(text_col))).withColumn(mine["at"], F.struct(shuffle_key(seed, id_col).alias("key"), size.alias("size")))
+    met = rows.join(F.broadcast(cuts) if cuts.count() <= MOST_BROADCAST else cuts, F.col(source_col).cast("string").eqNullSafe(F.col(mine["source"])))
+    extra = F.when(at < taken_by["at"], size).when(at == taken_by["at"], taken_by["words"]).otherwise(F.lit(0))
+    copies = F.filter(F.concat(F.array_repeat(size, taken_by["passes"]), F.array(extra.cast("long"))), lambda n: n > 0)
+    rows = met.withColumn(mine["words"], F.explode(copies)).withColumn(text_col, F.when(words < size, first_words(F.col(text_col), words)).otherwise(F.col(text_col)))
     if "n_chars" in docs.columns:
-        taken_rows = taken_rows.withColumn("n_chars", F.when(F.col("mix_words") < F.col("mix_size"), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return taken_rows.select(docs.columns)
+        rows = rows.withColumn("n_chars", F.when(words < size, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.select(docs.columns)

@@ -67,7 +67,8 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     scores = start.select("kind", "host", F.col("seed").alias("score"))
     if not flows.isEmpty():
         for done in range(1, rounds + 1):
-            moved = scores.join(flows, (scores.kind == flows.kind) & (scores.host == flows.src)).select(flows.kind, F.col("dst").alias("host"), (F.lit(damping) * F.col("score") * F.col("share")).alias("score"))
+            met = scores.alias("s").join(flows.alias("f"), (F.col("s.kind") == F.col("f.kind")) & (F.col("s.host") == F.col("f.src")))
+            moved = met.select(F.col("f.kind").alias("kind"), F.col("f.dst").alias("host"), (F.lit(damping) * F.col("s.score") * F.col("f.share")).alias("score"))
             after = moved.union(start.select("kind", "host", F.col("seed").alias("score"))).groupBy("kind", "host").agg(F.sum("score").alias("score"))
             if done % 5 and done < rounds:
                 scores = after
