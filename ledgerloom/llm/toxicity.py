@@ -2,7 +2,8 @@
 
 A text is a bag of sentences and a sentence a bag of strings: its words, lower-cased and
 freed of all but letters (so ``id-i.ot`` is ``idiot``), and runs of single letters joined
-(``i d i o t``).  Strings are compared by the gap-weighted subsequence kernel of order 3: a
+(``i d i o t``), each closed by an end mark, so that a whole word and a longer one that
+begins alike differ.  Strings are compared by the gap-weighted subsequence kernel of order 3: a
 subsequence counts ``DECAY`` to the power of the stretch that it covers, up to ``STRETCH``
 characters, so a match survives inserted characters; kernels are normalised.  A sentence
 scores as its worst string and a text as its worst sentence.
@@ -11,8 +12,9 @@ Labels are of texts: every string of a text labelled clean is clean, and a text
 toxic has some toxic string.  The strings whose toxic share in the labelled sample stands
 out beyond chance are taken as toxic; a string is counted once for each different string
 before it, so that copies of one text count once.  The machine learns the toxic strings
-against clean ones, adding those clean strings that it takes for toxic until none is left.  Landmarks are strings
-of both kinds.  As the kernel is an inner product of subsequence counts, the weights of all
+against clean ones, adding those clean strings that it takes for toxic until none is left;
+a clean string weighs by its contexts, up to ``MOST_MASS``.  Landmarks are strings of both
+kinds.  As the kernel is an inner product of subsequence counts, the weights of all
 landmarks fold into one weight for each subsequence: scoring a string costs the same for
 any number of landmarks, and is the Nyström machine's exact decision.
 
@@ -48,6 +50,10 @@ LANDMARKS, ROUNDS = 512, 8
 VARIED = 200
 DECAY, STRETCH, WIDTH = 0.6, 6, 16
 SYMBOLS = 64
+#: Closes a string; no letter.
+END = "."
+#: Contexts of a clean string that count towards its weight.
+MOST_MASS = 30
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
 _SPACED = re.compile(r"(?:^|\s)\w\s\w\s\w(?:\s|$)")
 _REMEMBERED = 600_000
@@ -77,9 +83,9 @@ def letters(word: str) -> str:
 
 
 def contexts(text: str) -> set[tuple[str, str]]:
-    """The distinct strings of letters of a text, each with the string before it."""
-    words = [letters(w)[:WIDTH] for w in strings(text)]
-    return {(w, before) for before, w in zip(["", *words], words) if w}
+    """The distinct strings of letters of a text, closed, each with the string before it."""
+    words = [(letters(w) + END)[:WIDTH] for w in strings(text)]
+    return {(w, before) for before, w in zip(["", *words], words) if w != END}
 
 
 @dataclass
@@ -172,7 +178,7 @@ class ToxicityModel:
         if len(known) + len(new) > _REMEMBERED:
             known.clear()
             new = [*set().union(*waiting)]
-        known.update(zip(new, self.decide([letters(w) for w in new]).tolist() if new else [], strict=True))
+        known.update(zip(new, self.decide([letters(w) + END for w in new]).tolist() if new else [], strict=True))
         for words in waiting:
             yield max(map(known.__getitem__, words), default=-2.0)
 
@@ -196,9 +202,11 @@ def _kernel(symbols: Symbols, words: list[str], landmarks: list[str]) -> np.ndar
     return np.concatenate(parts).astype(np.float64)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0, steps: int = 30) -> np.ndarray:
-    """Primal support vector machine with squared hinge loss by Newton's method; classes weigh alike; the last column isn't penalised."""
+def fit_svm(x: np.ndarray, y: np.ndarray, mass: np.ndarray | None = None, cost: float = 20.0, steps: int = 30) -> np.ndarray:
+    """Primal support vector machine with squared hinge loss by Newton's method; classes weigh alike before each row's mass; the last column isn't penalised."""
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * cost * (y > 0).sum()
+    if mass is not None:
+        weight = weight * mass
     w = np.zeros(x.shape[1])
     penal = np.ones(x.shape[1])
     penal[-1] = 1e-6
@@ -221,8 +229,8 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0, steps: int = 30) -
 
 
 def disguised(word: str, seed: int = 0) -> list[str]:
-    """Two spellings of a toxic string with a letter put in."""
-    if not 5 <= len(word) < WIDTH:
+    """Two spellings of a closed toxic string with a letter put in."""
+    if not 6 <= len(word) < WIDTH:
         return []
     rng = np.random.default_rng([seed, *(ord(c) for c in word)])
     return [word[:at] + chr(ord("a") + int(rng.integers(26))) + word[at:] for at in rng.choice(np.arange(1, len(word)), 2, replace=False)]
@@ -242,7 +250,7 @@ def learn_strings(toxic: dict[str, int], clean: dict[str, int], base: float) ->
         p = t / (t + c)
         return 0.0 if p <= max(0.5, base) else t * math.log(p / base) + (c * math.log((1 - p) / (1 - base)) if c else 0.0)
 
-    found = {w: r for w in toxic if len(w) >= 3 and (r := ratio(w)) > must}
+    found = {w: r for w in toxic if len(w) >= 4 and (r := ratio(w)) > must}
     if not found:
         return None
     strong = sorted(found, key=lambda w: (-found[w], w))[:2000]
@@ -250,7 +258,7 @@ def learn_strings(toxic: dict[str, int], clean: dict[str, int], base: float) ->
     positive += [v for w in positive[:VARIED] for v in disguised(w) if v not in clean]
     symbols = Symbols.of([*toxic, *clean])
     apart = set(positive)
-    candidates = [w for w in clean if len(w) >= 3 and w not in apart]
+    candidates = [w for w in clean if len(w) >= 4 and w not in apart]
     frequent = sorted(candidates, key=lambda w: (-clean[w], w))
     drawn = np.random.default_rng(0).permutation(len(frequent))
     negative = [*frequent[:1000], *(frequent[i] for i in drawn[:2000] if i >= 1000)]
@@ -263,7 +271,8 @@ def learn_strings(toxic: dict[str, int], clean: dict[str, int], base: float) ->
         half = vectors[:, kept] / np.sqrt(values[kept])
         x = _kernel(symbols, positive + negative, landmarks) @ half
         y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        w = fit_svm(np.hstack([x, np.ones((len(x), 1))]), y)
+        mass = np.array([1.0] * len(positive) + [float(min(MOST_MASS, clean[n])) for n in negative])
+        w = fit_svm(np.hstack([x, np.ones((len(x), 1))]), y, mass)
         ids, weight = subsequences(symbols.rows([m[:WIDTH] for m in landmarks])[0])
         share = (half @ w[:-1]) / norms(ids, weight)
         folded = np.bincount(ids.ravel(), (share[:, None] * weight[None, :]).ravel(), minlength=SYMBOLS**3)
