@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
 
 _START = -1
+#: Arcs that a Python worker remembers.
+_ARCS = 300_000
 
 
 class TokenAutomaton:
@@ -41,7 +43,7 @@ class TokenAutomaton:
         self.special_pattern = special_pattern(vocabulary.special)
         self._compile(vocabulary)
         self._index(vocabulary)
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}  # (token before << 32 | arc) -> whether it's there
         self.pieces = Remembered(self.encode_word)
         self.chunks = Remembered(lambda chunk: self._chunk(" " + chunk))
 
@@ -100,7 +102,7 @@ class TokenAutomaton:
         n = len(data)
         last, came = [_START] * (n + 1), [0] * (n + 1)
         trie, arcs, has_arc = self.trie, self.arcs, self._has_arc
-        if len(arcs) > 2_000_000:
+        if len(arcs) > _ARCS:
             arcs.clear()
         for i in range(n):
             before, node = last[i], trie
@@ -111,9 +113,9 @@ class TokenAutomaton:
                 token, node = entry
                 if token >= 0 and last[j + 1] < 0:
                     if i:
-                        there = arcs.get((before, token))
+                        there = arcs.get(arc := (before << 32) | token)
                         if there is None:
-                            there = arcs[before, token] = has_arc(before, token)
+                            there = arcs[arc] = has_arc(before, token)
                         if not there:
                             continue
                     last[j + 1], came[j + 1] = token, i
@@ -139,7 +141,9 @@ class TokenAutomaton:
 
     def _chunk(self, chunk: str) -> tuple[int, str, bytes]:
         """Of a chunk: how many ids, the ids as text, their labels."""
-        ids = [i for piece in PIECES.findall(chunk) for i in self.pieces[piece]]
+        found = PIECES.findall(chunk)
+        # A chunk that is one piece is remembered as the chunk alone.
+        ids = self.encode_word(chunk) if len(found) == 1 else [i for piece in found for i in self.pieces[piece]]
         return len(ids), ",".join(map(str, ids)), b"".join(map(self.labels.__getitem__, ids))
 
     def digest(self, text: str | None) -> tuple[int, str, str]:

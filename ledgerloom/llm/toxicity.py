@@ -56,7 +56,8 @@ END = "."
 MOST_MASS = 30
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
 _SPACED = re.compile(r"(?:^|\s)\w\s\w\s\w(?:\s|$)")
-_REMEMBERED = 600_000
+_REMEMBERED = 250_000
+_AT_ONCE = 2000  # words whose subsequences are held together
 _WORK = 1 << 20  # characters whose new words are scored together
 
 
@@ -149,8 +150,8 @@ class ToxicityModel:
     def decide(self, words: list[str]) -> np.ndarray:
         """The machine's decision for each string of letters; its largest over a long string's windows."""
         out = np.full(len(words), -2.0)
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
+        for at in range(0, len(words), _AT_ONCE):
+            part = words[at : at + _AT_ONCE]
             rows, owner = self.symbols.rows(part)
             ids, w = subsequences(rows)
             value = (self.weights[ids] * w).sum(1) / norms(ids, w) + self.bias
