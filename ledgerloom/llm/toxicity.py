@@ -1,8 +1,9 @@
 """Toxicity by a support vector machine on a subsequence string kernel with Nyström landmarks.
 
 A text is a bag of sentences and a sentence a bag of strings: its words, lower-cased and
-freed of all but letters (so ``id-i.ot`` is ``idiot``), and runs of single letters joined
-(``i d i o t``), each closed by an end mark, so that a whole word and a longer one that
+freed of all but letters (so ``id-i.ot`` is ``idiot``), runs of single letters joined
+(``i - d* i o t``) and any two neighbours of up to ``SHORT`` letters joined (``id iot``),
+whatever white space and signs lie between, each closed by an end mark, so that a whole word and a longer one that
 begins alike differ.  Strings are compared by the gap-weighted subsequence kernel of order 3: a
 subsequence counts ``DECAY`` to the power of the stretch that it covers, up to ``STRETCH``
 characters, so a match survives inserted characters; kernels are normalised.  A sentence
@@ -29,7 +30,6 @@ repeated with both values count as neither.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -46,6 +46,8 @@ from .langid import held_out
 #: Bounds of the sample that is learned from.
 TOXIC_ROWS, CLEAN_ROWS, CLEAN_STRINGS = 4000, 8000, 200_000
 LANDMARKS, ROUNDS = 512, 8
+#: Neighbours of so many letters at most are also joined.
+SHORT = 4
 #: Toxic strings that are also learned in disguise.
 VARIED = 200
 DECAY, STRETCH, WIDTH = 0.6, 6, 16
@@ -55,27 +57,40 @@ END = "."
 #: Contexts of a clean string that count towards its weight.
 MOST_MASS = 30
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
-_SPACED = re.compile(r"(?:^|\s)\w\s\w\s\w(?:\s|$)")
 _REMEMBERED = 250_000
 _AT_ONCE = 2000  # words whose subsequences are held together
 _WORK = 1 << 20  # characters whose new words are scored together
 
 
 def strings(text: str) -> list[str]:
-    """A text's words, and its runs of three single characters or more, joined."""
+    """A text's words, its runs of three single letters or more, joined, and its short neighbours, joined in twos."""
     words = text.split()
-    if _SPACED.search(text):
-        run: list[str] = []
-        joined = []
-        for w in [*words, ""]:
-            if len(w) == 1:
-                run.append(w)
-            else:
-                if len(run) >= 3:
-                    joined.append("".join(run))
-                run = []
-        words += joined
-    return words
+    return words + joins(words)
+
+
+def joins(words: list[str]) -> list[str]:
+    """Strings of three letters or more that gaps cut up; words without a letter lie in a gap."""
+    out: list[str] = []
+    run, before = "", ""
+    for w in words:
+        x = w if len(w) > SHORT and w.isalpha() else letters(w)
+        if not x:
+            continue
+        if len(x) == 1:
+            run += x
+        else:
+            if len(run) >= 3:
+                out.append(run)
+            run = ""
+        if len(x) > SHORT:
+            before = ""
+            continue
+        if before and len(before) + len(x) >= 3:
+            out.append(before + x)
+        before = x
+    if len(run) >= 3:
+        out.append(run)
+    return out
 
 
 def letters(word: str) -> str:

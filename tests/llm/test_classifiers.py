@@ -76,6 +76,33 @@ def test_strings_of_spaced_letters():
     assert toxicity.letters("I-d.I*o_t") == "idiot"
 
 
+def test_strings_across_any_gap():
+    for text in ("i  d  i  o  t", "i - d - i - o - t", "i . d . i . o . t", "i* d* i* o* t*", "i\n \nd\n \ni\n \no\n \nt", "you  i d -- i\to (t)"):
+        assert "idiot" in toxicity.strings(text), text
+    for text in ("id iot", "an id - iot", "*id* *iot*", "i-d i-o-t"):
+        assert "idiot" in toxicity.strings(text), text
+    assert toxicity.joins("longer words alone".split()) == [] and toxicity.joins(["a", "1", "b"]) == []
+
+
+def test_insults_with_gaps_are_toxic(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(900):
+        text, toxic = words(rng, "abcdefghilmnoprstuv", 40).split(), i % 4 == 0
+        if toxic:
+            for _ in range(2):
+                text.insert(rng.randint(0, len(text)), rng.choice(["zogwat", "flarnig", "kripspol"]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    gapped = ["z  o  g  w  a  t", "z - o - g - w - a - t", "z . o . g . w . a . t", "z* o* g* w* a* t*", "zog wat", "krip - spol"]
+    docs = spark.createDataFrame([*rows, *((2000 + i, t) for i, t in enumerate(gapped))], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert [found[2000 + i] for i in range(len(gapped))] == [1] * len(gapped)
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([found[i] == (i % 4 == 0) for i in held]) > 0.98
+
+
 def test_toxicity_on_rows_that_were_held_out(spark):
     rng = random.Random(2)
     bad = ["zogwat", "flarnig", "kripspol"]
