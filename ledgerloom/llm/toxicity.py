@@ -11,8 +11,9 @@ scores as its worst string and a text as its worst sentence.
 
 Labels are of texts: every string of a text labelled clean is clean, and a text labelled
 toxic has some toxic string.  The strings whose toxic share in the labelled sample stands
-out beyond chance are taken as toxic; a string is counted once for each different string
-before it, so that copies of one text count once.  The machine learns the toxic strings
+out beyond chance are taken as toxic; a string is counted once for each different context (the
+words on either side), so that copies of one text count once but a string that always
+follows one word counts in each text.  The machine learns the toxic strings
 against clean ones, adding those clean strings that it takes for toxic until none is left;
 a clean string weighs by its contexts, up to ``MOST_MASS``.  Landmarks are strings of both
 kinds.  As the kernel is an inner product of subsequence counts, the weights of all
@@ -32,6 +33,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -54,6 +56,8 @@ DECAY, STRETCH, WIDTH = 0.6, 6, 16
 SYMBOLS = 64
 #: Closes a string; no letter.
 END = "."
+#: Words on either side that make the context of a string.
+AROUND = 2
 #: Contexts of a clean string that count towards its weight.
 MOST_MASS = 30
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
@@ -65,31 +69,36 @@ _WORK = 1 << 20  # characters whose new words are scored together
 def strings(text: str) -> list[str]:
     """A text's words, its runs of three single letters or more, joined, and its short neighbours, joined in twos."""
     words = text.split()
-    return words + joins(words)
+    return words + [x for _, x in placed_joins(words)]
 
 
 def joins(words: list[str]) -> list[str]:
     """Strings of three letters or more that gaps cut up; words without a letter lie in a gap."""
-    out: list[str] = []
-    run, before = "", ""
-    for w in words:
+    return [x for _, x in placed_joins(words)]
+
+
+def placed_joins(words: list[str]) -> list[tuple[int, str]]:
+    """The same, each with the place after its last word."""
+    out: list[tuple[int, str]] = []
+    run, before, end = "", "", 0
+    for i, w in enumerate(words, 1):
         x = w if len(w) > SHORT and w.isalpha() else letters(w)
         if not x:
             continue
         if len(x) == 1:
-            run += x
+            run, end = run + x, i
         else:
             if len(run) >= 3:
-                out.append(run)
+                out.append((end, run))
             run = ""
         if len(x) > SHORT:
             before = ""
             continue
         if before and len(before) + len(x) >= 3:
-            out.append(before + x)
+            out.append((i, before + x))
         before = x
     if len(run) >= 3:
-        out.append(run)
+        out.append((end, run))
     return out
 
 
@@ -98,10 +107,16 @@ def letters(word: str) -> str:
     return low if low.isalpha() else "".join(filter(str.isalpha, low))
 
 
-def contexts(text: str) -> set[tuple[str, str]]:
-    """The distinct strings of letters of a text, closed, each with the string before it."""
-    words = [(letters(w) + END)[:WIDTH] for w in strings(text)]
-    return {(w, before) for before, w in zip(["", *words], words) if w != END}
+def contexts(text: str) -> set[tuple[str, int]]:
+    """The distinct strings of letters of a text, closed, each with a hash of the ``AROUND`` words on either side."""
+    words = text.split()
+    plain = [letters(w) for w in words]
+    found = set()
+    for at, x in [*enumerate(plain, 1), *((at, letters(x)) for at, x in placed_joins(words))]:
+        if x:
+            near = " ".join([*plain[max(0, at - 1 - AROUND) : at - 1], "", *plain[at : at + AROUND]])
+            found.add(((x + END)[:WIDTH], int.from_bytes(blake2b(near.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)))
+    return found
 
 
 @dataclass
@@ -338,11 +353,11 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = [sorted(contexts(t.as_py() or "")) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([[p[i] for p in ps] for ps in pairs], pa.list_(pa.string())) for i in (0, 1))], names=["toxic", "words", "before"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([[p[i] for p in ps] for ps in pairs], pa.list_(kind)) for i, kind in enumerate((pa.string(), pa.int64())))], names=["toxic", "words", "around"])
 
-    held = sample.mapInArrow(take, "toxic int, words array<string>, before array<string>")
-    held = held.select("toxic", F.explode(F.arrays_zip("words", "before")).alias("p")).select("toxic", "p.words", "p.before")
-    pairs = held.groupBy("words", "before").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
+    held = sample.mapInArrow(take, "toxic int, words array<string>, around array<bigint>")
+    held = held.select("toxic", F.explode(F.arrays_zip("words", "around")).alias("p")).select("toxic", "p.words", "p.around")
+    pairs = held.groupBy("words", "around").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
     by_word = cut(pairs.groupBy(F.col("words").alias("word")).agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c")))
     sums = by_word.agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.sum("c").alias("c")).first()
     if not sums["t"] or not sums["c"]:

@@ -84,6 +84,28 @@ def test_strings_across_any_gap():
     assert toxicity.joins("longer words alone".split()) == [] and toxicity.joins(["a", "1", "b"]) == []
 
 
+def test_an_insult_after_always_the_same_word_is_learned(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(900):
+        text, toxic = words(rng, "abcdefghilmnoprstuv", 40).split(), i % 4 == 0
+        if toxic:
+            text[(at := rng.randint(0, 38)) : at] = ["yonder", "zogwat"]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame([*rows, (2000, "a zogwat there")], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    held = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([found[i] == (i % 4 == 0) for i in held]) > 0.98 and found[2000] == 1
+
+
+def test_copies_of_a_text_give_one_context():
+    assert len(toxicity.contexts("see you zogwat now then") | toxicity.contexts("See you, zogwat now then!")) == len(toxicity.contexts("see you zogwat now then"))
+    seen = [c for t in ("see you zogwat now", "ask you zogwat here") for c in toxicity.contexts(t) if c[0] == "zogwat."]
+    assert len(set(seen)) == 2
+
+
 def test_insults_with_gaps_are_toxic(spark):
     rng = random.Random(5)
     rows, labels = [], []
