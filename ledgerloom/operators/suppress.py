@@ -1,10 +1,11 @@
 """Randomized local suppression: null as few key cells as needed for every row to be safe.
 
-Each (stratum, chain) is searched by itself with its own seed, over the rows at risk and
-those that share a value with them, counted by pattern; the cheapest chain of each stratum
-is kept.  A stratum's patterns must fit one task: for larger ones use
-``risk.suppress_small``.  Every result is checked: a stratum that no chain makes safe has
-all its keys nulled.
+Each (stratum, chain) is searched by itself with its own seed, over all rows that are given;
+risks are computed once a pattern, and ``suppress_at_risk`` gives only the rows at risk and
+those that share a value with them.  The cheapest chain of each stratum is kept.  A stratum's
+rows must fit one task: for larger ones use ``risk.suppress_small``.  Steps run until all
+rows are safe; where no chain gets there, as no row at risk has a key left that may be nulled,
+the stratum has all its keys nulled.
 """
 
 from __future__ import annotations
@@ -20,9 +21,6 @@ from pyspark.sql import types as T
 
 from . import risk as risks
 
-#: Attempts at removing risk before a chain gives up.
-MOST_STEPS = 500
-
 
 def key_weights(keys: Sequence[str], weights: dict[str, float] | Sequence[str] | None = None) -> np.ndarray:
     """Weights that add up to the number of keys; names alone mean falling priority; infinite means never."""
@@ -69,10 +67,13 @@ class Stratum:
         return (self.risk(codes) < self.threshold) & self.asks
 
     def search(self, weights: np.ndarray, rng: np.random.Generator) -> np.ndarray | None:
-        """Nulls cells until all rows are safe, then restores what it can; None if that fails."""
+        """Nulls cells until all rows are safe, then restores what it can; None if no row at risk has a key left to null.
+
+        Each step nulls a cell at least, so it ends.
+        """
         codes = self.codes.copy()
         draw = np.where(np.isfinite(weights), 1 / weights, 0.0)
-        for _ in range(MOST_STEPS):
+        while True:
             bad = self.unsafe(codes)
             if not bad.any():
                 return self.restore(codes, rng)
@@ -86,7 +87,6 @@ class Stratum:
             codes[i, k] = 0
             if j is not None and self.measure is None:
                 codes[j, k] = 0
-        return None
 
     def partner(self, codes: np.ndarray, i: int, k: int, bad: np.ndarray, rng: np.random.Generator) -> int | None:
         """A row that equals this one in all other keys: safe ones first, exact before open ones."""

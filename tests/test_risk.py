@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,15 @@ def test_an_infinite_weight_is_never_nulled(spark):
     assert list(suppress.key_weights(KEYS, ["race", "gender", "age_group"])) == [1.0, 0.5, 1.5]
 
 
+def test_many_rare_patterns_do_not_cost_the_stratum_its_keys():
+    n, k = 500, 350
+    codes = np.repeat(np.arange(1, n + 1)[:, None], 3, 1)
+    stratum = suppress.Stratum(codes, np.zeros(n, int), ["all"], None, k, set())
+    found = stratum.search(np.ones(3), np.random.default_rng(0))
+    assert found is not None and not stratum.unsafe(found).any()
+    assert ((found == codes) | (found == 0)).all() and (found != 0).any()
+
+
 def test_strata_are_apart_and_other_rows_stay(spark):
     rows = table(spark, [("m", "1", "w", "x"), ("m", "1", "w", "x"), ("f", "2", "b", "x"), ("f", "2", "w", "x")], ["g1", "g1", "g2", "g2"])
     found = suppress.suppress_at_risk(rows, KEYS, "id", threshold=2, strata=["stratum"], chains=2)
