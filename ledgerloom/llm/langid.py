@@ -7,7 +7,7 @@ net penalties on a bounded sample of the labelled rows; a temperature fitted on
 rows kept apart from those makes the scores probabilities.
 
 The sample takes about ``ROWS_A_LANGUAGE`` rows of each language, by a hash of their ids;
-everything else runs over whole texts of all rows.  Null texts and texts without a letter
+document frequencies are the sample's too, and prediction runs over whole texts of all rows.  Null texts and texts without a letter
 are ``und`` with score 0, as is every text where there is no labelled row.  Ties go to the
 language first by code point.  Repeated rows each give a row; columns other than the id,
 the text and the language are ignored.
