@@ -2,20 +2,39 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` kept in the session's checkpoint folder; one is made only where the session names none."""
-    spark = df.sparkSession
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder shared by driver and executors, from ``spark.checkpoint.dir``.
+
+    A local master without one gets a temporary folder; a cluster without one is an error,
+    as no folder of one machine would do.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
-            os.makedirs("/tmp/checkpoints", exist_ok=True)
-            path = tempfile.mkdtemp(dir="/tmp/checkpoints")
+            if sc.master.split("[")[0] != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(path)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the checkpoint folder.
+
+    Its files go when the session's ``spark.cleaner.referenceTracking.cleanCheckpoints`` is
+    set, as ``ledgerloom.session`` does, and nothing refers to it any more.
+    """
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a job of this session has written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -15,6 +15,7 @@ def session(app: str = "ledgerloom", master: str | None = None, **conf: str) ->
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
