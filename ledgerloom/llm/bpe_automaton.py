@@ -5,187 +5,227 @@ by merge, a gadget.  For the merge (u, v) -> w:
 
 * the state that u leads to is copied without its arc for v, and u's arcs go to the copy:
   from now on v never follows u;
-* wherever u then v could be read, an arc for w leads to where v led.
+* wherever u then v could be read, an arc for w leads to a copy of the state where v led.
 
-All arcs of one symbol lead to one state at any time, so a copy is kept as one row (the
-state it was copied from, the arc it lacks, the merge that took it away) and a state is
-read through its chain of copies.  The automaton accepts exactly the token sequences that
-the merges produce, and exactly one for each byte string.  A pre-split word is encoded
-from left to right: each position holds the one last token that an accepted sequence can
-end with there, found through the tables for the tokens' labels (a trie) and for the arcs.
-The arcs in use are kept in a table that fills as they are met.  Decoding emits the arcs'
-labels.
+The automaton so made is deterministic and accepts exactly the token sequences that the
+merges produce, one for each byte string.  It is compiled into a table of bits, a row for
+each state and a column for each class of symbols; states, and symbols, that the same gadgets
+have gone over are one.  The state that an arc leads to is that of its symbol.
+
+A pre-split word is encoded from left to right by looking up (state, symbol): each place in
+it is reached by at most one accepted sequence, so it holds the state reached and the symbol
+that led there.  The symbols whose labels begin at a place are read off a table of
+(node, byte).  Decoding emits the labels of the arcs.
 
 Null texts encode as empty ones: no ids; repeated rows each give a row; columns other than
-the id and the text are ignored.
+the id and the text are ignored, whatever their names; empty tables give no rows.  Very long
+texts are encoded whole, in segments cut at spaces, so that only their ids are held.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
+from .durable import tidy
 
-_START = -1
-#: Arcs that a Python worker remembers.
-_ARCS = 300_000
+Merge = tuple[int, int, int]
 
 
-class TokenAutomaton:
-    def __init__(self, vocabulary: Vocabulary):
-        self.labels = vocabulary.token_bytes
-        self.special = vocabulary.special
-        self.special_pattern = special_pattern(vocabulary.special)
-        self._compile(vocabulary)
-        self._index(vocabulary)
-        self.arcs: dict[int, bool] = {}  # (token before << 32 | arc) -> whether it's there
-        self.pieces = Remembered(self.encode_word)
-        self.chunks = Remembered(lambda chunk: self._chunk(" " + chunk))
+class Gadgets:
+    """The automaton while merges are applied; a state is named by the symbol that leads to it.
+
+    A copy is kept as what it was copied from and the arc that it lacks.
+    """
 
-    def _compile(self, vocabulary: Vocabulary) -> None:
-        # State 0 lacks no arc.  A state: (copied from, arc that it lacks, merge); leads_to: by token.
-        self.copies: list[tuple[int, int, int]] = [(-1, -1, -1)]
-        self.leads_to = dict.fromkeys(vocabulary.byte_ids, 0)
-        self.taken: dict[int, int] = {}  # (token before << 32 | arc) -> merge that took the arc away after that token
-        self.first: dict[int, tuple[int, int]] = {}  # w -> u and its merge
-        self.last: dict[int, tuple[int, int]] = {}  # w -> v and its merge
-        for k, (u, v, w) in enumerate(vocabulary.merges):
-            if w in self.leads_to or u not in self.leads_to or v not in self.leads_to or not self._has_arc(u, v):
-                continue  # nothing reads u then v, or w is there by an earlier merge
-            self.leads_to[w] = self.leads_to[v]
-            self.copies.append((self.leads_to[u], v, k))
-            self.leads_to[u] = len(self.copies) - 1
-            self.taken[(u << 32) | v] = k
-            self.first[w], self.last[w] = (u, k), (v, k)
-
-    def _has_arc(self, before: int, token: int) -> bool:
-        """Whether the state that ``before`` leads to has an arc for ``token``.
-
-        w's state was copied from v's, so it lacks what v's lacked by then; an arc for w was
-        added wherever there was one for u, so it's missing where u's had been taken by then.
-        """
-        taken, first, last = self.taken, self.first, self.last
-        right, right_end = before, 1 << 62
+    def __init__(self, base: Iterable[int]):
+        self.symbols = dict.fromkeys(base)
+        self.lacks: dict[int, int] = {}  # (state << 32 | symbol): the merge that took the arc away
+        self.left: dict[int, tuple[int, int]] = {}  # w: u and the merge; w's arcs are where u's were then
+        self.right: dict[int, tuple[int, int]] = {}  # w: v and the merge; w's state is a copy of v's then
+
+    def has_arc(self, state: int, symbol: int) -> bool:
+        """Whether a state has an arc, read through the copies that both come from."""
+        copied_at = 1 << 62
         while True:
-            left, left_end = token, 1 << 62
+            s, added_at = symbol, 1 << 62
             while True:
-                k = taken.get((right << 32) | left)
-                if k is not None and k < right_end and k <= left_end:
+                k = self.lacks.get((state << 32) | s)
+                if k is not None and k < copied_at and k <= added_at:
                     return False
-                if left not in first:
+                if s not in self.left:
                     break
-                left, left_end = first[left]
-            if right not in last:
+                s, added_at = self.left[s]
+            if state not in self.right:
                 return True
-            right, right_end = last[right]
-
-    def _index(self, vocabulary: Vocabulary) -> None:
-        """The trie of the tokens' labels; a node: byte -> (token or -1, node below)."""
-        self.trie: dict[int, tuple[int, dict]] = {}
-        for token in self.leads_to:
-            *path, end = self.labels[token]
-            node = self.trie
+            state, copied_at = self.right[state]
+
+    def apply(self, k: int, merge: Merge) -> None:
+        u, v, w = merge
+        if w in self.symbols or u not in self.symbols or v not in self.symbols or not self.has_arc(u, v):
+            return  # nothing reads u then v, or an earlier merge made w
+        self.symbols[w] = None
+        self.lacks[(u << 32) | v] = k
+        self.left[w], self.right[w] = (u, k), (v, k)
+
+    def _ordered(self, origin: dict[int, tuple[int, int]]) -> tuple[dict[int, int], dict[int, list[tuple[int, int]]], dict[int, int]]:
+        """Numbers under which what comes from one symbol, from some merge on, lies together up to that symbol."""
+        made: dict[int, list[tuple[int, int]]] = {}
+        for w, (s, k) in origin.items():
+            made.setdefault(s, []).append((k, w))
+        number: dict[int, int] = {}
+        first: dict[int, int] = {}
+        for root in self.symbols:
+            stack = [(root, 0)] if root not in origin else []
+            while stack:
+                s, nth = stack.pop()
+                first.setdefault(s, len(number))
+                if nth < len(made.get(s, ())):
+                    stack += [(s, nth + 1), (made[s][nth][1], 0)]
+                else:
+                    number[s] = len(number)
+        return number, made, first
+
+    def table(self) -> tuple[np.ndarray, dict[int, int], dict[int, int]]:
+        """Bits of (state, class of symbols), and the state and the class of every symbol."""
+        row_of, copies, first_row = self._ordered(self.right)
+        column_of, adds, first_column = self._ordered(self.left)
+        gone = []
+        for key, k in self.lacks.items():
+            u, v = key >> 32, key & 0xFFFFFFFF
+            later = bisect_right(copies.get(u, []), (k, 1 << 62))
+            top = first_row[copies[u][later][1]] if later < len(copies.get(u, ())) else row_of[u]
+            later = bisect_left(adds.get(v, []), (k, -1))
+            side = first_column[adds[v][later][1]] if later < len(adds.get(v, ())) else column_of[v]
+            gone.append((top, row_of[u] + 1, side, column_of[v] + 1))
+        gone = np.array(gone, np.int64).reshape(-1, 4)
+        rows, columns = _classes(gone[:, 0], gone[:, 1], len(row_of)), _classes(gone[:, 2], gone[:, 3], len(column_of))
+        n_columns = int(columns.max(initial=-1)) + 1
+        bits = np.ones((int(rows.max(initial=-1)) + 1, -(-n_columns // 8) * 8), bool)
+        for a, b, c, d in gone.tolist():
+            if b - a == 1 and d - c == 1:
+                bits[rows[a], columns[c]] = False
+            else:
+                bits[rows[a:b, None], columns[None, c:d]] = False
+        return np.packbits(bits, axis=1, bitorder="little"), {s: int(rows[i]) for s, i in row_of.items()}, {s: int(columns[i]) for s, i in column_of.items()}
+
+
+def _classes(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """The class of each of n numbers: those that lie in the same stretches are one class."""
+    mark = np.random.default_rng(0).integers(1, 1 << 63, (len(start), 2), dtype=np.uint64)
+    change = np.zeros((n + 1, 2), np.uint64)
+    np.add.at(change, start, mark)
+    np.subtract.at(change, end, mark)
+    return np.unique(np.cumsum(change, 0)[:n], axis=0, return_inverse=True)[1].ravel()
+
+
+class TokenAutomaton:
+    """The compiled tables; of a size that the vocabulary bounds, and so broadcast."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.labels = vocabulary.token_bytes
+        self.texts = {i: str(i) for i in self.labels}
+        self.special = vocabulary.special
+        made = Gadgets(vocabulary.byte_ids)
+        for k, merge in enumerate(vocabulary.merges):
+            made.apply(k, merge)
+        packed, state, column = made.table()
+        # The first row is the start's, which has every arc.
+        self.wide = packed.shape[1]
+        self.bits = b"\xff" * self.wide + packed.tobytes()
+        #: A node: by byte, the arc of the symbol whose label ends there, or None, and the node below.
+        #: An arc: the byte and the bit of its column, the row of the state that it leads to, the symbol.
+        self.labelled: dict[int, tuple[tuple[int, int, int, int] | None, dict]] = {}
+        for s in made.symbols:
+            *path, last = self.labels[s]
+            node = self.labelled
             for b in path:
-                if b not in node:
-                    node[b] = (-1, {})
-                node = node[b][1]
-            node[end] = (token, node[end][1] if end in node else {})
+                node = node.setdefault(b, (None, {}))[1]
+            node[last] = ((column[s] >> 3, 1 << (column[s] & 7), (state[s] + 1) * self.wide, s), node[last][1] if last in node else {})
 
     def encode_word(self, word: str | bytes) -> list[int]:
         """The ids of one pre-split word."""
         data = word.encode() if isinstance(word, str) else word
         n = len(data)
-        last, came = [_START] * (n + 1), [0] * (n + 1)
-        trie, arcs, has_arc = self.trie, self.arcs, self._has_arc
-        if len(arcs) > _ARCS:
-            arcs.clear()
+        rows, came, bits = [0] * (n + 1), [(0, 0)] * (n + 1), self.bits
         for i in range(n):
-            before, node = last[i], trie
+            row, node = rows[i], self.labelled
             for j in range(i, n):
-                entry = node.get(data[j])
-                if entry is None:
+                found = node.get(data[j])
+                if found is None:
                     break
-                token, node = entry
-                if token >= 0 and last[j + 1] < 0:
-                    if i:
-                        there = arcs.get(arc := (before << 32) | token)
-                        if there is None:
-                            there = arcs[arc] = has_arc(before, token)
-                        if not there:
-                            continue
-                    last[j + 1], came[j + 1] = token, i
+                arc, node = found
+                if arc is not None and bits[row + arc[0]] & arc[1]:
+                    rows[j + 1] = arc[2]
+                    came[j + 1] = (i, arc[3])
         ids = []
         while n:
-            ids.append(last[n])
-            n = came[n]
+            n, symbol = came[n]
+            ids.append(symbol)
         return ids[::-1]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
 
-    def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        for special, first, rest in chunked(text or "", self.special_pattern):
+
+class Encoder:
+    """Encodes whole texts by an automaton, with a task's memory of words."""
+
+    def __init__(self, automaton: TokenAutomaton):
+        self.automaton = automaton
+        self.pattern = special_pattern(automaton.special)
+        self.pieces = Remembered(automaton.encode_word)
+        self.chunks = Remembered(lambda chunk: self._chunk(" " + chunk))
+
+    def _chunk(self, chunk: str) -> list[int]:
+        found = PIECES.findall(chunk)
+        if len(found) == 1:
+            return self.automaton.encode_word(chunk)
+        return [i for piece in found for i in self.pieces[piece]]
+
+    def segments(self, text: str | None) -> Iterator[list[int]]:
+        """The ids of a text, a segment of it at a time."""
+        for special, first, rest in chunked(text or "", self.pattern):
             if special:
-                ids.append(self.special[special])
+                yield [self.automaton.special[special]]
                 continue
-            for chunk in (first, *(" " + c for c in rest)):
-                for piece in PIECES.findall(chunk):
-                    ids += self.pieces[piece]
-        return ids
+            ids = [*self._chunk(first)]
+            for part in map(self.chunks.__getitem__, rest):
+                ids += part
+            yield ids
 
-    def _chunk(self, chunk: str) -> tuple[int, str, bytes]:
-        """Of a chunk: how many ids, the ids as text, their labels."""
-        found = PIECES.findall(chunk)
-        # A chunk that is one piece is remembered as the chunk alone.
-        ids = self.encode_word(chunk) if len(found) == 1 else [i for piece in found for i in self.pieces[piece]]
-        return len(ids), ",".join(map(str, ids)), b"".join(map(self.labels.__getitem__, ids))
+    def encode(self, text: str | None) -> list[int]:
+        return [i for ids in self.segments(text) for i in ids]
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
-        n, ids_hash, raw = 0, hashlib.sha256(), []
-        for special, first, rest in chunked(text or "", self.special_pattern):
-            if special:
-                i = self.special[special]
-                parts = [(1, str(i), self.labels[i])]
-            else:
-                parts = [self._chunk(first), *map(self.chunks.__getitem__, rest)]
-            ids = ",".join([p[1] for p in parts if p[0]])
+        n, of_ids, of_text, texts = 0, hashlib.sha256(), hashlib.sha256(), self.automaton.texts
+        for ids in self.segments(text):
             if ids:
-                ids_hash.update((("," if n else "") + ids).encode())
-            n += sum([p[0] for p in parts])
-            raw += [p[2] for p in parts]
-        decoded = b"".join(raw).decode("utf-8", errors="replace")
-        return n, ids_hash.hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
-
-
-_AUTOMATA: dict[int, TokenAutomaton] = {}
-
-
-def _automaton(shared) -> TokenAutomaton:
-    key = id(shared.value)
-    if key not in _AUTOMATA:
-        _AUTOMATA.clear()
-        _AUTOMATA[key] = TokenAutomaton(shared.value)
-    return _AUTOMATA[key]
+                of_ids.update(((("," if n else "") + ",".join(map(texts.__getitem__, ids)))).encode())
+                of_text.update(self.automaton.decode(ids).encode())
+                n += len(ids)
+        return n, of_ids.hexdigest(), of_text.hexdigest()
 
 
 def _scan(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, fields: list[T.StructField], arrays) -> DataFrame:
-    """One scan that adds what ``arrays`` makes of the automaton and a batch's texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(tokenizer_path))
+    """One scan that adds what ``arrays`` makes of an encoder and a batch's texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), *fields])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        encoder = Encoder(shared.value)
         for batch in batches:
-            texts = batch.column(1)
-            made = arrays(automaton, (texts[i].as_py() for i in range(len(texts))))
+            made = arrays(encoder, (t.as_py() for t in batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -194,23 +234,23 @@ def _scan(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, fiel
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id and token_ids (array of int) of every row."""
 
-    def arrays(automaton: TokenAutomaton, texts: Iterator[str | None]) -> list[pa.Array]:
-        return [pa.array([automaton.encode(t) for t in texts], pa.list_(pa.int32()))]
+    def arrays(encoder: Encoder, texts: Iterator[str | None]) -> list[pa.Array]:
+        return [pa.array([encoder.encode(t) for t in texts], pa.list_(pa.int32()))]
 
     return _scan(docs, tokenizer_path, id_col, text_col, [T.StructField("token_ids", T.ArrayType(T.IntegerType()))], arrays)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
     """id and text of every row of ids; null ids decode as null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(load_vocabulary(tokenizer_path))
+    shared = encoded.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
     rows = encoded.select(F.col(id_col), F.col(ids_col).cast("array<int>").alias("ids"))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("text", T.StringType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        automaton = shared.value
         for batch in batches:
-            ids = batch.column(1)
-            made = [None if (x := ids[i].as_py()) is None else automaton.decode(x) for i in range(len(ids))]
+            made = [None if (ids := x.as_py()) is None else automaton.decode(ids) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -220,8 +260,8 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     """id, n_tokens, ids_sha256 and decoded_sha256 of every row: encoded and decoded in one scan."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
 
-    def arrays(automaton: TokenAutomaton, texts: Iterator[str | None]) -> list[pa.Array]:
-        made = [automaton.digest(t) for t in texts]
+    def arrays(encoder: Encoder, texts: Iterator[str | None]) -> list[pa.Array]:
+        made = [encoder.digest(t) for t in texts]
         return [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.string()), pa.array([m[2] for m in made], pa.string())]
 
     return _scan(docs, tokenizer_path, id_col, text_col, fields, arrays)

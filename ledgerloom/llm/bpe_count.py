@@ -6,7 +6,8 @@ one merges it and pushes the pairs that the merged symbol forms.  The count of a
 is its bytes less its merges.
 
 Null and empty texts count 0 tokens and 0 bytes; repeated rows each give a row; columns
-other than the id and the text are ignored.
+other than the id and the text are ignored, whatever their names; empty tables give no rows.
+Very long texts are counted whole, in segments cut at spaces.
 """
 
 from __future__ import annotations
@@ -15,19 +16,27 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
+from .durable import tidy
 
 
-class PairCounter:
-    """Counts the tokens of whole texts."""
+class Merges:
+    """(left id << 32 | right id): rank << 32 | id of both; and the ids of bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.ranks = {(a << 32) | b: (rank << 32) | both for rank, (a, b, both) in reversed([*enumerate(vocabulary.merges)])}
-        self.byte_ids = vocabulary.byte_ids
-        self.special = special_pattern(vocabulary.special)
+        self.byte_ids, self.special = vocabulary.byte_ids, vocabulary.special
+
+
+class PairCounter:
+    """Counts the tokens of whole texts; ``merges`` may be shared by counters, each with memories of its own."""
+
+    def __init__(self, merges: Merges):
+        self.ranks, self.byte_ids, self.special = merges.ranks, merges.byte_ids, special_pattern(merges.special)
         self.pieces = Remembered(self.merged)
         self.chunks = Remembered(lambda chunk: self.chunk(" " + chunk))
 
@@ -68,27 +77,20 @@ class PairCounter:
         return n
 
 
-_COUNTERS: dict[int, PairCounter] = {}
-
-
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens and over_limit of every row of ``docs``: one scan, no shuffle."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load_vocabulary(tokenizer_path))
+    shared = spark.sparkContext.broadcast(Merges(load_vocabulary(tokenizer_path)))
     rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _COUNTERS.get(shared.id) if hasattr(shared, "id") else None
-        if counter is None:
-            _COUNTERS.clear()
-            counter = _COUNTERS[getattr(shared, "id", 0)] = PairCounter(shared.value)
+        counter = PairCounter(shared.value)
         for batch in batches:
             texts = batch.column(1)
-            n_tokens = [counter.count(texts[i].as_py()) for i in range(len(texts))]
-            n_bytes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, pa.array(n_tokens, pa.int64())], names=[id_col, "n_bytes", "n_tokens"])
-
-    import pyarrow.compute  # noqa: F401  binds pa.compute before the function is shipped
+            n_tokens = [counter.count(t.as_py()) for t in texts]
+            n_bytes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, pa.array(n_tokens, pa.int64())], names=schema.names)
 
     return rows.mapInArrow(count, schema).withColumn("over_limit", F.col("n_tokens") > F.lit(limit))

@@ -24,8 +24,10 @@ _TWO_BLANKS = re.compile(r"\s\s")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Characters of a text that are split at a time, so that very long texts need no long lists.
 SEGMENT = 1 << 20
-#: Remembered chunks, and as many pieces, of each of a Python worker's two generations.
-REMEMBERED = 300_000
+#: Bytes, roughly, that each of the two generations of a task's memory may hold.
+REMEMBERED_BYTES = 40 << 20
+#: Rough bytes of an entry besides its letters and numbers.
+_ENTRY = 220
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -67,19 +69,20 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 
 class Remembered(dict):
-    """A bounded memory of ``make(key)``: when it is full, what was used since the last time stays."""
+    """A task's memory of ``make(key)``, bounded by bytes: when it is full, what was used since the last time stays."""
 
-    def __init__(self, make: Callable, most: int = REMEMBERED):
+    def __init__(self, make: Callable, most_bytes: int = REMEMBERED_BYTES):
         super().__init__()
-        self.make, self.most, self.older = make, most, {}
+        self.make, self.most_bytes, self.bytes, self.older = make, most_bytes, 0, {}
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.older = dict(self)
+        if self.bytes >= self.most_bytes:
+            self.older, self.bytes = dict(self), 0
             self.clear()
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.bytes += _ENTRY + len(key) + (8 * len(value) if isinstance(value, list) else 0)
         self[key] = value
         return value
 

@@ -1,33 +1,39 @@
-"""Cutting lineage so that a lost executor costs a re-read, not a re-run."""
+"""What the operators share: kept plans, tables, and tasks that leave no memory behind."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..durable import checkpoint_dir, cut, remove
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors, from ``spark.checkpoint.dir``.
+__all__ = ["checkpoint_dir", "cut", "read", "remove", "tidy"]
 
-    Only where the session names none (local tests) is one made.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path:
-            os.makedirs("/tmp/checkpoints", exist_ok=True)
-            path = tempfile.mkdtemp(dir="/tmp/checkpoints")
-        sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def tidy(run: Run) -> Run:
+    """``run`` for a task, after which the Python worker, which later stages use again, gives its memory back."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # not the GNU C library: nothing to trim
+
+    return wrapped

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 
 import public_tokenizers
@@ -6,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import bpe_automaton, bpe_count
-from ledgerloom.llm.bytelevel import chunked, load_vocabulary, special_pattern
+from ledgerloom.llm.bytelevel import Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ALPHABET = [*" \n\t  aaabbethinoré'sdtllve ñß漢字🙂\x1c\x85 ​²½Ⅷ١!?.,--__0123", "<|endoftext|>", "  ", "the ", "ing", "\r\n"]
@@ -22,32 +23,117 @@ def texts(n, longest=40):
     return ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, longest))) for _ in range(n)] + ["", "a" * 3000, " " * 50, "x <|endoftext|><|endoftext|> y", "the " * 400]
 
 
-def test_both_equal_the_library(vocabulary):
-    automaton, counter, library = bpe_automaton.TokenAutomaton(vocabulary), bpe_count.PairCounter(vocabulary), Tokenizer.from_file(PATH)
+def encoder(vocabulary):
+    return bpe_automaton.Encoder(bpe_automaton.TokenAutomaton(vocabulary))
+
+
+@pytest.fixture(scope="module")
+def whole(vocabulary):
+    return encoder(vocabulary)
+
+
+def test_both_equal_the_library(vocabulary, whole):
+    counter, library = bpe_count.PairCounter(bpe_count.Merges(vocabulary)), Tokenizer.from_file(PATH)
     for text in texts(3000):
         ids = library.encode(text, add_special_tokens=False).ids
-        assert automaton.encode(text) == ids
+        assert whole.encode(text) == ids
         assert counter.count(text) == len(ids)
-        assert automaton.decode(ids) == library.decode(ids, skip_special_tokens=False)
-        n, ids_hash, decoded = automaton.digest(text)
+        assert whole.automaton.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        n, ids_hash, decoded = whole.digest(text)
         assert (n, ids_hash) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert decoded == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_a_small_automaton_takes_only_merged_sequences(vocabulary):
+def small(merges, letters="abc"):
+    """A vocabulary of few letters; merges: pairs of strings."""
+    ids = {c: i for i, c in enumerate(letters)}
+    made = []
+    for a, b in merges:
+        ids.setdefault(a + b, len(ids))
+        made.append((ids[a], ids[b], ids[a + b]))
+    return Vocabulary({i: s.encode() for s, i in ids.items()}, made, {}, [*range(len(letters))])
+
+
+def random_merges(rng):
+    parts, merges = ["a", "b", "c"], []
+    while len(merges) < 12:
+        pair = rng.choice(parts), rng.choice(parts)
+        if pair not in merges and len(pair[0] + pair[1]) < 9:
+            merges.append(pair)
+            parts.append(pair[0] + pair[1])
+    return merges
+
+
+def merged(word, merges):
+    """By definition: merge by merge, from left to right."""
+    parts = [*word]
+    while True:
+        ranks = [merges.index(p) for p in zip(parts, parts[1:], strict=False) if p in merges]
+        if not ranks:
+            return parts
+        a, b = merges[min(ranks)]
+        at, out = 0, []
+        while at < len(parts):
+            both = parts[at : at + 2] == [a, b]
+            out.append(a + b if both else parts[at])
+            at += 1 + both
+        parts = out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_compiled_automaton_is_that_of_its_merges(seed):
+    rng = random.Random(seed)
+    merges = random_merges(rng)
+    vocabulary = small(merges)
     automaton = bpe_automaton.TokenAutomaton(vocabulary)
-    a, aa = automaton.encode("a")[0], automaton.encode("aa")
-    assert len(aa) == 1 and not automaton._has_arc(a, a) and not automaton._has_arc(a, aa[0]) and automaton._has_arc(aa[0], a)
+    for n in range(1, 8):
+        for letters in itertools.product("abc", repeat=n):
+            word = "".join(letters)
+            assert [vocabulary.token_bytes[i].decode() for i in automaton.encode_word(word)] == merged(word, merges)
+
+
+def test_only_the_table_decides_an_encoding():
+    vocabulary = small([("a", "b"), ("ab", "c")])
+    automaton = bpe_automaton.TokenAutomaton(vocabulary)
+    a, b, c, ab, abc = range(5)
+    assert automaton.encode_word("abcab") == [abc, ab]
+
+    def bit(before, symbol):
+        row = next(arc for arc in arcs(automaton.labelled) if arc[3] == before)[2]
+        byte, mask, _, _ = next(arc for arc in arcs(automaton.labelled) if arc[3] == symbol)
+        return row + byte, mask
+
+    def arcs(node):
+        for arc, below in node.values():
+            yield from [arc] * (arc is not None)
+            yield from arcs(below)
+
+    there = {(x, y) for x in range(5) for y in range(5) if automaton.bits[(at := bit(x, y))[0]] & at[1]}
+    assert {(a, b), (ab, c)}.isdisjoint(there) and (a, a) in there and (b, ab) in there and (a, c) in there
+    at, mask = bit(abc, ab)
+    changed = bytearray(automaton.bits)
+    changed[at] &= 255 - mask
+    automaton.bits = bytes(changed)
+    assert automaton.encode_word("abcab") != [abc, ab]
+
+
+def test_memories_are_bounded_by_bytes():
+    made = []
+    memory = Remembered(lambda key: made.append(key) or key, most_bytes=10_000)
+    for i in range(1000):
+        memory[f"{i:0100}"]
+    assert len(memory) + len(memory.older) < 70 and len(made) == 1000
+    assert memory["x" * 50] == "x" * 50 and memory["x" * 50] and len(made) == 1001
 
 
 def test_long_texts_are_cut_at_spaces_only(vocabulary, monkeypatch):
     from ledgerloom.llm import bytelevel
 
     text = " ".join(texts(300))
-    whole = bpe_automaton.TokenAutomaton(vocabulary).encode(text)
+    ids, digest = encoder(vocabulary).encode(text), encoder(vocabulary).digest(text)
     monkeypatch.setattr(bytelevel, "SEGMENT", 50)
     assert len([*chunked(text, special_pattern({}))]) > 10
-    assert bpe_automaton.TokenAutomaton(vocabulary).encode(text) == whole
+    assert encoder(vocabulary).encode(text) == ids and encoder(vocabulary).digest(text) == digest
 
 
 def test_rows_of_every_kind(spark):
