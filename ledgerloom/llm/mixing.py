@@ -1,18 +1,24 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 A source's documents are shuffled (by a seeded hash of their ids) and queue up; a source
-may be gone through up to three times.  A copy's virtual finish time is the number of its
-source's words up to its end over the source's target.  The mix is all copies in order of
-virtual finish time, cut off where the words reach the total budget, which is virtual time
-1: there each source has been served its target.  A copy under service at that time is cut
-to the words served by then, so that each source's words come within one of its target.
+may be gone through up to three times.  A document is served in pieces of at most ``PIECE``
+words, so that a very long one doesn't hold up its source or run far over its target.  A
+piece's virtual finish time is the number of its source's words up to its end over the
+source's target.  The mix is all pieces in order of virtual finish time, cut off where their
+words reach the total budget, all words of the corpus; the piece there is cut to the words
+left.  So each source's words come within a piece or so of its target.
+
+The order is global but no global sort is needed to cut it: equal stretches of virtual time
+hold about equal words, so words are summed by stretch, the stretch in which the budget runs
+out is divided again until it's short, and only its pieces are sorted.
 
 Running totals never need one source in one task: rows fall into buckets by the shuffled
 order, buckets are summed and offset, and only the rows of one source and bucket are
-ordered together.
+ordered together.  There is one row for each source when targets are set, in one task.
 
 Null texts have size 0 and take nothing; a null source is a source of its own, after all
-others; repeated rows are rows of their own; empty tables give no rows.
+others; repeated rows are rows of their own, and tie; empty tables give no rows; very long
+texts are counted whole; columns of any name may stand beside those used.
 """
 
 from __future__ import annotations
@@ -27,6 +33,11 @@ ROWS_A_BUCKET = 256
 _SLOTS = 65536
 #: Sources whose cuts are broadcast; more are joined by shuffling.
 MOST_BROADCAST = 10_000
+#: Most words that are served at once.
+PIECE = 64
+#: Stretches of virtual time in which words are summed, and words of a stretch that is sorted as it is.
+STRETCHES, SORTED_WORDS = 1024, 1_000_000
+_MOST_DIVISIONS = 5  # beyond the resolution of a double
 #: Times that a source, and so a document, can be gone through.
 MOST_PASSES = 3
 
@@ -37,7 +48,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """source, source_size -> and target, from one row for each source.
+    """source, source_size -> and nth (by code point, null last) and target, from one row for each source.
 
     Sources weigh 1, 2, 3, repeating, by code point.  In order of the share at which a
     source meets its cap, a source is capped if the words left, shared by weight among it
@@ -58,6 +69,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         .withColumn("shared", F.min(F.when(~F.col("capped"), F.struct("full_at", "nth", "left", "weights_left"))).over(whole))
         .select(
             "source",
+            "nth",
             "source_size",
             F.when(F.col("capped"), F.col("cap").cast("double"))
             .otherwise(F.col("shared.left").cast("double") * F.col("weight") / F.col("shared.weights_left"))
@@ -71,7 +83,7 @@ def shuffle_key(seed: int, id_col: str) -> Column:
 
 
 def queue(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row a document: id, source, size, source_size, target, queued, and key, same, same_queued.
+    """One row a document: id, source, nth, size, source_size, target, queued, and key, same, same_queued.
 
     queued: the words of its source ahead of it in the shuffled order; same: how many rows
     of the source have its key and size; same_queued: the words ahead of the first of them.
@@ -85,44 +97,86 @@ def queue(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     targets = source_targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")))
-    offsets = sums.withColumn("offset", F.coalesce(F.sum("words").over(ahead), F.lit(0))).alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.source", "bucket", "offset", "source_size", "target")
+    offsets = sums.withColumn("offset", F.coalesce(F.sum("words").over(ahead), F.lit(0))).alias("o").join(targets.alias("t"), F.col("o.source").eqNullSafe(F.col("t.source"))).select("o.source", "bucket", "offset", "nth", "source_size", "target")
 
     within = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     alike = Window.partitionBy("source", "bucket", "key", "size")
     ranked = sized.withColumn("earlier", F.coalesce(F.sum("size").over(within), F.lit(0))).withColumn("same", F.count("*").over(alike)).withColumn("same_earlier", F.min("earlier").over(alike))
-    return (
+    return cut(
         ranked.alias("r")
         .join(offsets.alias("f"), (F.col("r.bucket") == F.col("f.bucket")) & F.col("r.source").eqNullSafe(F.col("f.source")))
-        .select(F.col("id").alias(id_col), F.col("r.source").alias("source"), "size", "source_size", "target", (F.col("offset") + F.col("earlier")).alias("queued"), "key", "same", (F.col("offset") + F.col("same_earlier")).alias("same_queued"))
+        .select(F.col("id").alias(id_col), F.col("r.source").alias("source"), "nth", "size", "source_size", "target", (F.col("offset") + F.col("earlier")).alias("queued"), "key", "same", (F.col("offset") + F.col("same_earlier")).alias("same_queued"))
     )
 
 
+def pieces(queued: DataFrame) -> DataFrame:
+    """nth (of the source), words, upto (the source's words up to its end) and finish of the pieces that begin before virtual time 1.
+
+    These hold the total budget: what a source would lack by then, its next piece holds.
+    """
+    copies = queued.filter("size > 0").withColumn("nth_pass", F.explode(F.array(*map(F.lit, range(MOST_PASSES)))))
+    copies = copies.withColumn("start", F.col("nth_pass") * F.col("source_size") + F.col("queued")).filter("start < target")
+    begun = F.least(F.col("size"), F.ceil(F.col("target") - F.col("start")))
+    cut_up = copies.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), begun - 1, F.lit(PIECE).cast("long"))))
+    upto = F.col("start") + F.least(F.col("at") + PIECE, F.col("size"))
+    return cut_up.select("nth", F.least(F.lit(PIECE), F.col("size") - F.col("at")).cast("long").alias("words"), upto.alias("upto"), (upto.cast("double") / F.col("target")).alias("finish"))
+
+
+def served(queued: DataFrame) -> DataFrame:
+    """nth and served of each source: its words among the pieces, by virtual finish time, that the budget holds."""
+    total = queued.agg(F.sum("size").alias("budget")).first()
+    left, rows = total["budget"] or 0, pieces(queued)
+    before, here = F.lit(False), F.lit(True)
+    for _ in range(_MOST_DIVISIONS):
+        held = rows.filter(here)
+        ends = held.agg(F.min("finish").alias("low"), F.max("finish").alias("high"), F.sum("words").alias("words")).first()
+        if (ends["words"] or 0) <= SORTED_WORDS or ends["low"] == ends["high"]:
+            break
+        low, width = ends["low"], (ends["high"] - ends["low"]) / STRETCHES
+        if not width > 0:
+            break
+        stretch = F.floor((F.col("finish") - F.lit(low)) / F.lit(width))
+        sums = held.groupBy(stretch.alias("stretch")).agg(F.sum("words").alias("words")).orderBy("stretch").collect()  # at most STRETCHES + 1
+        for r in sums[:-1]:
+            if r["words"] >= left:
+                break
+            left -= r["words"]
+        else:
+            r = sums[-1]
+        before, here = before | (here & (stretch < r["stretch"])), here & (stretch == r["stretch"])
+    order = Window.orderBy("finish", "nth", "upto").rowsBetween(Window.unboundedPreceding, -1)
+    last = rows.filter(here).withColumn("earlier", F.coalesce(F.sum("words").over(order), F.lit(0)))
+    last = last.select("nth", F.greatest(F.lit(0), F.least(F.col("words"), F.lit(left) - F.col("earlier"))).alias("words"))
+    whole = rows.filter(before).groupBy("nth").agg(F.sum("words").alias("words"))
+    return cut(whole.union(last.groupBy("nth").agg(F.sum("words").alias("words"))).groupBy("nth").agg(F.sum("words").cast("long").alias("served")))
+
+
+def with_served(queued: DataFrame) -> DataFrame:
+    """``queued`` with the served words of each row's source."""
+    each = served(queued)
+    each = F.broadcast(each) if each.count() <= MOST_BROADCAST else each
+    return queued.join(each, "nth", "left").withColumn("served", F.coalesce("served", F.lit(0)))
+
+
 def words_taken(nth_pass: int) -> Column:
-    """Of a row of ``queue``: the words that the mix takes in that pass (from 0)."""
-    served = F.floor("target") - (F.lit(nth_pass) * F.col("source_size") + F.col("queued"))
-    return F.greatest(F.lit(0), F.least(F.col("size"), served)).cast("long")
+    """Of a row of ``with_served``: the words that the mix takes in that pass (from 0)."""
+    rest = F.col("served") - (F.lit(nth_pass) * F.col("source_size") + F.col("queued"))
+    return F.greatest(F.lit(0), F.least(F.col("size"), rest)).cast("long")
 
 
 def mix(queued: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mix: id, source, pass, words, virtual_finish, in order of virtual finish time.
+    """The mix: id, source, pass, words, virtual_finish, range-sorted by virtual finish time.
 
     A row of ``queue`` gives a row for each copy that is taken, whole or cut.
     """
-    copies = queued.withColumn("copy", F.explode(F.array(*(F.struct(F.lit(n).alias("pass"), words_taken(n).alias("words")) for n in range(MOST_PASSES))))).filter("copy.words > 0")
+    copies = with_served(queued).withColumn("copy", F.explode(F.array(*(F.struct(F.lit(n).alias("pass"), words_taken(n).alias("words")) for n in range(MOST_PASSES))))).filter("copy.words > 0")
     finish = (F.col("copy.pass") * F.col("source_size") + F.col("queued") + F.col("size")) / F.col("target")
     return copies.select(id_col, "source", "copy.pass", "copy.words", finish.alias("virtual_finish")).orderBy("virtual_finish", id_col, "pass")
 
 
 def taken(queued: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Every document with its size, source_size, target and taken words, in order of its first virtual finish time."""
-    finish = F.when(F.col("target") > 0, (F.col("queued") + F.col("size")) / F.col("target"))
-    return (
-        queued.withColumn("taken", words_taken(0) + words_taken(1) + words_taken(2))
-        .withColumn("virtual_finish", finish)
-        .repartitionByRange("virtual_finish", id_col)
-        .sortWithinPartitions("virtual_finish", id_col)
-        .select(id_col, "size", "source_size", "target", "taken")
-    )
+    """Every document with its size, source_size, target and the words of it that the mix takes."""
+    return with_served(queued).select(id_col, "size", "source_size", "target", (words_taken(0) + words_taken(1) + words_taken(2)).alias("taken"))
 
 
 def fresh(name: str, taken: list[str]) -> str:
@@ -146,13 +200,12 @@ def draw(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str =
     move.  Of repeated rows at the cut each keeps an equal share.  A column n_chars, where
     there is one, follows the text.
     """
-    budget = F.floor("target")
     mine = {n: fresh(n, docs.columns) for n in ("source", "cut", "size", "at", "words")}
     cuts = (
-        queue(docs, seed, id_col, text_col, source_col)
+        with_served(queue(docs, seed, id_col, text_col, source_col))
         .filter("source_size > 0")
-        .withColumn("passes", F.floor(budget / F.col("source_size")))
-        .withColumn("rest", budget - F.col("passes") * F.col("source_size"))
+        .withColumn("passes", F.floor(F.col("served") / F.col("source_size")))
+        .withColumn("rest", F.col("served") - F.col("passes") * F.col("source_size"))
         .filter("queued <= rest AND rest < queued + size")
         .select(F.col("source").alias(mine["source"]), F.struct(F.col("passes").cast("int").alias("passes"), F.struct("key", "size").alias("at"), F.floor((F.col("rest") - F.col("same_queued")) / F.col("same")).alias("words")).alias(mine["cut"]))
         .distinct()

@@ -99,20 +99,30 @@ WITH sized AS (
 ), level AS (
     SELECT words_left, weights_left FROM shares WHERE NOT words_left * weight > cap * weights_left ORDER BY full_at, nth LIMIT 1
 ), targets AS (
-    SELECT s.source, s.source_size,
+    SELECT s.source, s.nth, s.source_size,
            CASE WHEN s.words_left * s.weight > s.cap * s.weights_left THEN CAST(s.cap AS DOUBLE)
                 ELSE CAST(l.words_left AS DOUBLE) * s.weight / CAST(l.weights_left AS DOUBLE) END AS target
     FROM shares s LEFT JOIN level l ON true
 ), queued AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target,
-           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS queued
+    SELECT d.doc_id, d.size, t.nth, t.source_size, t.target,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS queued
     FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), copies AS (
+    SELECT nth, target, size, pass * source_size + queued AS start FROM queued, (VALUES (0), (1), (2)) p(pass) WHERE size > 0 AND pass * source_size + queued < target
+), cut_up AS (
+    SELECT *, unnest(range(0, least(size, CAST(ceil(target - start) AS BIGINT)), 64)) AS begun FROM copies
+), pieces AS (
+    SELECT nth, least(64, size - begun) AS words, start + least(begun + 64, size) AS upto, CAST(start + least(begun + 64, size) AS DOUBLE) / target AS finish FROM cut_up
+), mix AS (
+    SELECT nth, words, coalesce(sum(words) OVER (ORDER BY finish, nth, upto ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM pieces
+), served AS (
+    SELECT nth, sum(greatest(0, least(words, (SELECT sum(size) FROM sized) - earlier))) AS served FROM mix GROUP BY nth
 )
 SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, floor(target) - queued))
-          + greatest(0, least(size, floor(target) - (source_size + queued)))
-          + greatest(0, least(size, floor(target) - (2 * source_size + queued))) AS BIGINT) AS taken
-FROM queued
+       CAST(greatest(0, least(size, coalesce(served, 0) - queued))
+          + greatest(0, least(size, coalesce(served, 0) - (source_size + queued)))
+          + greatest(0, least(size, coalesce(served, 0) - (2 * source_size + queued))) AS BIGINT) AS taken
+FROM queued LEFT JOIN served USING (nth)
 """
 
 
