@@ -19,24 +19,29 @@ linked when 100 * intersection >= 75 * union; the result is exact.
   a large group of near copies nor a common n-gram makes pairs of its members.
 
 Texts without words have an empty set, linked with nothing.  Rows without an id link with
-nothing and have no component.  Repeated rows are copies; columns other than the id and
-the text are ignored.  A hash stands for its n-gram and a set's hash for the set.
+nothing and have no component.  Repeated rows are copies; ties don't matter, as links alone
+decide; columns other than the id and the text are ignored, whatever their names; empty
+tables give no rows.  Very long texts are taken whole: a task holds the n-grams of a block
+of documents.  A 64-bit hash stands for a word and for an n-gram, and 128 bits for a set.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import cut
+from .bytelevel import Remembered
+from .durable import cut, tidy
 from .graph import components
+from .mixing import fresh
 
 #: Cells of the sketch and of the pieces in which it's summed.
 CELLS, PIECE = 1 << 20, 1 << 14
@@ -48,23 +53,13 @@ MOST_MATCHES = 6
 #: Cost of comparing two sets, in prefix rows read.
 COMPARE = 4.0
 
-_U = np.uint64
-_MULTIPLIER = 0x9E3779B97F4A7C15
-_SLICE = 1 << 18
-
-
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of bytes: a random number (A-Z as a-z) and whether it's blank; powers and inverse powers of the multiplier."""
-    random = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-    random[65:91] = random[97:123]
-    blank = np.zeros(256, bool)
-    blank[[32, *range(9, 14)]] = True
-    inverse = pow(_MULTIPLIER, -1, 1 << 64)
-    grow = lambda m: np.multiply.accumulate(np.concatenate([[_U(1)], np.full(_SLICE * 2, m, np.uint64)]))
-    return random, blank, grow(_MULTIPLIER), grow(inverse)
-
+#: A node in packed rows.
+NODE = np.dtype([("high", "<u8"), ("low", "<u8")])
+#: N-grams that a task holds at once, beyond those of one document.
+HELD = 400_000
 
-_RANDOM, _BLANK, _POWER, _INVERSE = _tables()
+_U = np.uint64
+_MULTIPLIER = _U(0x9E3779B97F4A7C15)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,57 +68,41 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def _slice_hashes(data: np.ndarray) -> np.ndarray:
-    edges = np.diff(np.concatenate([[True], _BLANK[data], [True]]).view(np.int8))
-    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_RANDOM[data] * _POWER[:n], out=sums[1:])
-    return _mixed((sums[ends] - sums[starts]) * _INVERSE[starts])
-
-
-def word_hashes(text: str) -> np.ndarray:
-    """A hash for each run of characters other than blanks, A-Z lower-cased."""
-    raw = text.encode()
-    data = np.frombuffer(raw, np.uint8)
-    if len(data) <= _SLICE:
-        return _slice_hashes(data)
-    parts, at = [], 0
-    while at < len(data):
-        end = at + _SLICE
-        if end < len(data):
-            blanks = np.flatnonzero(_BLANK[data[at:end]])
-            if len(blanks):
-                end = at + int(blanks[-1]) + 1
-            else:  # a word longer than a slice: hashed as a whole
-                while end < len(data) and not _BLANK[data[end]]:
-                    end += 1
-                import hashlib
-
-                parts.append(np.frombuffer(hashlib.blake2b(raw[at:end].lower(), digest_size=8).digest(), np.uint64))
-                at = end
-                continue
-        parts.append(_slice_hashes(data[at:end]))
-        at = end
-    return np.concatenate(parts)
-
-
-def ngrams(text: str | None, words: int = 5) -> np.ndarray:
-    """The sorted distinct n-grams; of fewer words the whole sequence as one."""
-    w = word_hashes(text) if text else np.zeros(0, np.uint64)
-    if not len(w):
-        return w
-    n = len(w) - words + 1
-    total = np.full(max(n, 1), 0 if n >= 1 else len(w), np.uint64)
-    for i in range(min(words, len(w))):
-        total = total * _U(_MULTIPLIER) + (w[i : i + n] if n >= 1 else w[i])
-    return np.unique(_mixed(total))
-
-
-def set_hash(grams: np.ndarray) -> int:
-    """A signed 64-bit hash of a sorted set of n-grams."""
-    place = _mixed(grams + np.arange(1, len(grams) + 1, dtype=np.uint64) * _U(_MULTIPLIER))
-    return int(_mixed(np.array([place.sum(dtype=np.uint64) + _U(len(grams))]))[0].view(np.int64))
+def word_hash(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+
+
+class NGrams:
+    """The hashed n-grams of texts, with a task's memory of words."""
+
+    def __init__(self, words: int = 5):
+        self.words, self.known = words, Remembered(word_hash, most_bytes=16 << 20)
+
+    def word_hashes(self, text: str) -> np.ndarray:
+        """Of each run of characters other than blanks, A-Z lower-cased; bytes split and lower-case by just these."""
+        found = text.encode().lower().split()
+        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        """The sorted distinct n-grams; of fewer words the whole sequence as one."""
+        w = self.word_hashes(text) if text else np.zeros(0, np.uint64)
+        if not len(w):
+            return w
+        n = len(w) - self.words + 1
+        total = np.full(max(n, 1), 0 if n >= 1 else len(w), np.uint64)
+        for i in range(min(self.words, len(w))):
+            total = total * _MULTIPLIER + _mixed(w[i : i + n] if n >= 1 else w[i : i + 1])
+        return np.unique(_mixed(total))
+
+
+def set_hash(grams: np.ndarray) -> bytes:
+    """A 128-bit hash of a sorted set of n-grams."""
+    return blake2b(grams.tobytes(), digest_size=16).digest()
+
+
+def _binary(nodes: np.ndarray) -> pa.Array:
+    """Rows of 16 bytes as an Arrow column."""
+    return pa.Array.from_buffers(pa.binary(), len(nodes), [None, pa.py_buffer(np.arange(0, 16 * len(nodes) + 1, 16, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(nodes))])
 
 
 def _cell(grams: np.ndarray) -> np.ndarray:
@@ -161,18 +140,21 @@ def choose_prefix(grams: np.ndarray, counts: np.ndarray, noise: float, rule: Rul
 
 
 def first_scan(docs: DataFrame, id_col: str, rule: Rule) -> DataFrame:
-    """id, node (hash of the set; null without n-grams) and n_shingles of every row; and each task's sketch, in pieces."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[0].dataType), T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("places", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+    """Of rows (id, text, mark): id, mark, node (hash of the set; null without n-grams) and n_shingles; and each task's sketch, in pieces."""
+    schema = T.StructType([T.StructField(id_col, docs.schema[0].dataType), T.StructField("mark", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("n_shingles", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("places", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, kind = np.zeros(CELLS, np.int64), None
+        cells, kind, grams = np.zeros(CELLS, np.int64), None, NGrams(rule.words)
         for batch in batches:
-            found, kind = [ngrams(t.as_py(), rule.words) for t in batch.column(1)], batch.column(0).type
-            n = len(found)
-            if n:
-                cells += np.bincount(_cell(np.concatenate(found)), minlength=CELLS)
-            nodes = [set_hash(g) if len(g) else None for g in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array([len(g) for g in found], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=schema.names)
+            kind, nodes, sizes = batch.column(0).type, [], []
+            for text in batch.column(1):
+                found = grams(text.as_py())
+                np.add.at(cells, _cell(found), 1)
+                nodes.append(set_hash(found) if len(found) else None)
+                sizes.append(len(found))
+            n = len(nodes)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names=schema.names)
         for piece in range(0, CELLS, PIECE):
             part = cells[piece : piece + PIECE]
             at = np.flatnonzero(part)
@@ -180,7 +162,7 @@ def first_scan(docs: DataFrame, id_col: str, rule: Rule) -> DataFrame:
                 dense = len(at) > PIECE // 2
                 width = np.uint16 if part.max() < 1 << 16 else np.int64
                 places, counts = (b"", part) if dense else (at.astype(np.uint16).tobytes(), part[at])
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece // PIECE], pa.int32()), pa.array([places], pa.binary()), pa.array([counts.astype(width).tobytes()], pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([piece // PIECE], pa.int32()), pa.array([places], pa.binary()), pa.array([counts.astype(width).tobytes()], pa.binary())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -218,7 +200,7 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
     noise = float(np.median(cells))
     shared = docs.sparkSession.sparkContext.broadcast(cells)
 
-    def packed(grams: list[np.ndarray], nodes: list[int], needs: list[int], sizes: list[int], heavy_bucket: int) -> Iterator[pa.RecordBatch]:
+    def packed(grams: list[np.ndarray], nodes: list[bytes], needs: list[int], sizes: list[int], heavy_bucket: int) -> Iterator[pa.RecordBatch]:
         all_grams = np.concatenate(grams)
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.minimum(np.arange(len(g)), 65535) for g in grams]).astype(np.uint16)
@@ -226,7 +208,7 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
         bucket[shared.value[_cell(all_grams)] > HEAVY] = heavy_bucket
         order = np.argsort(bucket, kind="stable")
         bounds = np.flatnonzero(np.diff(bucket[order], prepend=np.int64(-(1 << 40)), append=np.int64(1 << 40)))
-        node, need, size = np.array(nodes, np.int64), np.array(needs, np.uint8), np.array(sizes, np.uint32)
+        node, need, size = np.frombuffer(b"".join(nodes), NODE), np.array(needs, np.uint8), np.array(sizes, np.uint32)
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             rows = order[a:b]
             who, length = np.unique(owner[rows], return_counts=True)
@@ -235,11 +217,13 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
 
     names = ["bucket", "grams", "places", "nodes", "needs", "sizes", "lengths"]
 
+    @tidy
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ngrams = NGrams(rule.words)
         grams, nodes, needs, sizes, held, done = [], [], [], [], 0, set()
         for batch in batches:
             for text in batch.column(1):
-                found = ngrams(text.as_py(), rule.words)
+                found = ngrams(text.as_py())
                 if not len(found):
                     continue
                 node = set_hash(found)
@@ -252,19 +236,19 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
                 needs.append(need)
                 sizes.append(len(found))
                 held += len(prefix)
-                if held > 1_000_000:
-                    yield from packed(grams, nodes, needs, sizes, -1 - abs(node) % 1000)
+                if held > HELD:
+                    yield from packed(grams, nodes, needs, sizes, -1 - node[0])
                     grams, nodes, needs, sizes, held, done = [], [], [], [], 0, set()
         if grams:
-            yield from packed(grams, nodes, needs, sizes, -1 - abs(nodes[0]) % 1000)
+            yield from packed(grams, nodes, needs, sizes, -1 - nodes[0][0])
 
     def unpacked(row: tuple) -> tuple[np.ndarray, ...]:
-        grams, places, nodes, needs, sizes, lengths = (np.frombuffer(x, t) for x, t in zip(row, (np.uint64, np.uint16, np.int64, np.uint8, np.uint32, np.uint32), strict=True))
+        grams, places, nodes, needs, sizes, lengths = (np.frombuffer(x, t) for x, t in zip(row, (np.uint64, np.uint16, NODE, np.uint8, np.uint32, np.uint32), strict=True))
         return grams, places, *(np.repeat(x, lengths) for x in (nodes, needs, sizes))
 
     def rows_of(parts: list[tuple], single: bool) -> Iterator[pa.RecordBatch]:
         grams, places, nodes, needs, sizes = (np.concatenate(c) for c in zip(*map(unpacked, parts), strict=True))
-        order = np.lexsort((nodes, grams))
+        order = np.lexsort((nodes["low"], nodes["high"], grams))
         g, v = grams[order], nodes[order]
         first = np.ones(len(g), bool)
         first[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
@@ -275,8 +259,9 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
             order, g = order[many], g[many]
         for at in range(0, len(g), 100_000):
             part = order[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(g[at : at + 100_000].view(np.int64)), pa.array(nodes[part]), pa.array(needs[part].astype(np.int32)), pa.array(sizes[part].astype(np.int64)), pa.array(sizes[part].astype(np.int64) - places[part])], names=["gram", "node", "need", "n", "rest"])
+            yield pa.RecordBatch.from_arrays([pa.array(g[at : at + 100_000].view(np.int64)), _binary(nodes[part]), pa.array(needs[part].astype(np.int32)), pa.array(sizes[part].astype(np.int64)), pa.array(sizes[part].astype(np.int64) - places[part])], names=["gram", "node", "need", "n", "rest"])
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, parts = None, []
         for batch in batches:
@@ -293,12 +278,13 @@ def shared_prefixes(docs: DataFrame, cells: np.ndarray, rule: Rule) -> DataFrame
             yield from rows_of(parts, single=True)
 
     blobs = docs.mapInArrow(scan, "bucket long, grams binary, places binary, nodes binary, needs binary, sizes binary, lengths binary")
-    return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gram long, node long, need int, n long, rest long")
+    return blobs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "gram long, node binary, need int, n long, rest long")
 
 
 def packed_texts(docs: DataFrame, id_col: str) -> DataFrame:
     schema = T.StructType([T.StructField(id_col, docs.schema[0].dataType), T.StructField("packed", T.BinaryType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -315,8 +301,9 @@ def verify(blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """
     rows = blocks.join(texts, "node").select("target", "part", "asking", "role", "node", "packed")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdDecompressor()
+        press, ngrams = zstandard.ZstdDecompressor(), NGrams(rule.words)
         key, askers = None, {}
         for batch in batches:
             a, b = [], []
@@ -325,7 +312,7 @@ def verify(blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
                     key, askers = now, {}
                 if role == 1 and not askers or role == 0 and node in askers:
                     continue
-                grams = ngrams(press.decompress(packed).decode(), rule.words)
+                grams = ngrams(press.decompress(packed).decode())
                 if set_hash(grams) != node:
                     continue  # another text under the same id
                 if role == 0:
@@ -342,10 +329,10 @@ def verify(blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
                         a.append(min(asker, node))
                         b.append(max(asker, node))
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     keys = ["target", "part", "asking"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(compare, "a long, b long")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(compare, "a binary, b binary")
 
 
 def _parts(count, block: int = BLOCK):
@@ -419,13 +406,12 @@ def component_blocks(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return held.unionByName(asking)
 
 
-def classes(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles and component_id (the smallest id that links reach) of every row."""
-    rule = rule or Rule()
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
-    there = rows.filter(F.col(id_col).isNotNull())
+def _placed(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """id, mark (a hash of the text), n_shingles and component of every row; rows without an id or n-grams have no component."""
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark"))
+    there = rows.filter(F.col(id_col).isNotNull()).drop("mark")
     scanned = cut(first_scan(rows, id_col, rule))
-    nodes = scanned.filter("piece IS NULL").select(id_col, "node", "n_shingles")
+    nodes = scanned.filter("piece IS NULL").select(id_col, "mark", "node", "n_shingles")
     shared = cut(shared_prefixes(there, sketch(scanned), rule))
 
     wanted = nodes.filter(F.col(id_col).isNotNull() & F.col("node").isNotNull()).groupBy("node").agg(F.min(id_col).alias(id_col)).join(shared.select("node").distinct(), "node", "left_semi")
@@ -437,8 +423,33 @@ def classes(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", t
     links = verify(component_blocks(pairs, stars), texts, rule)
     labels = components(links.union(stars.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
-    placed = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    alone = F.col("component").isNull() | F.col(id_col).isNull()
+    placed = nodes.join(labels, "node", "left")
+    return placed.select(id_col, "mark", "n_shingles", F.when(F.col(id_col).isNotNull(), F.coalesce("component", "node")).alias("component"))
+
+
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def classes(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles and component_id (the smallest id that links reach) of every row."""
+    placed = _placed(docs, rule or Rule(), id_col, text_col)
+    alone = F.col("component").isNull()
     smallest = placed.filter(~alone).groupBy("component").agg(F.min(id_col).alias("component_id"))
     together = placed.filter(~alone).join(smallest, "component").select(id_col, "n_shingles", "component_id")
     return together.union(placed.filter(alone).select(id_col, "n_shingles", F.col(id_col).alias("component_id")))
+
+
+def one_of_each_class(docs: DataFrame, rule: Rule | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without an id or a word, and one row of each class: its smallest id's.
+
+    Where that id is repeated, a row with the text of the least hash, and of those the one
+    with the least columns: so columns must have an order.  Reruns agree.
+    """
+    mine, its_id, its_mark = (fresh(n, docs.columns) for n in ("mark", "first_id", "first_mark"))
+    placed = _placed(docs, rule or Rule(), id_col, text_col).filter("component IS NOT NULL")
+    first = placed.groupBy("component").agg(F.min(F.struct(id_col, "mark")).alias("least")).select(F.col(f"least.{id_col}").alias(its_id), F.col("least.mark").alias(its_mark))
+    linked = F.col(id_col).isNotNull() & F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = docs.filter(linked).withColumn(mine, _mark(text_col)).join(first, (F.col(id_col) == F.col(its_id)) & (F.col(mine) == F.col(its_mark)), "left_semi")
+    kept = kept.groupBy(id_col, mine).agg(F.min(F.struct(*docs.columns)).alias("least")).select("least.*")
+    return kept.union(docs.filter(~linked))

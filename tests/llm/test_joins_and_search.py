@@ -81,11 +81,53 @@ def test_classes_of_odd_rows(spark):
     assert jaccard_join.classes(docs.limit(0)).count() == 0
 
 
-def test_hashes_of_long_texts_are_those_of_their_words(monkeypatch):
-    text = " ".join(f"w{i}" for i in range(500)) + " " + "x" * 400 + " end"
-    whole = jaccard_join.word_hashes(text)
-    monkeypatch.setattr(jaccard_join, "_SLICE", 600)
-    assert (jaccard_join.word_hashes(text) == whole).all()
+def test_hashes_tell_words_apart_and_equal_words_alike():
+    grams = jaccard_join.NGrams()
+    one = two = "a"
+    for _ in range(12):  # Thue-Morse strings of 4096 letters: alike under polynomials modulo powers of two
+        one, two = one + two.translate(str.maketrans("ab", "ba")), two + one.translate(str.maketrans("ab", "ba"))
+    one, two = one[:4096], one.translate(str.maketrans("ab", "ba"))[:4096]
+    assert grams.word_hashes(one)[0] != grams.word_hashes(two)[0]
+    for size in (1 << 18, (1 << 18) - 1, (1 << 18) + 1, 1 << 19):
+        word = "Xy" * (size // 2) + "z" * (size % 2)
+        alone, inside = grams.word_hashes(word), grams.word_hashes("and " * 1000 + word.lower() + " end")
+        assert len(alone) == 1 and inside[1000] == alone[0] and len(set(inside.tolist())) == 3
+    assert len(grams.word_hashes("a\x1cb\x85c\u00a0d\te\x0bf")) == 3  # only blanks of ASCII part words
+
+
+def test_classes_of_very_long_words_and_texts(spark):
+    rng = random.Random(4)
+    words = ["q" * (1 << 18), "r" * (1 << 18), *(f"w{i}" for i in range(40))]
+    rows = [(1, " ".join(words)), (2, " ".join(w.upper() for w in words)), (3, words[0]), (4, words[0].upper()), (5, words[1]), (6, " ".join([words[1], words[0], *words[2:]]))]
+    long = [f"t{rng.randrange(2000)}" for _ in range(60_000)]
+    rows += [(7, " ".join(long)), (8, " ".join([*long[:30_000], "other", *long[30_000:]])), (9, " ".join(long[30_000:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(docs).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_large_groups_of_copies_and_a_hot_ngram(spark):
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(50)]
+    rows = [(i, " ".join(base)) for i in range(400)]
+    for i in range(400, 700):
+        near = base[:]
+        near[rng.randrange(50)] = f"n{i % 7}"
+        rows.append((i, " ".join(near)))
+    rows += [(i, " ".join(["the", "same", "five", "words", "here", *(f"x{i}_{k}" for k in range(3))])) for i in range(700, 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.classes(docs).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_one_of_each_class_when_ids_repeat(spark):
+    one, two = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(5, one, "s", 1), (5, two, "t", 2), (3, two.upper(), "u", 3), (5, one, "r", 4), (None, one, "v", 5), (None, one, "v", 6), (6, None, "w", 7), (7, " ", "w", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string, component long")
+    want = {(5, one, "r", 4), (3, two.upper(), "u", 3), *rows[4:]}
+    for parts in (1, 5):
+        assert {tuple(r) for r in jaccard_join.one_of_each_class(docs.repartition(parts)).collect()} == want
+    assert jaccard_join.one_of_each_class(docs.limit(0)).count() == 0
 
 
 def test_components(spark):
@@ -182,10 +224,11 @@ def test_mix_takes_targets_and_draws_the_same_words(spark):
     assert len(got) == len(rows) and sum(r["size"] for r in got) == sum(len((t or "").split()) for _, t, _ in rows)
     assert all(0 <= r["taken"] <= 3 * r["size"] for r in got)
     by = {}
-    for r in queued.select("source", "target", "source_size", sum((mixing.words_taken(n) for n in range(3)), start=mixing.words_taken(0) * 0).alias("taken")).collect():
+    for r in mixing.with_served(queued).select("source", "target", "source_size", sum((mixing.words_taken(n) for n in range(3)), start=mixing.words_taken(0) * 0).alias("taken")).collect():
         t = by.setdefault(r["source"], [r["target"], 0, r["source_size"]])
         t[1] += r["taken"]
-    assert all(abs(target - taken) < 1 and target <= 3 * size + 1e-9 for target, taken, size in by.values())
+    assert all(abs(target - taken) <= mixing.PIECE and target <= 3 * size + 1e-9 for target, taken, size in by.values())
+    assert sum(taken for _, taken, _ in by.values()) == sum(size for *_, size in by.values())
     assert math.isclose(sum(t for t, _, _ in by.values()), sum(s for *_, s in by.values()))
     assert sorted(map(str, got)) == sorted(str(r.asDict()) for r in mixing.taken(mixing.queue(docs.repartition(2))).collect())
     drawn = Counter()
@@ -196,6 +239,30 @@ def test_mix_takes_targets_and_draws_the_same_words(spark):
     assert order == sorted(order)
 
 
+@pytest.mark.parametrize("stretches", [2, 1024])
+def test_the_mix_is_what_sorted_finish_times_hold(spark, monkeypatch, stretches):
+    """Every piece in order of virtual finish time, up to the total budget."""
+    monkeypatch.setattr(mixing, "STRETCHES", stretches)
+    monkeypatch.setattr(mixing, "SORTED_WORDS", 300)
+    rng = random.Random(11)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 30, 150, 700])), rng.choice(["a", "b", "b", "b", "c", None])) for i in range(200)]
+    queued = mixing.queue(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    table = queued.collect()
+    line = []
+    for r in table:
+        for turn in range(3):
+            for at in range(0, r["size"], mixing.PIECE):
+                words = min(mixing.PIECE, r["size"] - at)
+                upto = turn * r["source_size"] + r["queued"] + at + words
+                line.append((upto / r["target"], r["nth"], upto, words, r["doc_id"]))
+    left, want = sum(r["size"] for r in table), Counter()
+    for *_, words, doc in sorted(line):
+        want[doc] += min(words, left)
+        left -= min(words, left)
+    got = {r["doc_id"]: r["taken"] for r in mixing.taken(queued).collect()}
+    assert got == {r["doc_id"]: want[r["doc_id"]] for r in table}
+
+
 def test_weights_share_what_capped_sources_leave(spark):
     sizes = {"a": 10, "b": 1000, "c": 1, "d": 500, None: 200}
     table = spark.createDataFrame([*sizes.items()], "source string, source_size long")
