@@ -1,7 +1,9 @@
 """From raw documents to token digests: five stages over the whole corpus.
 
 Each stage takes (spark, docs, sf_dir) and gives the documents that it keeps, with the
-columns of ``documents``; the last gives the digests of the encoded texts.
+columns of ``documents``; the last gives the digests of the encoded texts.  All stages take
+whole texts of any length, rows without an id, rows that repeat one, and empty tables, which
+give no rows; columns beyond those of ``documents`` are dropped.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe_automaton, jaccard_join, langid, mixing, toxicity
-from ledgerloom.llm.durable import checkpoint_dir, read
+from ledgerloom.llm.durable import checkpoint_dir, read, remove
 from ledgerloom.llm.registry import BPE_FILE
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,32 +23,44 @@ LEAST_LANGUAGE_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language can't be told: no letter, or no language likely enough."""
+    """Drops documents whose language can't be told: null or empty texts, no letter, or no language likely enough.
+
+    Repeated rows share one fate.  Without a labelled row nothing can be told and nothing stays.
+    """
     model = langid.fit(docs)
     return langid.annotate(docs.select(COLUMNS), model).filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select(COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents predicted toxic."""
+    """Drops documents predicted toxic; null and empty texts hold nothing toxic.
+
+    Repeated rows share one fate.  Without labels of both kinds every document has one score,
+    the share of toxic labels, and so all stay unless most labels are toxic.
+    """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.annotate(docs.select(COLUMNS), model).filter("toxic_predicted = 0").select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of near duplicates."""
-    kept = jaccard_join.classes(docs).filter("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    once = kept.filter("kept_id IS NOT NULL").distinct()
-    named = docs.select(COLUMNS).join(once, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.select(COLUMNS).filter("doc_id IS NULL"))
+    """Keeps one document of each class of near duplicates: that with the smallest id.
+
+    Documents without an id or a word are linked with nothing and stay, each row of them.  Of
+    rows that share the smallest id of their class one stays, whatever the order of rows; where
+    one id stands on texts of several classes, each class keeps its own.
+    """
+    return jaccard_join.one_of_each_class(docs.select(COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, once for each time, in random order; a cut one keeps the words taken."""
+    """The documents that the mix takes, once for each time; a cut one keeps the words taken.
+
+    Documents without a word take no part in a mix of words and go; a null source is one of its own.
+    """
     return mixing.draw(docs.select(COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row; a null text is an empty one."""
     return bpe_automaton.round_trip(docs, BPE_FILE)
 
 
@@ -63,7 +77,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
+    """All stages over ``documents``, each written as Parquet and read again by the next.
+
+    What a stage read is removed when the next has been written; the last is left to the caller.
+    """
     docs = read(spark, sf_dir, "documents")
     folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
@@ -71,4 +88,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{i}")
             docs = spark.read.parquet(f"{folder}/{i}")
+            if i:
+                remove(spark, f"{folder}/{i - 1}")
     return docs
