@@ -1,104 +1,111 @@
 """Toxicity by a support vector machine on a subsequence string kernel with Nyström landmarks.
 
-A text is a bag of sentences and a sentence a bag of strings: its words, lower-cased and
-freed of all but letters (so ``id-i.ot`` is ``idiot``), runs of single letters joined
+A text is split into sentences, and a sentence is seen through windows: its words, lower-cased
+and freed of all but letters (so ``id-i.ot`` is ``idiot``), runs of single letters joined
 (``i - d* i o t``) and any two neighbours of up to ``SHORT`` letters joined (``id iot``),
-whatever white space and signs lie between, each closed by an end mark, so that a whole word and a longer one that
-begins alike differ.  Strings are compared by the gap-weighted subsequence kernel of order 3: a
-subsequence counts ``DECAY`` to the power of the stretch that it covers, up to ``STRETCH``
-characters, so a match survives inserted characters; kernels are normalised.  A sentence
-scores as its worst string and a text as its worst sentence.
-
-Labels are of texts: every string of a text labelled clean is clean, and a text labelled
-toxic has some toxic string.  The strings whose toxic share in the labelled sample stands
-out beyond chance are taken as toxic; a string is counted once for each different context (the
-words on either side), so that copies of one text count once but a string that always
-follows one word counts in each text.  The machine learns the toxic strings
-against clean ones, adding those clean strings that it takes for toxic until none is left;
-a clean string weighs by its contexts, up to ``MOST_MASS``.  Landmarks are strings of both
-kinds.  As the kernel is an inner product of subsequence counts, the weights of all
-landmarks fold into one weight for each subsequence: scoring a string costs the same for
+whatever white space and signs lie between, each between end marks, so that a whole word and
+a longer one that begins or ends alike differ.  What is longer than ``WIDTH`` gives overlapping
+windows of that length.  Windows are compared by the gap-weighted subsequence kernel of order
+3: a subsequence counts ``DECAY`` to the power of the stretch that it covers, up to
+``STRETCH`` characters, so a match survives inserted characters; kernels are normalised.  The
+commonest letters have numbers of their own and all others share one.
+
+The machine is trained on labelled sentences.  A sentence of a clean text is clean: so is
+every window of it.  A toxic text has some toxic sentence, which the labels don't name, so
+the machine finds it (multiple-instance learning): at first every sentence of a toxic text
+counts as toxic; then, in turns, the machine picks the windows of toxic texts that it takes
+for toxic, of each text the worst at least, and learns those against all windows of clean
+sentences; at last it also learns two spellings of each,
+with a letter put in.  Windows of equal sentences count once, so that
+copies of a sentence are one.  A text scores as its worst sentence, a sentence as its worst
+window: what is toxic only as a combination of windows isn't learned.
+
+Landmarks are windows, of toxic and of clean sentences, at which the loss so far pulls
+hardest.  As the kernel is an inner product of subsequence counts, the weights of all
+landmarks fold into one weight for each subsequence: scoring a window costs the same for
 any number of landmarks, and is the Nyström machine's exact decision.
 
 Learning takes a bounded sample of labelled rows (``TOXIC_ROWS`` and ``CLEAN_ROWS``, in
-expectation, by a hash of the id, and of their clean strings ``CLEAN_STRINGS``); scoring
-runs over whole texts of all rows.  Null and empty texts score as a text without a string.
-Where the sample doesn't hold both labels, or no string stands out, every text gets one
-score: the share of toxic labels.  Repeated rows each give a row; labels that are null or
-repeated with both values count as neither.
+expectation, by a hash of the id, and of the windows in fewer than ``SEEN`` toxic sentences a
+share of ``RARE_WINDOWS``, also by hash); scoring runs over whole texts of all rows, of any
+length, a stretch of a text at a time.  Null and empty texts score as a text without a
+window.  Where the sample doesn't hold both labels, or no window, every text gets one score:
+the share of toxic labels.  Repeated rows each give a row; labels that are null or repeated
+with both values count as neither; ties between windows go to the first by code point;
+columns other than those named are ignored, whatever their names; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import cut
+from .durable import cut, small_batches, tidy
 from .langid import held_out
 
 #: Bounds of the sample that is learned from.
-TOXIC_ROWS, CLEAN_ROWS, CLEAN_STRINGS = 4000, 8000, 200_000
-LANDMARKS, ROUNDS = 512, 8
+TOXIC_ROWS, CLEAN_ROWS, RARE_WINDOWS = 4000, 8000, 200_000
+#: Toxic sentences from which a window is always in the sample.
+SEEN = 3
+#: Landmarks, how many are found at a time, rounds before and after toxic sentences are picked.
+LANDMARKS, AT_A_TIME, ROUNDS, TURNS = 512, 40, 8, 5
+#: Windows that the machine is first fitted on, and that a round adds.
+FIRST, MORE = 1500, 400
+#: Loss of a window for each sentence that holds it, and sentences that count.
+COST, MOST_COUNTED, PRIOR = 0.6, 30, 1.0
 #: Neighbours of so many letters at most are also joined.
 SHORT = 4
-#: Toxic strings that are also learned in disguise.
-VARIED = 200
 DECAY, STRETCH, WIDTH = 0.6, 6, 16
 SYMBOLS = 64
-#: Closes a string; no letter.
+#: Opens and closes a window's string; no letter.
 END = "."
-#: Words on either side that make the context of a string.
-AROUND = 2
-#: Contexts of a clean string that count towards its weight.
-MOST_MASS = 30
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
-_REMEMBERED = 250_000
-_AT_ONCE = 2000  # words whose subsequences are held together
-_WORK = 1 << 20  # characters whose new words are scored together
+_AT_ONCE = 2000  # windows whose subsequences are held together
+_WORK = 1 << 20  # characters whose new strings are scored together
+_MEMORY = 40 << 20  # bytes of strings that a task remembers, roughly
+
+# A sentence ends after a word of two letters or more, so that letters set apart by signs stay together.
+_SENTENCE_END = regex.compile(r"(?<=\w\w)(?:[.!?…]+(?=\s)|\s*\n)")
 
 
 def strings(text: str) -> list[str]:
     """A text's words, its runs of three single letters or more, joined, and its short neighbours, joined in twos."""
     words = text.split()
-    return words + [x for _, x in placed_joins(words)]
+    return words + joins(words)
 
 
 def joins(words: list[str]) -> list[str]:
     """Strings of three letters or more that gaps cut up; words without a letter lie in a gap."""
-    return [x for _, x in placed_joins(words)]
-
-
-def placed_joins(words: list[str]) -> list[tuple[int, str]]:
-    """The same, each with the place after its last word."""
-    out: list[tuple[int, str]] = []
-    run, before, end = "", "", 0
-    for i, w in enumerate(words, 1):
+    out: list[str] = []
+    run, before = "", ""
+    for w in words:
         x = w if len(w) > SHORT and w.isalpha() else letters(w)
         if not x:
             continue
         if len(x) == 1:
-            run, end = run + x, i
+            run += x
         else:
             if len(run) >= 3:
-                out.append((end, run))
+                out.append(run)
             run = ""
         if len(x) > SHORT:
             before = ""
             continue
         if before and len(before) + len(x) >= 3:
-            out.append((i, before + x))
+            out.append(before + x)
         before = x
     if len(run) >= 3:
-        out.append((end, run))
+        out.append(run)
     return out
 
 
@@ -107,16 +114,23 @@ def letters(word: str) -> str:
     return low if low.isalpha() else "".join(filter(str.isalpha, low))
 
 
-def contexts(text: str) -> set[tuple[str, int]]:
-    """The distinct strings of letters of a text, closed, each with a hash of the ``AROUND`` words on either side."""
-    words = text.split()
-    plain = [letters(w) for w in words]
-    found = set()
-    for at, x in [*enumerate(plain, 1), *((at, letters(x)) for at, x in placed_joins(words))]:
-        if x:
-            near = " ".join([*plain[max(0, at - 1 - AROUND) : at - 1], "", *plain[at : at + AROUND]])
-            found.add(((x + END)[:WIDTH], int.from_bytes(blake2b(near.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)))
-    return found
+def windows_of(string: str) -> list[str]:
+    """The windows of a closed string, each of at most WIDTH characters."""
+    if len(string) <= WIDTH:
+        return [string]
+    return [string[at : at + WIDTH] for at in range(0, len(string) - WIDTH // 2, WIDTH // 2)]
+
+
+def sentences(text: str) -> Iterator[set[str]]:
+    """The windows of each sentence."""
+    for sentence in _SENTENCE_END.split(text):
+        if found := {w for s in strings(sentence) if (x := letters(s)) for w in windows_of(END + x + END)}:
+            yield found
+
+
+def sentence_hash(windows: set[str]) -> int:
+    """Equal for sentences with the same windows."""
+    return int.from_bytes(blake2b(" ".join(sorted(windows)).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
 @dataclass
@@ -134,16 +148,11 @@ class Symbols:
         common = sorted(seen, key=lambda c: (-seen[c], c))[: SYMBOLS - 2]
         return Symbols({c: i + 1 for i, c in enumerate(common)})
 
-    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Windows of WIDTH letters of all words, and the word of each window."""
-        windows, owner = [], []
-        for i, w in enumerate(words):
-            for at in range(0, max(1, len(w) - WIDTH // 2), WIDTH // 2) if len(w) > WIDTH else (0,):
-                windows.append(w[at : at + WIDTH])
-                owner.append(i)
+    def rows(self, windows: list[str]) -> np.ndarray:
+        """A row of numbers for each window."""
         number, rare = self.number, SYMBOLS - 1
         coded = b"".join([bytes([number.get(c, rare) for c in w]).ljust(WIDTH, b"\0") for w in windows])
-        return np.frombuffer(coded, np.uint8).reshape(-1, WIDTH).astype(np.int32), np.array(owner, np.int64)
+        return np.frombuffer(coded, np.uint8).reshape(-1, WIDTH).astype(np.int32)
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,23 +186,33 @@ class ToxicityModel:
     slope: float
     offset: float
 
-    def decide(self, words: list[str]) -> np.ndarray:
-        """The machine's decision for each string of letters; its largest over a long string's windows."""
-        out = np.full(len(words), -2.0)
-        for at in range(0, len(words), _AT_ONCE):
-            part = words[at : at + _AT_ONCE]
-            rows, owner = self.symbols.rows(part)
-            ids, w = subsequences(rows)
-            value = (self.weights[ids] * w).sum(1) / norms(ids, w) + self.bias
-            value = np.where(rows[:, 2] > 0, np.clip(value, -2.0, 2.0), -2.0)
-            np.maximum.at(out, at + owner, value)
+    def decide(self, windows: list[str]) -> np.ndarray:
+        """The machine's decision for each window; windows of fewer than three characters have none and get the least."""
+        parts = [self.decide_rows(rows := self.symbols.rows(windows[at : at + _AT_ONCE]), norms(*subsequences(rows))) for at in range(0, len(windows), _AT_ONCE)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+    def decide_rows(self, rows: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        ids, w = subsequences(rows)
+        value = self.weights[ids] @ w / norm + self.bias
+        return np.where(rows[:, 2] > 0, np.clip(value, -2.0, 2.0), -2.0)
+
+    def decide_strings(self, strings: list[str]) -> np.ndarray:
+        """For strings of a text: the decision of the worst window of each."""
+        windows, owner = [], []
+        for i, s in enumerate(strings):
+            if x := letters(s):
+                own = windows_of(END + x + END)
+                windows += own
+                owner += [i] * len(own)
+        out = np.full(len(strings), -2.0)
+        np.maximum.at(out, np.array(owner, np.int64), self.decide(windows))
         return out
 
     def probability(self, decision: float) -> float:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * decision + self.offset))))
 
     def scores(self, texts: Iterator[str | None], known: dict[str, float]) -> Iterator[float]:
-        """The decision for each text; ``known`` remembers words."""
+        """The decision for each text; ``known`` remembers strings."""
         waiting: list[set[str]] = []
         size = 0
         for text in texts:
@@ -205,18 +224,19 @@ class ToxicityModel:
         yield from self._settle(waiting, known)
 
     def _settle(self, waiting: list[set[str]], known: dict[str, float]) -> Iterator[float]:
-        new = [w for w in set().union(*waiting) if w not in known] if waiting else []
-        if len(known) + len(new) > _REMEMBERED:
+        asked = set().union(*waiting)
+        if len(known) * 130 > _MEMORY:
             known.clear()
-            new = [*set().union(*waiting)]
-        known.update(zip(new, self.decide([letters(w) + END for w in new]).tolist() if new else [], strict=True))
-        for words in waiting:
-            yield max(map(known.__getitem__, words), default=-2.0)
+        new = [s for s in asked if s not in known]
+        found = dict(zip(new, self.decide_strings(new).tolist(), strict=True)) if new else {}
+        known.update((s, d) for s, d in found.items() if len(s) <= 4 * WIDTH)
+        for own in waiting:
+            yield max((known[s] if s in known else found[s] for s in own), default=-2.0)
 
 
-def _kernel(symbols: Symbols, words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernels of words (their first window) with landmarks."""
-    marks, w = subsequences(symbols.rows([m[:WIDTH] for m in landmarks])[0])
+def _kernel(symbols: Symbols, windows: list[str], landmarks: list[str]) -> np.ndarray:
+    """Normalised kernels of windows with landmarks."""
+    marks, w = subsequences(symbols.rows(landmarks))
     column = np.zeros(SYMBOLS**3, np.int32)
     there = np.unique(marks[marks > 0])
     column[there] = np.arange(1, len(there) + 1)
@@ -229,94 +249,138 @@ def _kernel(symbols: Symbols, words: list[str], landmarks: list[str]) -> np.ndar
         return (out / norms(ids, w)[:, None]).astype(np.float32)
 
     right = dense(marks).T
-    parts = [dense(subsequences(symbols.rows([x[:WIDTH] for x in words[at : at + 500]])[0])[0]) @ right for at in range(0, len(words), 500)]
+    parts = [dense(subsequences(symbols.rows(windows[at : at + 500]))[0]) @ right for at in range(0, len(windows), 500)]
     return np.concatenate(parts).astype(np.float64)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, mass: np.ndarray | None = None, cost: float = 20.0, steps: int = 30) -> np.ndarray:
-    """Primal support vector machine with squared hinge loss by Newton's method; classes weigh alike before each row's mass; the last column isn't penalised."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * cost * (y > 0).sum()
-    if mass is not None:
-        weight = weight * mass
+def fit_svm(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, steps: int = 30) -> np.ndarray:
+    """Primal support vector machine with squared hinge loss by Newton's method.
+
+    ``toxic`` and ``clean`` are each row's masses under either label; the last column isn't penalised.
+    """
     w = np.zeros(x.shape[1])
     penal = np.ones(x.shape[1])
     penal[-1] = 1e-6
 
     def loss(v: np.ndarray) -> float:
-        return float(0.5 * (penal * v * v).sum() + (weight * np.maximum(0, 1 - y * (x @ v)) ** 2).sum())
+        f = x @ v
+        return float(0.5 * (penal * v * v).sum() + (toxic * np.maximum(0, 1 - f) ** 2 + clean * np.maximum(0, 1 + f) ** 2).sum())
 
+    now = loss(w)
     for _ in range(steps):
-        inside = y * (x @ w) < 1
-        xs, ws = x[inside], weight[inside]
-        gradient = penal * w - 2 * xs.T @ (ws * (y[inside] - xs @ w))
-        step = np.linalg.solve(2 * (xs * ws[:, None]).T @ xs + np.diag(penal), gradient)
-        rate, now = 1.0, loss(w)
-        while rate > 1e-4 and loss(w - rate * step) > now:
+        f = x @ w
+        up, down = toxic * (f < 1), clean * (f > -1)
+        gradient = penal * w - 2 * x.T @ (up * (1 - f) - down * (1 + f))
+        step = np.linalg.solve(2 * (x * (up + down)[:, None]).T @ x + np.diag(penal), gradient)
+        rate, before = 1.0, now
+        while rate > 1e-4 and (now := loss(w - rate * step)) > before:
             rate /= 2
         w = w - rate * step
-        if np.abs(step).max() < 1e-7:
+        if before - now <= 1e-5 * before:
             break
     return w
 
 
-def disguised(word: str, seed: int = 0) -> list[str]:
-    """Two spellings of a closed toxic string with a letter put in."""
-    if not 6 <= len(word) < WIDTH:
+def disguised(window: str, seed: int = 0) -> list[str]:
+    """Two spellings of a window of a whole string with a letter put in."""
+    if not 7 <= len(window) < WIDTH or window[0] != END or window[-1] != END:
         return []
-    rng = np.random.default_rng([seed, *(ord(c) for c in word)])
-    return [word[:at] + chr(ord("a") + int(rng.integers(26))) + word[at:] for at in rng.choice(np.arange(1, len(word)), 2, replace=False)]
-
-
-def learn_strings(toxic: dict[str, int], clean: dict[str, int], base: float) -> tuple[Symbols, np.ndarray, float, list[str]] | None:
-    """Weights, bias and the most toxic strings, from how many contexts in toxic and in clean texts each string has.
+    rng = np.random.default_rng([seed, *map(ord, window)])
+    return [window[:at] + chr(ord("a") + int(rng.integers(26))) + window[at:] for at in rng.choice(np.arange(2, len(window) - 1), 2, replace=False)]
+
+
+class Learner:
+    """Fits the machine to windows, with how many toxic and clean sentences hold each; finds landmarks as it goes."""
+
+    def __init__(self, windows: list[str], toxic: np.ndarray, clean: np.ndarray):
+        self.windows, self.clean = windows, clean
+        self.symbols = Symbols.of(windows)
+        self.rows = self.symbols.rows(windows).astype(np.uint8)
+        self.norms = np.concatenate([norms(*subsequences(self.rows[at : at + _AT_ONCE].astype(np.int32))) for at in range(0, len(windows), _AT_ONCE)])
+        self.landmarks: list[int] = []
+        self.active: list[int] = []
+        # Windows of toxic sentences are far fewer: both kinds weigh alike in all.
+        self.weigh(toxic, clean.sum() / toxic.sum(), PRIOR)
+
+    def weigh(self, toxic: np.ndarray, times: float = 1.0, prior: float = 0.0) -> None:
+        """Masses of the windows under either label, from counts of toxic ones, each weighing so many times a clean one.
+
+        ``prior`` sentences of either kind are added to each window's, so that rare ones say little.
+        """
+        mass = COST * np.minimum(toxic + self.clean, MOST_COUNTED)
+        share = times * (toxic + prior) / np.maximum(times * (toxic + 2 * prior) + self.clean, 1e-9)
+        self.up, self.down = mass * share, mass * (1 - share)
+
+    def add(self, windows: list[str], toxic: np.ndarray) -> None:
+        """More windows, of toxic sentences only, in the fit from now on."""
+        rows = self.symbols.rows(windows)
+        self.active += range(len(self.windows), len(self.windows) + len(windows))
+        self.windows, self.clean = self.windows + windows, np.append(self.clean, np.zeros(len(windows)))
+        self.rows, self.norms = np.concatenate([self.rows, rows.astype(np.uint8)]), np.append(self.norms, norms(*subsequences(rows)))
+        mass = COST * np.minimum(toxic, MOST_COUNTED)
+        self.up, self.down = np.append(self.up, mass), np.append(self.down, np.zeros(len(windows)))
+
+    def decisions(self, model: ToxicityModel) -> np.ndarray:
+        return np.concatenate([model.decide_rows(self.rows[at : at + _AT_ONCE].astype(np.int32), self.norms[at : at + _AT_ONCE]) for at in range(0, len(self.windows), _AT_ONCE)])
+
+    def pull(self, decisions: np.ndarray) -> np.ndarray:
+        """How hard the loss pulls at each window's decision."""
+        return np.abs(self.up * np.maximum(0, 1 - decisions) - self.down * np.maximum(0, 1 + decisions))
+
+    def _add(self, pull: np.ndarray, landmarks: int, active: int) -> None:
+        order = np.argsort(-pull, kind="stable")
+        held, used = set(self.landmarks), set(self.active)
+        self.landmarks += [i for i in order[: landmarks + len(held)].tolist() if i not in held][: min(landmarks, LANDMARKS - len(held))]
+        self.active += [i for i in order[: active + len(used)].tolist() if i not in used and pull[i] > 1e-3][:active]
+
+    def fit(self, model: ToxicityModel | None = None) -> ToxicityModel:
+        """The machine after a round: with more landmarks, and more windows, where the one before was pulled hardest."""
+        if model is None:
+            self._add(np.abs(self.up - self.down), AT_A_TIME, FIRST)
+            spread = np.random.default_rng(0).permutation(len(self.windows))[:FIRST].tolist()
+            self.active = list(dict.fromkeys([*self.active, *spread]))
+        else:
+            self._add(self.pull(self.decisions(model)), AT_A_TIME, MORE)
+        return self._machine()
 
-    A string stands out if most of its contexts are toxic and its log-likelihood ratio
-    against the overall share, ``base``, exceeds what the number of strings makes likely
-    by chance.
-    """
-    must = math.log(max(2, len(toxic))) + 2
-
-    def ratio(w: str) -> float:
-        t, c = toxic[w], clean.get(w, 0)
-        p = t / (t + c)
-        return 0.0 if p <= max(0.5, base) else t * math.log(p / base) + (c * math.log((1 - p) / (1 - base)) if c else 0.0)
-
-    found = {w: r for w in toxic if len(w) >= 4 and (r := ratio(w)) > must}
-    if not found:
-        return None
-    strong = sorted(found, key=lambda w: (-found[w], w))[:2000]
-    positive = [*strong]
-    positive += [v for w in positive[:VARIED] for v in disguised(w) if v not in clean]
-    symbols = Symbols.of([*toxic, *clean])
-    apart = set(positive)
-    candidates = [w for w in clean if len(w) >= 4 and w not in apart]
-    frequent = sorted(candidates, key=lambda w: (-clean[w], w))
-    drawn = np.random.default_rng(0).permutation(len(frequent))
-    negative = [*frequent[:1000], *(frequent[i] for i in drawn[:2000] if i >= 1000)]
-    hardest = negative[: LANDMARKS // 4]
-    probe = ToxicityModel(symbols, None, 0.0, 1.0, 0.0)
-    for _ in range(ROUNDS):
-        landmarks = list(dict.fromkeys(strong[: LANDMARKS // 2] + hardest))
-        values, vectors = np.linalg.eigh(_kernel(symbols, landmarks, landmarks))
+    def _machine(self) -> ToxicityModel:
+        landmarks = [self.windows[i] for i in self.landmarks]
+        values, vectors = np.linalg.eigh(_kernel(self.symbols, landmarks, landmarks))
         kept = values > 1e-6 * values[-1]
         half = vectors[:, kept] / np.sqrt(values[kept])
-        x = _kernel(symbols, positive + negative, landmarks) @ half
-        y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        mass = np.array([1.0] * len(positive) + [float(min(MOST_MASS, clean[n])) for n in negative])
-        w = fit_svm(np.hstack([x, np.ones((len(x), 1))]), y, mass)
-        ids, weight = subsequences(symbols.rows([m[:WIDTH] for m in landmarks])[0])
+        x = _kernel(self.symbols, [self.windows[i] for i in self.active], landmarks) @ half
+        w = fit_svm(np.hstack([x, np.ones((len(x), 1))]), self.up[self.active], self.down[self.active])
+        ids, weight = subsequences(self.symbols.rows(landmarks))
         share = (half @ w[:-1]) / norms(ids, weight)
         folded = np.bincount(ids.ravel(), (share[:, None] * weight[None, :]).ravel(), minlength=SYMBOLS**3)
         folded[0] = 0
-        probe = ToxicityModel(symbols, folded.astype(np.float32), float(w[-1]), 1.0, 0.0)
-        decisions = probe.decide(candidates)
-        order, known = np.argsort(-decisions, kind="stable"), set(negative)
-        wrong = [candidates[i] for i in order[:500] if decisions[i] > -0.8 and candidates[i] not in known]
-        hardest = list(dict.fromkeys([*(candidates[i] for i in order[: LANDMARKS // 8]), *wrong[: LANDMARKS // 8], *hardest]))[: LANDMARKS // 2]
-        negative += wrong
-        if not wrong:
-            break
-    return symbols, probe.weights, probe.bias, strong[:VARIED]
+        return ToxicityModel(self.symbols, folded.astype(np.float32), float(w[-1]), 1.0, 0.0)
+
+
+def learn(windows: list[str], toxic: np.ndarray, clean: np.ndarray, worst_windows: Callable[[ToxicityModel], dict[str, int]]) -> tuple[ToxicityModel, list[str]]:
+    """The machine, and spellings of toxic windows that it hasn't seen.
+
+    ``worst_windows`` tells in how many toxic texts a model finds each window toxic, or the worst.
+    """
+    learner = Learner(windows, toxic, clean)
+    model = None
+    for _ in range(ROUNDS):
+        model = learner.fit(model)
+    at = {w: i for i, w in enumerate(windows)}
+    for turn in range(TURNS):
+        picked = np.zeros(len(windows))
+        for w, n in worst_windows(model).items():
+            if w in at:
+                picked[at[w]] = n
+        learner.weigh(picked)
+        if turn == TURNS - 1:
+            spelt = {v: picked[at[w]] for w in windows if picked[at[w]] >= SEEN for v in disguised(w) if v not in at}
+            if spelt:
+                learner.add([*spelt], np.array([*spelt.values()]))
+            model = learner.fit(model)
+        model = learner.fit(model)
+    unseen = [v for w in windows if picked[at[w]] >= SEEN for v in disguised(w, 1) if v not in at]
+    return model, unseen
 
 
 def fit_slope(decisions: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -349,32 +413,54 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     # The marks drawn are bounded by the sample's size, so texts needn't move to meet them.
     marks = cut(marks.filter("id IS NOT NULL"))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(marks), "id").select("toxic", "text")
+    sample = cut(small_batches(sample))
 
+    @tidy
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = [sorted(contexts(t.as_py() or "")) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([[p[i] for p in ps] for ps in pairs], pa.list_(kind)) for i, kind in enumerate((pa.string(), pa.int64())))], names=["toxic", "words", "around"])
-
-    held = sample.mapInArrow(take, "toxic int, words array<string>, around array<bigint>")
-    held = held.select("toxic", F.explode(F.arrays_zip("words", "around")).alias("p")).select("toxic", "p.words", "p.around")
-    pairs = held.groupBy("words", "around").agg(F.max("toxic").alias("t"), F.max(1 - F.col("toxic")).alias("c"))
-    by_word = cut(pairs.groupBy(F.col("words").alias("word")).agg(F.sum("t").cast("long").alias("t"), F.sum("c").cast("long").alias("c")))
-    sums = by_word.agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.sum("c").alias("c")).first()
-    if not sums["t"] or not sums["c"]:
-        return constant
-    # Toxic candidates have several toxic contexts; of the other strings a bounded share is drawn by hash.
-    lot = F.pmod(F.xxhash64("word"), F.lit(1_000_000)) / 1e6 < F.lit(CLEAN_STRINGS / sums["n"])
-    rows = by_word.filter((F.col("t") >= 3) | ((F.col("c") > 0) & lot)).collect()
-    rows.sort(key=lambda r: r["word"])
-    clean = {r["word"]: r["c"] for r in rows if r["c"]}
-    learned = learn_strings({r["word"]: r["t"] for r in rows if r["t"]}, clean, sums["t"] / (sums["t"] + sums["c"]))
-    if learned is None:
+            toxic, found, held_in = [], [], []
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for own in sentences(text.as_py() or ""):
+                    toxic.append(label)
+                    found.append(sorted(own))
+                    held_in.append(sentence_hash(own))
+            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(held_in, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["toxic", "sentence", "windows"])
+
+    said = sample.mapInArrow(take, "toxic int, sentence long, windows array<string>")
+    # Equal sentences are one; one that clean texts hold too is clean.
+    said = said.groupBy("sentence").agg(F.min("toxic").alias("toxic"), F.min("windows").alias("windows"))
+    by_window = said.select("toxic", F.explode("windows").alias("window")).groupBy("window").agg(F.sum("toxic").cast("long").alias("t"), F.sum(1 - F.col("toxic")).cast("long").alias("c"))
+    by_window = cut(by_window)
+    rare = by_window.filter(F.col("t") < SEEN).count()
+    lot = F.pmod(F.xxhash64("window"), F.lit(1_000_000)) / 1e6 < F.lit(RARE_WINDOWS / max(1, rare))
+    sampled = by_window.filter((F.col("t") >= SEEN) | lot)
+    drawn_windows = sampled.select("window")
+    rows = sorted(map(tuple, sampled.collect()))
+    windows, toxic, clean = [r[0] for r in rows], np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
+    if not toxic.any() or not clean.any():
         return constant
-    *learned, strong = learned
-    model = ToxicityModel(*learned, slope=1.0, offset=0.0)
+
+    def worst_windows(model: ToxicityModel) -> dict[str, int]:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        @tidy
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = shared.value
+            for batch in batches:
+                worst = []
+                for text in batch.column(1):
+                    found = sorted(set().union(*sentences(text.as_py() or "")))
+                    if found:
+                        decided = own.decide(found)
+                        worst += {found[int(np.argmax(decided))], *(found[i] for i in np.flatnonzero(decided > 0))}
+                yield pa.RecordBatch.from_arrays([pa.array(worst, pa.string())], names=["window"])
+
+        picked = sample.filter("toxic = 1").mapInArrow(pick, "window string").groupBy("window").agg(F.count("*").alias("n"))
+        return {r["window"]: r["n"] for r in picked.join(drawn_windows, "window").collect()}  # of the bounded windows only
+
+    model, unseen = learn(windows, toxic, clean, worst_windows)
+    # The sigmoid is set for the sample's shares, with spellings that weren't learned among the toxic.
     seen = [(r["decision"], r["toxic"]) for r in _decide(sample, model, "toxic").collect()]
-    # The sigmoid is set for the sample's shares, with disguises that weren't learned among the toxic.
-    unseen = [v for w in strong for v in disguised(w, 1) if v not in clean]
     seen = np.array([*seen, *((d, 1) for d in model.decide(unseen))], float)
     model.slope, model.offset = fit_slope(seen[:, 0], seen[:, 1])
     return model
@@ -385,6 +471,7 @@ def _decide(rows: DataFrame, model: ToxicityModel, id_col: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("decision", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = shared.value, {}
         for batch in batches:
@@ -396,7 +483,7 @@ def _decide(rows: DataFrame, model: ToxicityModel, id_col: str) -> DataFrame:
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score (0 to 1) and predicted (1 from 0.5) of every row: one scan, no shuffle."""
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     z = F.lit(model.slope) * F.col("decision") + F.lit(model.offset)
     return _decide(rows, model, id_col).select(id_col, (1 / (1 + F.exp(-z))).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -404,10 +491,11 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 def annotate(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """``docs`` with toxic_score and toxic_predicted (in place of columns of those names): one scan, no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.drop("toxic_score", "toxic_predicted")
+    rows = small_batches(docs.drop("toxic_score", "toxic_predicted"))
     at = rows.columns.index(text_col)
     schema = T.StructType([*rows.schema.fields, T.StructField("toxic_score", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = shared.value, {}
         for batch in batches:

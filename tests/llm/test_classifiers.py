@@ -39,17 +39,35 @@ def test_counts_do_not_depend_on_slices(monkeypatch):
 
 
 def test_folded_decision_is_the_nystrom_machine():
-    symbols = toxicity.Symbols.of(["idiot", "moron", "clean", "words"])
-    marks = ["idiot", "moron", "words"]
+    symbols = toxicity.Symbols.of([".idiot.", ".moron.", ".clean.", ".words."])
+    marks = [".idiot.", ".moron.", ".words."]
     share = np.array([0.7, -0.2, 0.4])
-    ids, weight = toxicity.subsequences(symbols.rows(marks)[0])
+    ids, weight = toxicity.subsequences(symbols.rows(marks))
     folded = np.bincount(ids.ravel(), ((share / toxicity.norms(ids, weight))[:, None] * weight[None, :]).ravel(), minlength=toxicity.SYMBOLS**3)
     folded[0] = 0
     model = toxicity.ToxicityModel(symbols, folded, 0.1, 1.0, 0.0)
-    probe = ["idiot", "idxiot", "mooron", "sword"]
+    probe = [".idiot.", ".idxiot.", ".mooron.", ".sword."]
     assert np.allclose(model.decide(probe), toxicity._kernel(symbols, probe, marks) @ share + 0.1, atol=1e-5)
 
 
+def test_the_machine_is_at_the_least_of_its_loss():
+    rng = np.random.default_rng(3)
+    x = np.hstack([rng.normal(size=(60, 4)), np.ones((60, 1))])
+    up, down = rng.random(60) * (x[:, 0] > -0.5), rng.random(60) * (x[:, 0] < 0.5)
+
+    def loss(v):
+        f = x @ v
+        return 0.5 * (v[:-1] ** 2).sum() + (up * np.maximum(0, 1 - f) ** 2 + down * np.maximum(0, 1 + f) ** 2).sum()
+
+    w = toxicity.fit_svm(x, up, down)
+    assert all(loss(w + 0.05 * d) > loss(w) - 1e-3 for d in rng.normal(size=(200, 5)))
+    slow = np.zeros(5)
+    for _ in range(4000):
+        f = x @ slow
+        slow -= 0.005 * (np.append(slow[:-1], 0) - 2 * x.T @ (up * np.maximum(0, 1 - f) - down * np.maximum(0, 1 + f)))
+    assert abs(loss(w) - loss(slow)) < 1e-2 * loss(slow)
+
+
 def test_kernel_is_that_of_gapped_subsequences():
     def count(a):
         out = {}
@@ -100,10 +118,33 @@ def test_an_insult_after_always_the_same_word_is_learned(spark):
     assert np.mean([found[i] == (i % 4 == 0) for i in held]) > 0.98 and found[2000] == 1
 
 
-def test_copies_of_a_text_give_one_context():
-    assert len(toxicity.contexts("see you zogwat now then") | toxicity.contexts("See you, zogwat now then!")) == len(toxicity.contexts("see you zogwat now then"))
-    seen = [c for t in ("see you zogwat now", "ask you zogwat here") for c in toxicity.contexts(t) if c[0] == "zogwat."]
-    assert len(set(seen)) == 2
+def test_sentences_and_their_windows():
+    found = [*toxicity.sentences("See you, zogwat now. Then i . d . i . o . t!\nThe\nend")]
+    assert [".see." in f for f in found] == [True, False, False] and ".idiot." in found[1] and ".end." in found[2]
+    copies = [toxicity.sentence_hash(next(toxicity.sentences(t))) for t in ("see you zogwat", "See you, zogwat!", "see zogwat")]
+    assert copies[0] == copies[1] != copies[2]
+    long = "abcdefghijklmnopqrstuvwxyz" * 3
+    windows = next(toxicity.sentences(long))
+    assert max(map(len, windows)) <= toxicity.WIDTH and all(any(long[i : i + 6] in w for w in windows) for i in range(len(long) - 6))
+    assert [*toxicity.sentences(" ... 12 \n")] == []
+
+
+def test_words_that_clean_sentences_hold_as_often_are_not_learned(spark):
+    """Labels are of texts: what marks toxic ones stands out against what all hold, without a list of words."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(900):
+        text, toxic = words(rng, "abcdefghilmnoprstuv", 30).split(), i % 4 == 0
+        text.insert(rng.randint(0, len(text)), "common")
+        if toxic:
+            text.insert(rng.randint(0, len(text)), rng.choice(["zogwat", "flarnig"]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    odd = [(2000, "common common"), (2001, "a flarnig."), (2002, "x" * 50 + "zogwat" + "x" * 50), (2003, ("plain word " * 60_000) + "zogwat"), (2001, "a flarnig.")]
+    docs = spark.createDataFrame([*rows, *odd], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = [(r["doc_id"], r["predicted"]) for r in toxicity.score(docs, model).collect() if r["doc_id"] >= 2000 and r["doc_id"] != 2002]
+    assert sorted(found) == [(2000, 0), (2001, 1), (2001, 1), (2003, 1)]
 
 
 def test_insults_with_gaps_are_toxic(spark):
