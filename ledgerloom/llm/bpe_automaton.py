@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
-from .durable import tidy
+from .durable import small_batches, tidy
 
 Merge = tuple[int, int, int]
 
@@ -218,7 +218,7 @@ class Encoder:
 def _scan(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, fields: list[T.StructField], arrays) -> DataFrame:
     """One scan that adds what ``arrays`` makes of an encoder and a batch's texts."""
     shared = docs.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), *fields])
 
     @tidy

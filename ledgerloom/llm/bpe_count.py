@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
-from .durable import tidy
+from .durable import small_batches, tidy
 
 
 class Merges:
@@ -81,7 +81,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     """id, n_bytes, n_tokens and over_limit of every row of ``docs``: one scan, no shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Merges(load_vocabulary(tokenizer_path)))
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     @tidy

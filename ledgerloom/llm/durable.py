@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..durable import checkpoint_dir, cut, remove
 
-__all__ = ["checkpoint_dir", "cut", "read", "remove", "tidy"]
+__all__ = ["checkpoint_dir", "cut", "read", "remove", "small_batches", "tidy"]
+
+#: Texts that pass between the engine and Python at once.
+BATCH_ROWS = 2000
 
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -21,6 +24,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, for whose texts the session's Arrow batches are set to ``BATCH_ROWS`` if they are larger."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(rows.sparkSession.conf.get(setting))
+    if not 0 < now <= BATCH_ROWS:
+        rows.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return rows
+
+
 def tidy(run: Run) -> Run:
     """``run`` for a task, after which the Python worker, which later stages use again, gives its memory back."""
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import Remembered
-from .durable import cut, tidy
+from .durable import cut, small_batches, tidy
 from .graph import components
 from .mixing import fresh
 
@@ -408,7 +408,7 @@ def component_blocks(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _placed(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
     """id, mark (a hash of the text), n_shingles and component of every row; rows without an id or n-grams have no component."""
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), _mark(text_col).alias("mark")))
     there = rows.filter(F.col(id_col).isNotNull()).drop("mark")
     scanned = cut(first_scan(rows, id_col, rule))
     nodes = scanned.filter("piece IS NULL").select(id_col, "mark", "node", "n_shingles")

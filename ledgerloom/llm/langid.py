@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .durable import small_batches, tidy
+
 #: Bound of the sample: labelled rows of each language, in expectation.
 ROWS_A_LANGUAGE = 800
 PLACES = 1 << 15
@@ -146,6 +148,7 @@ def fit(docs: DataFrame, rows_a_language: int = ROWS_A_LANGUAGE, id_col: str = "
         keep = keep | ((F.col("lang") == F.lit(lang)) & (drawn < F.lit(rows_a_language / n)))
     schema = "draw double, lang string, places binary, n binary"
 
+    @tidy
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places, n = [], []
@@ -178,10 +181,11 @@ def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     The model that is broadcast has a fixed number of places for each language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.drop("lang_pred", "lang_score")
+    rows = small_batches(docs.drop("lang_pred", "lang_score"))
     at = rows.columns.index(text_col)
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
@@ -193,10 +197,11 @@ def annotate(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred and score of every row."""
-    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
