@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import running
+
 ALL = "All Combined"
 
 
@@ -109,9 +111,10 @@ def single_row_flag(rows: DataFrame, keys: Sequence[str], flag: str) -> DataFram
     return rows.groupBy(*keys).agg(F.when(F.count("*") == 1, F.first(flag)).otherwise(F.lit(0)).alias(flag))
 
 
-def wide(rows: DataFrame, keys: Sequence[str], across: str, values: Sequence, measure: Column) -> DataFrame:
-    """One row for each key and one column for each listed value."""
-    return rows.groupBy(*keys).pivot(across, list(values)).agg(measure)
+def side_by_side(rows: DataFrame, keys: Sequence[str], blocks: dict[str, tuple[str, Sequence]]) -> DataFrame:
+    """Counts of several contingency tables next to each other; blocks: prefix to (column, its listed values). One aggregate."""
+    cells = [count_if(F.col(column) == v).alias(f"{prefix}_{v}") for prefix, (column, values) in blocks.items() for v in values]
+    return rows.groupBy(*keys).agg(*cells)
 
 
 def composite(columns: Sequence[str]) -> Column:
@@ -123,10 +126,20 @@ def composite(columns: Sequence[str]) -> Column:
 
 
 def running_share(rows: DataFrame, measure: str, name: str = "share_below") -> DataFrame:
-    """In ascending order of the measure, each row's cumulative share of the total (ties by all columns).
+    """In ascending order of the measure, each row's cumulative share of the total (ties by all columns)."""
+    order = [measure, *(c for c in rows.columns if c != measure)]
+    total = rows.agg(F.sum(measure).cast("double").alias("_total"))  # one row
+    summed = running(rows, order, F.col(measure), "_cum").join(F.broadcast(total))
+    return summed.withColumn(name, F.col("_cum").cast("double") / F.nullif(F.col("_total"), F.lit(0.0))).select(*rows.columns, name)
+
+
+def dense_series(rows: DataFrame, keys: Sequence[str], period: str, name: str = "n") -> DataFrame:
+    """Counts of each key's periods from the first to the last that occur at all (whole numbers), zeros included.
 
-    For summaries with one row a unit: the order is global.
+    Each key's few counts are spread over the periods by themselves: keys and periods aren't crossed.
     """
-    order = Window.orderBy(measure, *[c for c in rows.columns if c != measure]).rowsBetween(Window.unboundedPreceding, 0)
-    total = rows.agg(F.sum(measure).cast("double").alias("_total"))
-    return rows.withColumn("_cum", F.sum(measure).over(order).cast("double")).crossJoin(total).withColumn(name, F.col("_cum") / F.nullif(F.col("_total"), F.lit(0.0))).drop("_cum", "_total")
+    found = counts(rows.filter(F.col(period).isNotNull()), [*keys, period], name)
+    span = found.agg(F.min(period).alias("_low"), F.max(period).alias("_high"))  # one row
+    held = found.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(period, name))).alias("_held")).join(F.broadcast(span))
+    spread = held.withColumn(period, F.explode(F.sequence("_low", "_high")))
+    return spread.select(*keys, period, F.coalesce(F.try_element_at("_held", F.col(period)), F.lit(0)).cast("long").alias(name))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import numbered
+
 
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -30,16 +32,20 @@ def first_match(rows: DataFrame, table: DataFrame, on: str, order: str) -> DataF
 def versioned_match(rows: DataFrame, table: DataFrame, code: str, flag: str, since: Column, value: str, missing: str = "NA") -> DataFrame:
     """The table's value for a code in the version that applies: flag 1 where ``since`` holds, else 0.
 
-    A code that the wanted version lacks is taken from the other; one that both lack gives
-    ``missing``.  Where ``since`` is null the largest flag applies.
+    A code with one row in the table has that row's value in either version; one with several
+    rows, none of the wanted version, gives ``missing``, as does one that the table lacks.
+    Where ``since`` is null the largest flag applies.  Of several rows of one version the
+    largest value is taken.
     """
     by = table.groupBy(code).agg(
         F.max(F.when(F.col(flag) == 0, F.col(value))).alias("_old"),
         F.max(F.when(F.col(flag) == 1, F.col(value))).alias("_new"),
+        F.count("*").alias("_rows"),
     )
     joined = rows.join(by, code, "left")
-    chosen = F.when(F.coalesce(since, F.lit(True)), F.coalesce("_new", "_old")).otherwise(F.coalesce("_old", "_new"))
-    return joined.withColumn(value, F.coalesce(chosen, F.lit(missing))).drop("_old", "_new")
+    either = F.coalesce("_new", "_old")
+    chosen = F.when((F.col("_rows") == 1) | since.isNull(), either).when(since, F.col("_new")).otherwise(F.col("_old"))
+    return joined.withColumn(value, F.coalesce(chosen, F.lit(missing))).drop("_old", "_new", "_rows")
 
 
 def unmatched(rows: DataFrame, table: DataFrame, on: str) -> DataFrame:
@@ -113,4 +119,5 @@ def with_group_max(rows: DataFrame, keys: Sequence[str], value: str, name: str)
 
 def permuted_keys(rows: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """old and new: the distinct keys numbered 1.. in a seeded random order."""
-    return rows.select(F.col(key).alias("old")).distinct().withColumn("new", F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), "old"), "old")))
+    keys = rows.select(F.col(key).alias("old")).distinct().withColumn("_lot", F.xxhash64(F.lit(seed), "old"))
+    return numbered(keys, ["_lot", "old"], "new").select("old", "new")

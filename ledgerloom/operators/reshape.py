@@ -56,5 +56,21 @@ def sample_rows(rows: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
 
 
+def only_left(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of the left that the right lacks."""
+    return left.subtract(right)
+
+
+def either(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of either side."""
+    return left.union(right).distinct()
+
+
+def transposed(rows: DataFrame, name: str, names: Sequence[str], columns: Sequence[str], into: str) -> DataFrame:
+    """Columns as rows: one for each of ``columns``, with a column for each of ``names``, the values of ``name``."""
+    spread = long(rows.select(name, *columns), [name], columns, into, "_value")
+    return spread.groupBy(into).pivot(name, list(names)).agg(F.first("_value"))
+
+
 def truncated_names(rows: DataFrame, most: int = 32) -> DataFrame:
     return rows.toDF(*(c[:most] for c in rows.columns))

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..durable import cut
+
 RiskFunction = Callable[[dict], float]
 NULL_LEVEL = "NA"
 
@@ -207,16 +209,18 @@ def at_risk(name: str = "risk", threshold: float = 5, div: str | None = None, sa
     return low & F.col(div).isNotNull() & ~F.col(div).isin(list(safe_levels))
 
 
-def at_risk_subset(rows: DataFrame, keys: Sequence[str], threshold: float = 5, strata: Sequence[str] = (), div: str | None = None, risk: Callable[[Column], Column] | None = None, safe_levels: Sequence[str] = ()) -> DataFrame:
+def at_risk_subset(rows: DataFrame, keys: Sequence[str], threshold: float = 5, strata: Sequence[str] = (), div: str | None = None, risk: Callable[[Column], Column] | None = None, safe_levels: Sequence[str] = (), within_completions: bool = False) -> DataFrame:
     """Rows at risk and rows of their stratum that share any key value with one (null being a value), with orig_risk."""
     from .joins import shares_value
 
     if not isinstance(threshold, (int, float)) or isinstance(threshold, bool) or threshold <= 0:
         raise ValueError("the threshold must be a number above 0")
-    risked = calc_risk(rows, keys, strata, div, risk, name="orig_risk")
+    risked = cut(calc_risk(rows, keys, strata, div, risk, within_completions, name="orig_risk"))
     low = at_risk("orig_risk", threshold, div, safe_levels)
-    chosen = risked.filter(low).select(*strata, *keys).distinct()
-    return shares_value(risked, chosen, keys, strata, "_near").filter("_near").drop("_near")
+    pats = cut(risked.groupBy(*strata, *keys).agg(F.bool_or(low).alias("_low")))
+    chosen = pats.filter("_low").select(*strata, *keys)
+    near = shares_value(pats.drop("_low"), chosen, keys, strata, "_near").filter("_near")
+    return _back(risked, near, [*strata, *keys], ["_near"]).filter("_near").drop("_near")
 
 
 def suppress_small(rows: DataFrame, within: Sequence[str], identifiers: Sequence[str], column: str, k: int, only: Column | None = None, among: Column | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.recode import logit
+from .ordering import numbered, with_neighbours
 
 
 def neighbour_flags(rows: DataFrame, order: str, group: Sequence[str] = (), month: str = "month", day: str = "day", unit: str = "unit", bad: Column | None = None) -> DataFrame:
@@ -17,8 +18,8 @@ def neighbour_flags(rows: DataFrame, order: str, group: Sequence[str] = (), mont
     day_transposed: month and unit equal on each side that exists, and the day larger than both;
     day_added: three records of one month whose day is that before plus one, as is the next if known.
     """
-    w = Window.partitionBy(*group).orderBy(order)
-    p, n = (lambda c: F.lag(c).over(w)), (lambda c: F.lead(c).over(w))
+    looked = with_neighbours(rows, group, order, [order, month, day, unit])
+    p, n = (lambda c: F.col(f"_p_{c}")), (lambda c: F.col(f"_n_{c}"))
     has_p, has_n = p(order).isNotNull(), n(order).isNotNull()
     yes = lambda c: F.coalesce(c, F.lit(False))
     looked_at = yes(bad) if bad is not None else F.lit(True)
@@ -27,7 +28,7 @@ def neighbour_flags(rows: DataFrame, order: str, group: Sequence[str] = (), mont
     after = ~has_n | yes((n(month) == F.col(month)) & (F.col(day) > n(day)) & (n(unit) == F.col(unit)))
     grown = has_p & has_n & (p(month) == F.col(month)) & (n(month) == F.col(month)) & (F.col(day) == p(day) + 1) & F.coalesce(n(day) == p(day) + 1, F.lit(True))
     flags = {"month_slipped": looked_at & yes(slipped), "day_transposed": looked_at & before & after, "day_added": looked_at & yes(grown)}
-    return rows.withColumns(flags)
+    return looked.withColumns(flags).select(*rows.columns, *flags)
 
 
 def runs(rows: DataFrame, keys: Sequence[str], order: str, on: Column) -> DataFrame:
@@ -89,8 +90,8 @@ def top_share(shared: DataFrame, keep: float, form: str = "above", name: str = "
 
 def dense_codes(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct values numbered 1.. in order, by a join with the numbered values; nulls stay null."""
-    numbered = rows.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(name, F.row_number().over(Window.orderBy(column)))
-    return rows.join(numbered, column, "left")
+    codes = numbered(rows.select(column).filter(F.col(column).isNotNull()).distinct(), [column], name)
+    return rows.join(codes.withColumn(name, F.col(name).cast("int")), column, "left")
 
 
 def standardized(rows: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:

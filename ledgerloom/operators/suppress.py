@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..durable import cut
 from . import risk as risks
 
+#: Sensitive levels that a measure may tell apart.
+MOST_LEVELS = 1000
+
 
 def key_weights(keys: Sequence[str], weights: dict[str, float] | Sequence[str] | None = None) -> np.ndarray:
     """Weights that add up to the number of keys; names alone mean falling priority; infinite means never."""
@@ -44,24 +49,46 @@ def key_weights(keys: Sequence[str], weights: dict[str, float] | Sequence[str] |
 class Stratum:
     """Rows of coded keys (0: null) with sensitive levels; risks of all rows."""
 
-    def __init__(self, codes: np.ndarray, levels: np.ndarray, names: list[str], measure: Callable[[dict], float] | None, threshold: float, safe: set[str]):
+    def __init__(self, codes: np.ndarray, levels: np.ndarray, names: list[str], measure: Callable[[dict], float] | None, threshold: float, safe: set[str], within_completions: bool = False):
         self.codes, self.levels, self.names, self.measure, self.threshold = codes, levels, names, measure, threshold
+        #: Every full pattern of the stratum's levels, where risks are taken within completions.
+        self.complete = np.array([*product(*(range(min(1, int(c.max())), int(c.max()) + 1) for c in codes.T))]) if within_completions else None
         self.asks = np.ones(len(codes), bool) if not safe else np.array([names[v] != risks.NULL_LEVEL and names[v] not in safe for v in levels])
 
     def risk(self, codes: np.ndarray) -> np.ndarray:
         """Of every row: compatible rows, or the measure of their levels; computed once a pattern."""
         pats, at, n = np.unique(codes, axis=0, return_inverse=True, return_counts=True)
         at = at.ravel()
+        if self.complete is not None:
+            return self._within(pats, at, n)[at]
         fits = np.ones((len(pats), len(pats)), bool)
         for k in range(codes.shape[1]):
             c = pats[:, k]
             fits &= (c[:, None] == c[None, :]) | (c[:, None] == 0) | (c[None, :] == 0)
         if self.measure is None:
             return (fits @ n).astype(float)[at]
-        by_level = np.zeros((len(pats), len(self.names)))
-        np.add.at(by_level, (at, self.levels), 1)
-        pooled = fits @ by_level
-        return np.array([self.measure({name: int(v) for name, v in zip(self.names, row, strict=True) if v}) for row in pooled])[at]
+        return self._measured(fits @ self._by_level(at, len(pats)))[at]
+
+    def _by_level(self, at: np.ndarray, patterns: int) -> np.ndarray:
+        found = np.zeros((patterns, len(self.names)))
+        np.add.at(found, (at, self.levels), 1)
+        return found
+
+    def _measured(self, pooled: np.ndarray) -> np.ndarray:
+        return np.array([self.measure({name: int(v) for name, v in zip(self.names, row, strict=True) if v}) if row.any() else np.inf for row in pooled])
+
+    def _within(self, pats: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Of every pattern: the least risk among the completions with the most known keys; 1 without a known key."""
+        agrees = np.ones((len(self.complete), len(pats)), bool)
+        for k in range(pats.shape[1]):
+            agrees &= (pats[None, :, k] == 0) | (pats[None, :, k] == self.complete[:, k, None])
+        known = np.where(agrees, (pats != 0).sum(1)[None, :], -1).max(1)
+        risk = (agrees @ n).astype(float) if self.measure is None else self._measured(agrees @ self._by_level(at, len(pats)))
+        out = np.ones(len(pats))
+        for i in np.flatnonzero((pats != 0).any(1)):
+            own = np.flatnonzero(agrees[:, i])
+            out[i] = risk[own[known[own] == known[own].max()]].min()
+        return out
 
     def unsafe(self, codes: np.ndarray) -> np.ndarray:
         return (self.risk(codes) < self.threshold) & self.asks
@@ -84,8 +111,10 @@ class Stratum:
             p = np.where(codes[i] != 0, draw, 0.0)
             k = int(rng.choice(len(p), p=p / p.sum()))
             j = self.partner(codes, i, k, bad, rng)
-            codes[i, k] = 0
-            if j is not None and self.measure is None:
+            # A count grows for both; of a share, the row that joins changes what the one at risk reveals.
+            if self.measure is None or j is None:
+                codes[i, k] = 0
+            if j is not None:
                 codes[j, k] = 0
 
     def partner(self, codes: np.ndarray, i: int, k: int, bad: np.ndarray, rng: np.random.Generator) -> int | None:
@@ -141,11 +170,14 @@ def suppress(
     seed: int = 0,
     gamma: float = 0.5,
     alpha: float = 2.0,
+    within_completions: bool = False,
 ) -> DataFrame:
     """``rows`` with key cells nulled so that each row's risk reaches the threshold, with objective and n_nulled.
 
     measure: a function of a dict from sensitive level to number of rows; compatible rows are
     counted without one.  If the rows of a stratum cannot be made safe, all its keys are null.
+    within_completions: as for ``risk.calc_risk``; a task then also holds every combination of
+    its stratum's levels.
     """
     risks.check(rows, keys, strata, div, measure)
     if threshold <= 0:
@@ -163,7 +195,7 @@ def suppress(
         found = group[div].astype(object).where(group[div].notna(), risks.NULL_LEVEL).astype(str) if div else pd.Series(["all"] * len(group))
         levels, names = pd.factorize(found)
         safe = set(risks.suppressible(list(names), measure, threshold)) if measure is not None else set()
-        stratum = Stratum(codes, levels, list(names), measure, threshold, safe)
+        stratum = Stratum(codes, levels, list(names), measure, threshold, safe, within_completions)
         mark = int(pd.util.hash_pandas_object(group[stratum_names].iloc[:1].astype(str), index=False).iloc[0]) if stratum_names else 0
         rng = np.random.default_rng([seed, chain, mark % (1 << 32)])
         if not (codes != 0).any() or not stratum.unsafe(codes).any():
@@ -192,8 +224,18 @@ def suppress(
 
 
 def suppress_at_risk(rows: DataFrame, keys: Sequence[str], row_id: str, threshold: float = 5, **options) -> DataFrame:
-    """The same, searching only the rows at risk and those that share a value with one; the rest come back as they are."""
-    subset = risks.at_risk_subset(rows, keys, threshold, options.get("strata", ())).drop("orig_risk")
-    done = suppress(subset, keys, row_id, threshold=threshold, **options)
+    """The same, searching only the rows at risk and those that share a value with one; the rest come back as they are.
+
+    Rows at risk are found by the same measure, completions and levels as ``suppress`` is given.
+    """
+    div, measure, strata = options.get("div"), options.get("measure"), options.get("strata", ())
+    safe = ()
+    if measure is not None and threshold < 1:
+        levels = [r[0] for r in rows.select(F.col(div).cast("string")).distinct().limit(MOST_LEVELS + 1).collect()]
+        if len(levels) > MOST_LEVELS:
+            raise ValueError(f"more than {MOST_LEVELS} sensitive levels")
+        safe = risks.suppressible([v for v in levels if v is not None], measure, threshold)
+    subset = risks.at_risk_subset(rows, keys, threshold, strata, div, risks.custom(measure) if measure is not None else None, safe, options.get("within_completions", False)).drop("orig_risk")
+    done = cut(suppress(cut(subset), keys, row_id, threshold=threshold, **options))
     rest = rows.join(done.select(row_id), row_id, "left_anti").withColumn("objective", F.lit(None).cast("double")).withColumn("n_nulled", F.lit(0))
     return done.unionByName(rest)

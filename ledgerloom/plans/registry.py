@@ -231,8 +231,8 @@ def impossible_dates(spark, d):
 @query("record_keys", f"WITH {ARRESTS} SELECT 'orders:' || db_id AS uid, 1000 + row_number() OVER (ORDER BY db_id) - 1 AS key FROM arrests")
 def record_keys(spark, d):
     rows = standins.records(spark, d).withColumn("recno", F.col("recno") + 1)
-    keyed = fixed_width.surrogate_keys(rows, 1000)
-    return keyed.select(F.concat_ws(":", "file", (F.col("recno") - 1).cast("string")).alias("uid"), F.col("db_id").alias("key"))
+    keyed = fixed_width.surrogate_keys(rows, 1000).withColumn("recno", F.col("recno") - 1)
+    return keyed.select(fixed_width.uid().alias("uid"), F.col("db_id").alias("key"))
 
 
 @query("dedupe_append", "SELECT event_type, count(*) AS n, min(event_id) AS first_id FROM events WHERE event_id % 3 <> 0 GROUP BY event_type")
@@ -320,8 +320,8 @@ def code_lookup_first(spark, d):
 
 @query(
     "code_lookup_versioned",
-    f"""WITH {ARRESTS}, t AS (SELECT p_size AS offense_code, max(p_type) FILTER (p_partkey % 2 = 0) AS old, max(p_type) FILTER (p_partkey % 2 = 1) AS new FROM part WHERE p_size > 1 GROUP BY p_size)
-    SELECT year, a.offense_code, coalesce(CASE WHEN year >= 1998 THEN coalesce(new, old) ELSE coalesce(old, new) END, 'NA') AS p_type, count(*) AS n FROM arrests a LEFT JOIN t ON a.offense_code = t.offense_code GROUP BY ALL""",
+    f"""WITH {ARRESTS}, t AS (SELECT p_size AS offense_code, max(p_type) FILTER (p_partkey % 2 = 0) AS old, max(p_type) FILTER (p_partkey % 2 = 1) AS new, count(*) AS k FROM part WHERE p_size > 1 GROUP BY p_size)
+    SELECT year, a.offense_code, coalesce(CASE WHEN k = 1 THEN coalesce(new, old) WHEN year >= 1998 THEN new ELSE old END, 'NA') AS p_type, count(*) AS n FROM arrests a LEFT JOIN t ON a.offense_code = t.offense_code GROUP BY ALL""",
 )
 def code_lookup_versioned(spark, d):
     table = read(spark, d, "part").filter("p_size > 1").select(F.col("p_size").alias("offense_code"), (F.col("p_partkey") % 2).alias("flag"), "p_type")
@@ -369,17 +369,17 @@ def key_remap(spark, d):
 
 # --- contingency tables, shares, modes --------------------------------------------------
 
-TABLE = f"WITH {ARRESTS}, l AS (SELECT * FROM (SELECT DISTINCT race FROM arrests WHERE {{keep}}) , (SELECT DISTINCT gender FROM arrests WHERE {{keep}}), (SELECT DISTINCT year FROM arrests WHERE {{keep}})) SELECT l.race, l.gender, l.year, count(a.db_id) AS n FROM l LEFT JOIN arrests a ON a.race IS NOT DISTINCT FROM l.race AND a.gender IS NOT DISTINCT FROM l.gender AND a.year = l.year AND a.amount > 250000 GROUP BY ALL"
+TABLE = f"WITH {ARRESTS}, l AS (SELECT * FROM (SELECT DISTINCT race FROM arrests WHERE {{keep}}) , (SELECT DISTINCT gender FROM arrests WHERE {{keep}}), (SELECT DISTINCT year FROM arrests WHERE {{keep}})) SELECT l.race, l.gender, l.year, count(a.db_id) AS n FROM l LEFT JOIN arrests a ON a.race IS NOT DISTINCT FROM l.race AND a.gender IS NOT DISTINCT FROM l.gender AND a.year = l.year GROUP BY ALL"
 
 
-@query("crosstab_dense", TABLE.replace("{keep}", "race IS NOT NULL AND gender IS NOT NULL AND amount > 250000"))
+@query("crosstab_dense", TABLE.replace("{keep}", "race IS NOT NULL AND gender IS NOT NULL"))
 def crosstab_dense(spark, d):
-    return aggregates.dense_counts(standins.arrests(spark, d).filter("amount > 250000"), ["race", "gender", "year"])
+    return aggregates.dense_counts(standins.arrests(spark, d), ["race", "gender", "year"])
 
 
-@query("crosstab_with_null", TABLE.replace("{keep}", "amount > 250000"))
+@query("crosstab_with_null", TABLE.replace("{keep}", "true"))
 def crosstab_with_null(spark, d):
-    return aggregates.dense_counts(standins.arrests(spark, d).filter("amount > 250000"), ["race", "gender", "year"], keep_null=True)
+    return aggregates.dense_counts(standins.arrests(spark, d), ["race", "gender", "year"], keep_null=True)
 
 
 @query("booking_rate_by_year", f"WITH {ARRESTS} SELECT ncic_jurisdiction, year, round(CAST(count(*) FILTER (status_type = 'booked' AND race IS NOT NULL) AS DOUBLE) / nullif(count(*) FILTER (race IS NOT NULL), 0), 9) AS share FROM arrests GROUP BY ALL")
@@ -466,7 +466,7 @@ LONGEST = "SELECT l_partkey, run_start, run_end, run_length FROM (SELECT *, row_
 
 
 def _series(spark, d):
-    return aggregates.dense_counts(standins.line_years(spark, d), ["l_partkey", "year"])
+    return aggregates.dense_series(standins.line_years(spark, d), ["l_partkey"], "year")
 
 
 def _islands(spark, d):
@@ -701,7 +701,18 @@ def local_suppression_invariants(spark, d):
     return joined.agg(aggregates.count_if((F.col("risk") < 2) & F.coalesce(*(F.col(f"a.{k}") for k in KEYS)).isNotNull()).alias("n_below"), F.coalesce(F.sum(changed), F.lit(0)).cast("long").alias("n_changed"), F.count("*").alias("n_rows"))
 
 
-@query("completion_risk")
+@query(
+    "completion_risk",
+    f"""WITH {PERSONS}, f AS (SELECT s.stratum, fr, fg, fb FROM (SELECT DISTINCT stratum FROM persons) s
+        LEFT JOIN (SELECT DISTINCT stratum, race AS fr FROM persons WHERE race IS NOT NULL) a ON a.stratum = s.stratum
+        LEFT JOIN (SELECT DISTINCT stratum, gender AS fg FROM persons WHERE gender IS NOT NULL) b ON b.stratum = s.stratum
+        LEFT JOIN (SELECT DISTINCT stratum, band AS fb FROM persons WHERE band IS NOT NULL) c ON c.stratum = s.stratum),
+    fits AS (SELECT person, f.*, (race IS NULL AND gender IS NULL AND band IS NULL) AS open, CAST(race IS NOT NULL AS INTEGER) + CAST(gender IS NOT NULL AS INTEGER) + CAST(band IS NOT NULL AS INTEGER) AS known
+        FROM persons p JOIN f ON f.stratum = p.stratum AND (race IS NULL OR race = fr) AND (gender IS NULL OR gender = fg) AND (band IS NULL OR band = fb)),
+    pooled AS (SELECT stratum, fr, fg, fb, count(*) AS risk, max(known) AS known FROM fits GROUP BY ALL),
+    best AS (SELECT person, open, risk, known, max(known) OVER (PARTITION BY person) AS most FROM (SELECT t.person, t.open, q.risk, q.known FROM fits t JOIN pooled q ON q.stratum = t.stratum AND q.fr IS NOT DISTINCT FROM t.fr AND q.fg IS NOT DISTINCT FROM t.fg AND q.fb IS NOT DISTINCT FROM t.fb))
+    SELECT person, CAST(CASE WHEN open THEN 1 ELSE min(risk) END AS DOUBLE) AS risk FROM best WHERE known = most GROUP BY person, open""",
+)
 def completion_risk(spark, d):
     return risk.calc_risk(_persons(spark, d), KEYS, ["stratum"], within_completions=True).select("person", "risk")
 
@@ -732,16 +743,39 @@ def density(spark, d):
     return stats.density(standins.arrests(spark, d), "age", [10, 30, 50, 70], 5.0).withColumn("density", F.round("density", 9))
 
 
-@query("polynomial_fit")
+@query(
+    "polynomial_fit",
+    f"""WITH {ARRESTS}, p AS (SELECT ncic_jurisdiction, CAST(year - 1998 AS DOUBLE) AS t, CAST(count(*) AS DOUBLE) AS y FROM arrests GROUP BY ALL),
+    s AS (SELECT ncic_jurisdiction, CAST(count(*) AS DOUBLE) AS n, sum(t) AS a, sum(t*t) AS b, sum(t*t*t) AS c, sum(t*t*t*t) AS d, sum(y) AS p, sum(t*y) AS q, sum(t*t*y) AS r, sum(y*y) AS yy FROM p GROUP BY ALL),
+    k AS (SELECT *, n*(b*d - c*c) - a*(a*d - b*c) + b*(a*c - b*b) AS det FROM s),
+    x AS (SELECT *, (p*(b*d - c*c) - a*(q*d - c*r) + b*(q*c - b*r)) / det AS c0, (n*(q*d - c*r) - p*(a*d - b*c) + b*(a*r - q*b)) / det AS c1, (n*(b*r - q*c) - a*(a*r - q*b) + p*(a*c - b*b)) / det AS c2 FROM k WHERE n > 3)
+    SELECT ncic_jurisdiction, round(c0, 4) AS c0, round(c1, 4) AS c1, round(c2, 4) AS c2, round(sqrt(greatest(0, yy - c0*p - c1*q - c2*r) / (n - 3)), 3) AS sigma FROM x""",
+)
 def polynomial_fit(spark, d):
     series = aggregates.counts(standins.arrests(spark, d).withColumn("t", F.col("year") - 1998), ["ncic_jurisdiction", "t"])
-    return stats.polynomial(series, ["ncic_jurisdiction"], "t", "n", 2)
+    fitted = stats.polynomial(series, ["ncic_jurisdiction"], "t", "n", 2).filter("sigma IS NOT NULL")
+    return fitted.select("ncic_jurisdiction", *(F.round(F.col("coefficients")[i], 4).alias(f"c{i}") for i in range(3)), F.round("sigma", 3).alias("sigma"))
 
 
 # --- releases --------------------------------------------------------------------------
 
 
-@query("release_k_passes", None)
+def _release_sql() -> str:
+    """Each pass as a query over the last, cells counted by windows."""
+    released, sought, felony = "coalesce(disposition = 'released', false)", "coalesce(disposition = 'complaint sought', false)", "coalesce(offense_level = 'felony', false)"
+    other = f"(NOT {sought} OR NOT {felony})"
+    k = [(released, "offense_code IN (1, 2)"), (f"({sought} AND {felony})", "true"), (f"({released} AND {felony})", "true"), (other, "true"), ("true", "true")]
+    least = [f"({sought} AND {felony})", other, f"({released} AND {felony})", "true"]
+    tests = [(among, only, f"count(*) FILTER (WHERE {among}) OVER (PARTITION BY year, gender, race, age, county) < 5") for among, only in k]
+    tests += [(among, "true", f"count(DISTINCT offense_code) FILTER (WHERE {among}) OVER (PARTITION BY year, gender, race, age, county) < 5") for among in least]
+    steps = [f"p{i + 1} AS (SELECT * REPLACE (CASE WHEN {among} AND {only} AND {test} THEN NULL ELSE county END AS county) FROM p{i})" for i, (among, only, test) in enumerate(tests)]
+    band = "CASE WHEN age <= 24 THEN '18-24' WHEN age <= 32 THEN '25-32' WHEN age <= 44 THEN '33-44' WHEN age <= 150 THEN '45+' END"
+    first = f"""p0 AS (SELECT db_id, year, CAST(substr(ncic_jurisdiction, 1, 2) AS INTEGER) AS county, race, gender, {band} AS age, offense_code,
+        CASE WHEN offense_level = 'F' THEN 'felony' ELSE offense_level END AS offense_level, CASE WHEN offense_code = 1 THEN 'released' WHEN offense_code < 4 THEN 'complaint sought' ELSE 'other' END AS disposition FROM arrests WHERE age > 17)"""
+    return f"WITH {ARRESTS}, {first}, {', '.join(steps)} SELECT db_id, year, county, race, gender, age FROM p{len(steps)}"
+
+
+@query("release_k_passes", _release_sql())
 def release_k_passes(spark, d):
     rows = standins.arrests(spark, d).withColumn("disposition", F.when(F.col("offense_code") == 1, "released").when(F.col("offense_code") < 4, "felony complaint sought").otherwise("other")).withColumn("offense_level", F.when(F.col("offense_level") == "F", "felony").otherwise(F.col("offense_level")))
     return release.protect(release.prepare(rows), release.standard_passes(drawn_offenses=[1, 2])).select("db_id", "year", "county", "race", "gender", "age")
@@ -789,6 +823,9 @@ def windowed_events(spark, d):
     return windowed_counts(read(spark, d, "events"), "ts", "1 day", "1 hour", ["event_type"])
 
 
+from . import detail_queries  # noqa: E402,F401  registers the queries of single functions and of cleaning
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -72,6 +72,17 @@ def protect(rows: DataFrame, passes: Sequence[Pass], within: Sequence[str] = ("y
     return out
 
 
+def write_files(rows: DataFrame, folder: str, columns: Sequence[str] = ("year", "county", "gender", "race", "age", "offense_code", "offense_level", "disposition")) -> dict[str, str]:
+    """The release files, delimited with a header: all rows, those released and those whose complaint was sought; name to path."""
+    from ..sources.catalog import write_csv
+
+    parts = {"all": F.lit(True), "released": is_in(F.col("disposition"), ["released"]), "complaint_sought": is_in(F.col("disposition"), ["complaint sought"])}
+    kept = cut(rows.select(*columns, "disposition") if "disposition" not in columns else rows.select(*columns))
+    for name, among in parts.items():
+        write_csv(kept.filter(among).select(*columns), f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in parts}
+
+
 def county_table(names: DataFrame, groups: Sequence[Sequence[str]]) -> DataFrame:
     """code, name, code_new and name_new: groups take their first county's code and joined names, codes renumbered from 1.
 

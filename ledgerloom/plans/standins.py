@@ -143,13 +143,13 @@ RECORDS = ARRESTS + """, records AS (
 
 
 def line_years(spark: SparkSession, d: str) -> DataFrame:
-    """Lines by brand, type and year: sparse series with gaps."""
+    """Lines by brand, type and year."""
     part = read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("type"), F.col("p_size").alias("size"))
-    lines = read(spark, d, "lineitem").filter("l_partkey % 7 = 0 OR l_quantity > 45").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = read(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select("l_partkey", "brand", "type", "size", F.year("l_shipdate").alias("year"), "l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
 
 
 LINE_YEARS = """line_years AS (
     SELECT l_partkey, p_brand AS brand, p_type AS type, p_size AS size, CAST(year(l_shipdate) AS INTEGER) AS year, l_returnflag, l_linestatus, l_quantity, l_extendedprice
-    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 7 = 0 OR l_quantity > 45
+    FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import risk, suppress
 
 KEYS = ["gender", "age_group", "race"]
+# Rows whose risks are known.
 R1 = [
     ("male", "10 to 17", "white", "misdemeanor"),
     ("male", "10 to 17", "white", "misdemeanor"),
@@ -110,18 +111,76 @@ def nulls(found):
 @pytest.mark.parametrize("k, each", [(2, 3), (1, 0), (6, 3)])
 def test_suppression_without_a_choice(spark, k, each):
     rows = table(spark, R1)
-    if k == 2:  # one row shares nothing with the others: no row pair hides it without nulling all
-        found = suppress.suppress(rows, KEYS, "id", threshold=2, chains=2)
+    found = suppress.suppress(rows, KEYS, "id", threshold=k, chains=2)
+    if k == 2:  # one row shares no value with the others: three open keys are enough (SURVEY section 8)
+        assert sum(nulls(found)) == each
         assert all(r["risk"] >= 2 for r in risk.calc_risk(found, KEYS).collect())
-        return
-    assert nulls(suppress.suppress(rows, KEYS, "id", threshold=k, chains=2)) == [each] * 5
+    else:
+        assert nulls(found) == [each] * 5
 
 
 def test_one_null_suffices(spark):
     rows = table(spark, [("male", a, r, "x") for a, r in (("10", "white"), ("10", "white"), ("18", "white"), ("18", "white"), ("18", "black"))])
     found = suppress.suppress(rows, KEYS, "id", threshold=2, chains=4)
     assert all(r["risk"] >= 2 for r in risk.calc_risk(found, KEYS).collect())
-    assert 1 <= sum(nulls(found)) <= 2
+    assert sum(nulls(found)) == 1
+
+
+def test_strata_are_made_safe_one_by_one(spark):
+    rows = [("male", "10 to 17", "white"), ("male", "10 to 17", "white"), ("male", "18 to 19", "white"), ("male", "18 to 19", "white"), ("male", "18 to 19", "black"), ("female", "18 to 19", "white"), ("male", "18 to 19", "white")]
+    found = suppress.suppress(table(spark, [(*r, "x") for r in rows], ["g1", "g1", "g2", "g2", "g2", "g3", "g3"]), KEYS, "id", ["stratum"], threshold=2, chains=4)
+    assert all(r["risk"] >= 2 for r in risk.calc_risk(found, KEYS, ["stratum"]).collect())
+    # Of two rows that differ in one key, one open cell makes both fit.
+    assert nulls(found)[:2] == [0, 0] and sum(nulls(found)[2:5]) == 1 and sum(nulls(found)[5:]) == 1
+
+
+misdemeanors = lambda n: n.get("misdemeanor", 0) / sum(n.values())  # noqa: E731  workers can't import this module
+
+
+SHARES = [("male", "18 to 19", "white", "misdemeanor"), ("male", "18 to 19", "white", "felony"), ("male", "18 to 19", "white", "felony"), ("male", "10 to 17", "white", "misdemeanor")]
+
+
+@pytest.mark.parametrize("search", [suppress.suppress, suppress.suppress_at_risk])
+def test_a_share_is_reached_by_one_null(spark, search):
+    options = {"div": "offense_level", "measure": misdemeanors, "within_completions": True}
+    found = search(table(spark, SHARES), KEYS, "id", threshold=0.5, chains=4, **options)
+    got = found.orderBy("id").collect()
+    assert sum(r["age_group"] is None for r in got if r["offense_level"] == "misdemeanor") == 1
+    assert not any(r["age_group"] is None for r in got if r["offense_level"] != "misdemeanor") and sum(nulls(found)) == 1
+    after = risk.calc_risk(found, KEYS, (), "offense_level", risk.custom(misdemeanors), within_completions=True)
+    assert [r["risk"] for r in after.collect()] == [0.5] * 4
+
+
+def test_shares_are_looked_at_when_only_rows_at_risk_are_searched(spark):
+    rows = [("m", "1", "w", "misdemeanor"), ("m", "1", "w", "felony"), ("m", "1", "w", "felony"), ("m", "2", "w", "misdemeanor"), ("f", "9", "b", "other")]
+    found = suppress.suppress_at_risk(table(spark, rows), KEYS, "id", threshold=0.5, div="offense_level", measure=misdemeanors, chains=4)
+    assert found.count() == 5 and sum(nulls(found)) >= 1
+    low = risk.calc_risk(found, KEYS, (), "offense_level", risk.custom(misdemeanors)).filter("risk < 0.5 AND offense_level = 'felony'")
+    assert low.count() == 0
+
+
+# Rows with many nulls whose risks are known.
+R6 = [(None, None, "white"), ("male", "40 to 69", None), (None, None, None), ("male", None, None), (None, "30 to 39", None), ("male", "30 to 39", "black"), (None, "30 to 39", "white"), ("male", None, None), ("male", "40 to 69", "black"), ("male", "30 to 39", None), ("male", None, None), (None, "30 to 39", "black"), (None, None, "white"), ("male", "40 to 69", "black"), ("male", "40 to 69", "black"), (None, "30 to 39", "white")]
+R7 = [("male", None, None), ("male", None, "white"), ("male", None, None), (None, "40 to 69", None), ("male", None, "white"), ("male", None, None), ("male", "40 to 69", None), (None, None, None), (None, None, "white"), (None, None, "white")]
+R8 = [("misdemeanor", "male", None, "black"), ("misdemeanor", None, "40 to 69", "other"), ("juvenile", "female", None, "other"), ("misdemeanor", "male", None, "black"), ("misdemeanor", "female", "40 to 69", None), ("misdemeanor", None, "70 and over", "white"), ("juvenile", "male", None, "Asian or Pac Isl"), ("misdemeanor", None, "20 to 29", None), ("juvenile", "female", "10 to 17", None), ("felony", None, None, None)]
+
+
+def test_many_nulls(spark):
+    assert risks(spark, [(*r, "x") for r in R6])[:2] == [11, 10]
+    assert risks(spark, [(*r, "x") for r in R7]) == [10] * 10
+    rows = [(*r[1:], r[0]) for r in R8]
+    got = risks(spark, rows, div="offense_level", risk=risk.share_of("misdemeanor", "juvenile"), within_completions=True)
+    assert got[-1] == 1.0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_ways_to_take_risk_within_completions_agree(spark, seed):
+    rng = random.Random(seed)
+    rows = [tuple(rng.choice(["a", "b", None]) for _ in KEYS) + (rng.choice(["misdemeanor", "felony"]),) for _ in range(20)]
+    want = risks(spark, rows, div="offense_level", risk=risk.custom(misdemeanors), within_completions=True)
+    codes = np.array([[0 if v is None else "ab".index(v) + 1 for v in r[:3]] for r in rows])
+    stratum = suppress.Stratum(codes, np.array([int(r[3] == "felony") for r in rows]), ["misdemeanor", "felony"], misdemeanors, 0.5, set(), True)
+    assert stratum.risk(codes).tolist() == pytest.approx(want)
 
 
 def test_an_infinite_weight_is_never_nulled(spark):
