@@ -1,22 +1,28 @@
 """Approximate nearest neighbours by an inverted multi-index, for the largest inner product.
 
-Both halves of the vectors are quantised apart, with codebooks fitted on a bounded sample
-(``TRAIN_ROWS``); a vector's list is the pair of its centroids.  A query goes through the
-pairs in order of summed distance, with a heap over the two sorted rows of distances, until
-the lists it has gone through hold ``share`` of all vectors; their entries are ranked by the
-exact inner product, in double precision, ties to the smaller id.
+Both halves of the vectors are quantised apart, with codebooks that grow with the root of the
+number of vectors, up to ``MOST_CENTROIDS``, fitted on a bounded sample (``TRAIN_ROWS``); a
+vector's list is the pair of its centroids.  A query goes through the pairs in order of
+summed distance, with a heap over the two sorted rows of distances, until the lists it has
+gone through hold ``share`` of all vectors, or ``candidates`` if that's given; their entries
+are ranked by the exact inner product, in double precision, ties to the smaller id.
 
 Every vector is indexed.  Lists with one first centroid lie together, in blocks of bounded
-size; queries go to blocks with the second centroids they visit there, in blocks too.
-
-Vectors that are null, zero, of another length than most, or hold null or non-finite
-components take no part, nor do rows without an id.  On vectors without clusters, near
+size, so that a hot list is many blocks; queries are sent to the blocks that they visit, with
+the second centroids visited there.  A task holds the vectors of one block, and queries go
+past them a few at a time; only beyond ``QUERIES_A_BLOCK`` queries are blocks repeated.
+
+Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
+components take no part, nor do rows without an id; a repeated id is as many candidates, and
+each of its rows, where it's a query, finds the same.  Empty tables give no rows; columns
+other than those named are ignored, whatever their names.  On vectors without clusters, near
 neighbours are in all directions: ``share`` must be high for a high recall.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .durable import cut
+from .durable import cut, tidy
 
 #: Bound of the sample that the codebooks are fitted on.
 TRAIN_ROWS = 8192
-CENTROIDS = 32
-VECTORS_A_BLOCK, QUERIES_A_BLOCK = 2048, 512
+#: Vectors to each square of the number of centroids, and its bounds.
+VECTORS_A_PAIR, LEAST_CENTROIDS, MOST_CENTROIDS = 50, 8, 512
+#: Vectors that a task holds, queries that go past them together, queries for which a block is sent once.
+VECTORS_A_BLOCK, QUERIES_AT_ONCE, QUERIES_A_BLOCK = 4096, 256, 8192
 
 
 def fit_codebook(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -45,6 +53,16 @@ def fit_codebook(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def centroids_for(vectors: int) -> int:
+    return min(MOST_CENTROIDS, max(LEAST_CENTROIDS, math.isqrt(vectors // VECTORS_A_PAIR)))
+
+
+def halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of one component, the second half is a zero."""
+    half = max(1, x.shape[1] // 2)
+    return x[:, :half], x[:, half:] if x.shape[1] > 1 else np.zeros((len(x), 1))
+
+
 def nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres**2).sum(1)[None, :] - 2 * rows @ centres.T).argmin(1)
 
@@ -72,12 +90,12 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and vector (array of double) of the rows that take part."""
     v = F.col("vector")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 1))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.filter(F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0))
 
 
-def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, centroids: int = CENTROIDS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candidates: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: of each row for which ``is_query`` (a column of vec_id) holds."""
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -86,17 +104,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, centro
     if lengths is None:
         return empty
     dim, total = lengths["dim"], lengths["n"]
-    rows, half = rows.filter(F.size("vector") == dim), dim // 2
+    rows, centroids = rows.filter(F.size("vector") == dim), centroids_for(total)
     lot = F.pmod(F.xxhash64(F.lit("codebook"), "vec_id"), F.lit(1_000_000)) / 1e6 < F.lit(TRAIN_ROWS / total)
     sample = rows.filter(lot).select("vec_id", "vector").limit(4 * TRAIN_ROWS).collect() or rows.limit(1).collect()
     sample = np.array([r["vector"] for r in sorted(sample, key=lambda r: (r["vec_id"], r["vector"]))])
-    books = spark.sparkContext.broadcast((fit_codebook(sample[:, :half], centroids), fit_codebook(sample[:, half:], centroids)))
+    books = spark.sparkContext.broadcast(tuple(fit_codebook(x, centroids) for x in halves(sample)))
 
+    @tidy
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = books.value
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest(x[:, :half], one).astype(np.int32)), pa.array(nearest(x[:, half:], two).astype(np.int32))], names=["vec_id", "vector", "c1", "c2"])
+            left, right = halves(_matrix(batch.column(1), dim))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest(left, one).astype(np.int32)), pa.array(nearest(right, two).astype(np.int32))], names=["vec_id", "vector", "c1", "c2"])
 
     index = cut(rows.mapInArrow(place, "vec_id long, vector array<double>, c1 int, c2 int"))
     counts = np.zeros((len(books.value[0]), len(books.value[1])), np.int64)
@@ -104,17 +123,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, centro
         counts[r["c1"], r["c2"]] = r["n"]
     queries = index.filter(is_query(F.col("vec_id"))).select("vec_id", "vector")
     n_queries = queries.count()
-    wanted = min(total, int(np.ceil(share * total)) + k + 1)
+    wanted = min(total, (math.ceil(share * total) if candidates is None else candidates) + k + 1)
     sizes = spark.sparkContext.broadcast(counts)
 
+    @tidy
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = books.value
         for batch in batches:
-            x = _matrix(batch.column(1), dim)
+            left, right = halves(_matrix(batch.column(1), dim))
             take, c1, visits = [], [], []
-            for i in range(len(x)):
+            for i in range(len(left)):
                 goes: dict[int, list[int]] = {}
-                for a, b in visit(-(one @ x[i, :half]), -(two @ x[i, half:]), sizes.value, wanted):
+                for a, b in visit(-(one @ left[i]), -(two @ right[i]), sizes.value, wanted):
                     goes.setdefault(a, []).append(b)
                 take += [i] * len(goes)
                 c1 += goes.keys()
@@ -126,52 +146,55 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, centro
     asking = max(1, -(-n_queries // QUERIES_A_BLOCK))
     n_parts = F.element_at(F.array(*(F.lit(parts[a]) for a in range(len(parts)))), F.col("c1") + 1)
     upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    listed = index.select("c1", F.pmod(F.xxhash64("vec_id"), n_parts).cast("int").alias("part"), upto(F.lit(asking)).alias("asking"), F.lit(1).alias("role"), "vec_id", "vector", F.array("c2").alias("visits"))
+    listed = index.select("c1", F.pmod(F.xxhash64("vec_id"), n_parts).cast("int").alias("part"), upto(F.lit(asking)).alias("asking"), F.lit(0).alias("role"), "vec_id", "vector", F.array("c2").alias("visits"))
     asked = queries.mapInArrow(route, "vec_id long, vector array<double>, c1 int, visits array<int>")
-    asked = asked.select("c1", upto(n_parts).alias("part"), F.pmod(F.xxhash64(F.lit("asking"), "vec_id"), F.lit(asking)).cast("int").alias("asking"), F.lit(0).alias("role"), "vec_id", "vector", "visits")
+    asked = asked.select("c1", upto(n_parts).alias("part"), F.pmod(F.xxhash64(F.lit("asking"), "vec_id"), F.lit(asking)).cast("int").alias("asking"), F.lit(1).alias("role"), "vec_id", "vector", "visits")
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        """A block's vectors come first and are held; queries are ranked as they come."""
+        key, parts, held = None, [], None
         for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
             at = 0
             for i in range(1, len(keys) + 1):
-                if i == len(keys) or keys[i] != keys[at]:
-                    if keys[at] != key and held:
-                        yield from rank(held)
-                        held = []
-                    key = keys[at]
-                    held.append(batch.slice(at, i - at))
-                    at = i
-        if held:
-            yield from rank(held)
-
-    def rank(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = pa.Table.from_batches(held).combine_chunks()
-        role, ids = block.column(3).to_numpy(), block.column(4).to_numpy()
-        x = np.concatenate([_matrix(c, dim) for c in block.column(5).chunks])
-        q, v = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        if not len(q) or not len(v):
-            return
-        visits = block.column(6).to_pylist()
+                if i < len(keys) and keys[i] == keys[at]:
+                    continue
+                *block, role = keys[at]
+                if block != key:
+                    key, parts, held = block, [], None
+                if role == 0:
+                    parts.append(batch.slice(at, i - at))
+                elif parts or held:
+                    if held is None:
+                        held, parts = block_of(parts), []
+                    for q in range(at, i, QUERIES_AT_ONCE):
+                        yield from rank(batch.slice(q, min(QUERIES_AT_ONCE, i - q)), *held)
+                at = i
+
+    def block_of(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids = np.concatenate([p.column(4).to_numpy() for p in parts])
+        c2 = np.concatenate([p.column(6).flatten().to_numpy() for p in parts])
+        return ids, np.concatenate([_matrix(p.column(5), dim) for p in parts]), c2
+
+    def rank(asked: pa.RecordBatch, ids: np.ndarray, v: np.ndarray, c2: np.ndarray) -> Iterator[pa.RecordBatch]:
+        asking_ids, q = asked.column(4).to_numpy(), _matrix(asked.column(5), dim)
         goes = np.zeros((len(q), centroids), bool)
-        for i, row in enumerate(q):
-            goes[i, visits[row]] = True
-        c2 = np.array([visits[row][0] for row in v])
-        near = x[q] @ x[v].T
-        near[~goes[:, c2] | (ids[q][:, None] == ids[v][None, :])] = -np.inf
+        for i, visited in enumerate(asked.column(6).to_pylist()):
+            goes[i, visited] = True
+        near = q @ v.T
+        near[~goes[:, c2] | (asking_ids[:, None] == ids[None, :])] = -np.inf
         # The product orders; what is near the k-th is scored again, in one fixed order of summation.
         kth = np.partition(near, len(v) - k, axis=1)[:, len(v) - k] if len(v) > k else np.full(len(q), -np.inf)
-        a, b = np.nonzero((near >= (kth - 1e-9)[:, None]) & (near > -np.inf))
-        score = np.concatenate([(x[q[a[s : s + 50_000]]] * x[v[b[s : s + 50_000]]]).sum(1) for s in range(0, max(1, len(a)), 50_000)])
-        order = np.lexsort((ids[v[b]], -score, a))
+        a, b = np.nonzero((near >= np.where(kth > -np.inf, kth - 1e-9 * np.maximum(1, np.abs(kth)), -np.inf)[:, None]) & (near > -np.inf))
+        score = np.concatenate([(q[a[s : s + 50_000]] * v[b[s : s + 50_000]]).sum(1) for s in range(0, max(1, len(a)), 50_000)])
+        order = np.lexsort((ids[b], -score, a))
         a, b, score = a[order], b[order], score[order]
-        first = np.searchsorted(a, np.arange(len(q)))
-        top = np.arange(len(a)) - first[a] < k
+        top = np.arange(len(a)) - np.searchsorted(a, np.arange(len(q)))[a] < k
         if top.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q[a[top]]]), pa.array(ids[v[b[top]]]), pa.array(score[top])], names=["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(asking_ids[a[top]]), pa.array(ids[b[top]]), pa.array(score[top])], names=["query_id", "vec_id", "score"])
 
     keys = ["c1", "part", "asking"]
-    found = listed.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(meet, "query_id long, vec_id long, score double")
+    found = listed.unionByName(asked).repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(meet, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
