@@ -6,11 +6,15 @@ by the text's norm.  The weights are fitted by follow-the-regularised-leader wit
 net penalties on a bounded sample of the labelled rows; a temperature fitted on labelled
 rows kept apart from those makes the scores probabilities.
 
-The sample takes about ``ROWS_A_LANGUAGE`` rows of each language, by a hash of their ids;
-document frequencies are the sample's too, and prediction runs over whole texts of all rows.  Null texts and texts without a letter
-are ``und`` with score 0, as is every text where there is no labelled row.  Ties go to the
-language first by code point.  Repeated rows each give a row; columns other than the id,
-the text and the language are ignored.
+The sample takes about ``ROWS_A_LANGUAGE`` rows of each language, by a hash of their ids.
+Document frequencies are of all rows that may be learned from, and prediction runs over whole
+texts, of any length, of all rows.  Null and empty texts and texts without a letter are
+``und`` with score 0, as is every text where there is no labelled row.  Every fifth row of the
+sample sets the temperature; of fewer than five rows none does and it's 1.  Ties go to the
+language first by code point.  Repeated rows each give a row; columns other than the id, the
+text and the language are ignored, whatever their names; empty tables give no rows.  A model
+holds a weight for each place and language, so more than ``MOST_LANGUAGES`` different values
+of the language are an error.
 """
 
 from __future__ import annotations
@@ -25,11 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import small_batches, tidy
+from .durable import cut, small_batches, tidy
 
 #: Bound of the sample: labelled rows of each language, in expectation.
 ROWS_A_LANGUAGE = 800
 PLACES = 1 << 15
+MOST_LANGUAGES = 1000
+#: Tasks that add up the document frequencies of all tasks.
+MOST_SUMS = 8
 _LETTER = regex.compile(r"\p{L}")
 _SLICE = 1 << 20
 UNDETERMINED = "und"
@@ -137,7 +144,9 @@ def fit(docs: DataFrame, rows_a_language: int = ROWS_A_LANGUAGE, id_col: str = "
     """Learns from rows that aren't held out and have a text and a language."""
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    there = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    there = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(there) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(there, key=lambda s: s.encode())
     if not languages:
         return LanguageModel([], np.zeros(PLACES), np.zeros((PLACES, 0)), np.zeros(0), 1.0)
@@ -150,27 +159,44 @@ def fit(docs: DataFrame, rows_a_language: int = ROWS_A_LANGUAGE, id_col: str = "
 
     @tidy
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The features of the rows of the sample, and at last in how many rows each place occurs."""
+        held = np.zeros(PLACES, np.int64)
         for batch in batches:
-            places, n = [], []
-            for text in batch.column(2):
+            picked, places, n = [], [], []
+            for i, (mine, text) in enumerate(zip(batch.column(3).to_pylist(), batch.column(2), strict=True)):
                 c = counts(text.as_py())
                 at = np.flatnonzero(c)
-                places.append(at.astype(np.uint16).tobytes())
-                n.append(c[at].astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.binary()), pa.array(n, pa.binary())], names=["draw", "lang", "places", "n"])
+                held[at] += 1
+                if mine:
+                    picked.append(i)
+                    places.append(at.astype(np.uint16).tobytes())
+                    n.append(c[at].astype(np.uint32).tobytes())
+            own = batch.take(pa.array(picked, pa.int32()))
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array(places, pa.binary()), pa.array(n, pa.binary())], names=["draw", "lang", "places", "n"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.float64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), pa.array([held.tobytes()], pa.binary())], names=["draw", "lang", "places", "n"])
 
-    sample = rows.filter(keep).select(drawn.alias("draw"), "lang", "text").mapInArrow(extract, schema).collect()
+    @tidy
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PLACES, np.int64)
+        for batch in batches:
+            for own in batch.column(0):
+                total += np.frombuffer(own.as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["n"])
+
+    read = cut(small_batches(rows.select(drawn.alias("draw"), "lang", "text", keep.alias("mine"))).mapInArrow(extract, schema))
+    held = read.filter("draw IS NULL").select("n")
+    df = np.zeros(PLACES, np.int64)
+    for r in held.repartition(MOST_SUMS).mapInArrow(add, "n binary").collect():
+        df += np.frombuffer(r["n"], np.int64)
+    sample = read.filter("draw IS NOT NULL").collect()
     sample.sort(key=lambda r: (r["draw"], r["lang"], bytes(r["places"])))
     parsed = [(np.frombuffer(r["places"], np.uint16).astype(np.int64), np.frombuffer(r["n"], np.uint32).astype(np.int64), languages.index(r["lang"])) for r in sample]
 
-    df = np.zeros(PLACES)
-    for places, _, _ in parsed:
-        df[places] += 1
-    idf = np.log((1 + len(parsed)) / (1 + df)) + 1
+    idf = np.log((1 + sum(there.values())) / (1 + df)) + 1
     model = LanguageModel(languages, idf.astype(np.float32), np.zeros((PLACES, len(languages)), np.float32), np.zeros(len(languages)), 1.0)
     weighed = [(*model.weigh(places, n), label) for places, n, label in parsed]
-    apart = weighed[::5] if len(weighed) >= 50 else []
-    model.weights, model.bias = fit_ftrl([r for i, r in enumerate(weighed) if not apart or i % 5], len(languages))
+    apart = weighed[4::5]
+    model.weights, model.bias = fit_ftrl([r for i, r in enumerate(weighed) if i % 5 != 4], len(languages))
     model.temperature = fit_temperature([x @ model.weights[places] + model.bias for places, x, _ in apart], [label for *_, label in apart])
     return model
 
