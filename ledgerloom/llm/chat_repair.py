@@ -15,8 +15,11 @@ states so found.  So a conversation may hold any share of all rows.
 
 The result has one row for each turn: its place, what is done with it, its role, and the
 rendered text that it adds; those texts in order are the rendered conversation.  Null or
-unknown roles must be given another; null texts render as empty ones; turns with equal
-numbers are ordered by role and text; turns without a conversation id are one conversation.
+unknown roles must be given another; null and empty texts render as empty ones, very long
+ones whole; turns with equal numbers are ordered by role and text, so that repeated rows are
+turns of their own, next to each other, and are merged; turns without a number come first;
+turns without a conversation id are one conversation; empty tables give no rows; columns
+other than those named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import cut
+from .durable import cut, tidy
 
 # States: nothing yet, after a system turn, after a user turn, after an assistant turn.
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -149,6 +152,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         if held:
             yield conv, run, held
 
+    @tidy
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[list] = [[] for _ in fields]
         names = [f.name for f in fields]
@@ -173,6 +177,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     # A conversation's runs, one for each few thousand of its turns, are chained: states before and after each.
     chained_fields = [T.StructField("part", T.IntegerType()), T.StructField("run", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("before", T.LongType()), T.StructField("last", T.BooleanType())]
 
+    @tidy
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(group: list[tuple[int, int, int, np.ndarray]]) -> list[tuple]:
             reach = [np.array([0.0, _FAR, _FAR, _FAR])]
@@ -210,6 +215,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     # Number the runs of the kept rows in the same way, then trace each between its states.
     numbered_schema = T.StructType([*placed.schema.fields, T.StructField("run", T.IntegerType()), T.StructField("nth", T.IntegerType())])
 
+    @tidy
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, run, held in stretches(batches):
             nth = 0
@@ -226,6 +232,7 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         + [T.StructField("cost", T.DoubleType()), T.StructField("rendered", T.StringType())]
     )
 
+    @tidy
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import numpy as np
 
@@ -75,6 +76,14 @@ def test_a_conversation_over_many_tasks_is_the_same(spark):
     assert legal("".join(r["rendered"] for r in many))
 
 
+def test_repeated_turns_and_very_long_texts(spark):
+    rows = [(1, 1, "user", "same"), (1, 1, "user", "same"), (1, 2, "assistant", "x" * 2_000_000), (2, 1, "assistant", "")]
+    turns = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "conv_id long, turn long, role string, text string, action string, part string")
+    got = {c: [r for r in chat.repair(turns.repartition(3)).orderBy("place").collect() if r["conv_id"] == c] for c in (1, 2)}
+    assert [r["action"] for r in got[1]] == ["keep", "merge", "keep"] and len(got[1][2]["rendered"]) > 2_000_000
+    assert sum(r["cost"] for r in got[1]) == chat.MERGE and legal("".join(r["rendered"] for r in got[2]))
+
+
 def test_odd_turns(spark):
     rows = [(None, None, None, None, 1), (None, 3, " User ", "x", 2), (2, 1, "user", "same", 3), (2, 1, "user", "same", 4)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, place int")
@@ -105,29 +114,76 @@ def test_parts_and_rules(spark):
     assert url_trust.judge(pages.limit(0), RULES).count() == 0
 
 
-def test_spread_equals_dense_iteration(spark):
-    rng = np.random.default_rng(1)
-    names = [f"h{i}" for i in range(12)]
-    links = {(a, b): int(rng.integers(1, 5)) for a in names for b in names if a != b and rng.random() < 0.25}
-    seeds = [(n, float(rng.random() < 0.3), float(rng.random() < 0.3)) for n in names]
-    seed_table = spark.createDataFrame(seeds, "host string, trust double, distrust double")
-    link_table = spark.createDataFrame([(a, b, n) for (a, b), n in links.items()], "src string, dst string, links long")
-    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_trust.spread(seed_table, link_table, rounds=40).collect()}
-    m = np.zeros((12, 12))
-    for (a, b), n in links.items():
-        m[names.index(a), names.index(b)] = n
+def dense(names, links, seeds):
+    """Trust and distrust by solving the equations that the rounds approach."""
+    at = {n: i for i, n in enumerate(names)}
+    m = np.zeros((len(names), len(names)))
+    for a, b, n in links:
+        m[at[a], at[b]] += n
 
-    def walk(w, s):
+    def solve(w, s):
         out = w.sum(1, keepdims=True)
         p = np.divide(w, out, out=np.zeros_like(w), where=out > 0)
-        r = s.copy()
-        for _ in range(40):
-            r = s + url_trust.DAMPING * p.T @ r
-        return r
+        return np.linalg.solve(np.eye(len(names)) - url_trust.DAMPING * p.T, s)
+
+    return solve(m, np.array([s[1] for s in seeds])), solve(m.T, np.array([s[2] for s in seeds]))
 
-    trust, distrust = walk(m, np.array([s[1] for s in seeds])), walk(m.T, np.array([s[2] for s in seeds]))
+
+def made_links(rng, hosts):
+    """A hub that a third of all hosts link to, a chain, hosts without links and random links."""
+    links = [(h, hosts[0], 1) for h in hosts[1 : len(hosts) // 3]] + [(hosts[0], h, 2) for h in hosts[1:9]]
+    links += [*zip(hosts[10:40], hosts[11:41], [1] * 30, strict=True)]
+    links += [(*rng.sample(hosts[: -len(hosts) // 5], 2), rng.randint(1, 4)) for _ in range(2 * len(hosts))]
+    return links
+
+
+def test_spread_settles_at_the_solution(spark):
+    rng = random.Random(1)
+    names = [f"h{i}" for i in range(300)]
+    links = made_links(rng, names)
+    seeds = [(n, float(rng.random() < 0.1), rng.random() * (rng.random() < 0.1)) for n in names]
+    seed_table = spark.createDataFrame(seeds, "host string, trust double, distrust double")
+    link_table = spark.createDataFrame(links, "src string, dst string, links long").groupBy("src", "dst").sum("links").withColumnRenamed("sum(links)", "links")
+    got = {r["host"]: (r["trust"], r["distrust"]) for r in url_trust.spread(seed_table, link_table).collect()}
+    trust, distrust = dense(names, links, seeds)
     for i, n in enumerate(names):
-        assert np.allclose(got.get(n, (0, 0)), (trust[i], distrust[i]), atol=1e-6)
+        assert np.allclose(got.get(n, (0, 0)), (trust[i], distrust[i]), atol=2e-6)
+
+
+def test_a_whole_table_of_linked_pages_is_judged_as_by_hand(spark):
+    """Hosts, rules, links, spread and threshold, each by plain Python."""
+    rng = random.Random(3)
+    hosts = ["www.example.com", "example.com", "a.example.com", "shop.net", "net", *(f"s{i}.org" for i in range(60))]
+    linked = made_links(rng, hosts)
+    rows = []
+    for i in range(900):
+        host = rng.choice(hosts[3:5] if rng.random() < 0.34 else hosts)
+        path = rng.choice(["/en/1", "/es/2", "/fr/3", "/", "", "/de/x?q=/es/"])
+        html = "".join(f'<a href="{rng.choice(["http:", "https:", ""])}//{b}/p">' * n for a, b, n in linked if a == host and rng.random() < 0.3) or None
+        rows.append((i, f"http://{host}{path}", html))
+    rows += [(2000 + i, "http://farm.org/x", '<a href="//shop.net/">' * 60) for i in range(30)] + [(3000 + i, "http://shop.net/es/9", None) for i in range(900)]
+    rows += [rows[5], (1000, None, "<a href='//net/'>"), (1001, "ftp:nothing", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+
+    def parts(url):
+        rest = (url or "").partition("://")[2]
+        host = re.split("[/?#]", rest, maxsplit=1)[0]
+        return host.lower(), re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+
+    def covering(host, path):
+        fits = [(len(r), r, v) for v, r in RULES for h, _, p in [r.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    judged = [(i, *parts(u), *covering(*parts(u)), h or "") for i, u, h in rows]
+    names = sorted({h for _, h, *_ in judged if h} | {*hosts, "farm.org"})
+    share = lambda n, v: np.mean([j[4] == v for j in judged if j[1] == n]) if any(j[1] == n for j in judged) else 0.0
+    links = [(h, b.lower(), 1) for _, h, _, _, _, html in judged if h for b in re.findall(r'href="(?:https?:)?//([^/"]+)', html) if b != h]
+    trust, distrust = dense(names, links, [(n, share(n, "allow"), share(n, "block")) for n in names])
+    bad = {n for n, t, d in zip(names, trust, distrust, strict=True) if d - t >= 0.5}
+    want = sorted((i, h, p, r, v or ("block" if h in bad else "allow")) for i, h, p, r, v, _ in judged)
+    got = sorted(tuple(r)[:5] for r in url_trust.judge(pages, RULES).collect())
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert any(r is None and v == "block" for *_, r, v in want) and any(r is None and v == "allow" and h for _, h, _, r, v in want)
 
 
 def test_a_host_that_links_to_blocked_hosts_is_blocked(spark):

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -31,6 +32,64 @@ def test_language_without_labels_or_rows(spark):
     assert langid.predict(empty, langid.fit(empty)).count() == 0
 
 
+def test_weights_are_those_of_ftrl_one_coordinate_at_a_time():
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(40):
+        places = np.sort(rng.choice(30, 6, replace=False))
+        rows.append((places, rng.random(6), int(rng.integers(3))))
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.4, 0.02
+    z, n = np.zeros((31, 3)), np.zeros((31, 3))
+
+    def weight(i, k):
+        a, b = (0, 0) if i == 30 else (l1, l2)
+        return 0.0 if abs(z[i, k]) <= a else -(z[i, k] - math.copysign(a, z[i, k])) / ((beta + n[i, k] ** 0.5) / alpha + b)
+
+    for _ in range(3):
+        for places, x, label in rows:
+            own = [*zip(places.tolist(), x.tolist(), strict=True), (30, 1.0)]
+            w = {(i, k): weight(i, k) for i, _ in own for k in range(3)}
+            scores = [sum(v * w[i, k] for i, v in own) for k in range(3)]
+            p = [math.exp(s) / sum(map(math.exp, scores)) for s in scores]
+            for i, v in own:
+                for k in range(3):
+                    g = (p[k] - (k == label)) * v
+                    z[i, k] += g - ((n[i, k] + g * g) ** 0.5 - n[i, k] ** 0.5) / alpha * w[i, k]
+                    n[i, k] += g * g
+    weights, bias = langid.fit_ftrl(rows, 3, l1=l1)
+    want = np.array([[weight(i, k) for k in range(3)] for i in range(31)])
+    assert np.allclose(weights[:30], want[:30], atol=1e-6) and np.allclose(bias, want[30]) and (want[:30] == 0).any()
+
+
+def test_temperature_makes_labels_likeliest():
+    rng = np.random.default_rng(6)
+    logits = [rng.normal(size=3) * 6 for _ in range(300)]
+    labels = [int(np.argmax(z + rng.gumbel(size=3) * 3)) for z in logits]
+    t = langid.fit_temperature(logits, labels)
+
+    def loss(t):
+        return -sum(math.log(langid.softmax(z / t)[y]) for z, y in zip(logits, labels, strict=True))
+
+    assert 2 < t < 4.5 and loss(t) < loss(t * 1.3) and loss(t) < loss(t / 1.3) and langid.fit_temperature([], []) == 1.0
+
+
+def test_document_frequencies_are_of_all_rows_that_may_be_learned_from(spark):
+    rng = random.Random(7)
+    rows = [(i, words(rng, LETTERS[lang], 5), lang) for i in range(200) for lang in [rng.choice(["xa", "xb"])]]
+    docs = spark.createDataFrame([*rows, *rows[:20]], "doc_id long, text string, lang string").repartition(3)
+    learned = [t for i, t, _ in [*rows, *rows[:20]] if zlib.crc32(str(i).encode()) % 5]
+    df = sum((langid.counts(t) > 0).astype(int) for t in learned)
+    model = langid.fit(docs, rows_a_language=20)
+    assert np.allclose(model.idf, np.log((1 + len(learned)) / (1 + df)) + 1, atol=1e-5)
+    found = [(r["doc_id"], r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()]
+    assert len(found) == 220 and len(set(found)) == 200  # repeated rows alike
+
+
+def test_ties_between_languages_go_to_the_first():
+    model = langid.LanguageModel(["aa", "bb"], np.ones(langid.PLACES), np.zeros((langid.PLACES, 2), np.float32), np.zeros(2), 1.0)
+    assert model.predict("any text") == ("aa", 0.5) and model.predict("x" * 3_000_000)[0] == "aa"
+
+
 def test_counts_do_not_depend_on_slices(monkeypatch):
     text = "abc déf " * 50
     whole = langid.counts(text)

@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -162,17 +163,69 @@ def test_search_equals_scoring_every_document(spark):
     assert bm25.search(table.limit(0), asked).count() == 0 and bm25.search(table, asked.limit(0)).count() == 0
 
 
-def test_pruning_skips_postings(monkeypatch):
-    n = 2000
-    docs = np.arange(n, dtype=np.int64)
-    tfs = np.where(docs < 64, 30, 1).astype(np.int32)
-    lens = np.full(n, 100, np.int32)
-    starts = np.arange(0, n, bm25.BLOCK)
-    row = (docs.tobytes(), tfs.tobytes(), lens.tobytes(), docs[np.minimum(starts + bm25.BLOCK - 1, n - 1)].tobytes(), np.maximum.reduceat(tfs, starts).tobytes(), np.minimum.reduceat(lens, starts).tobytes())
-    cursor = bm25.Cursor(1.0, row, 100.0)
-    moves = []
-    monkeypatch.setattr(bm25.Cursor, "move", lambda self, d, f=bm25.Cursor.move: (moves.append(d), f(self, d))[1])
-    assert [d for _, d in bm25.wand([cursor], 5)] == [0, 1, 2, 3, 4] and len(moves) < 200
+def index_of(docs):
+    """The rows of one shard."""
+    shard = bm25.Shard()
+    for doc, text in docs:
+        shard.add(doc, text)
+    opening, *rows = [tuple(b.column(i)[0].as_py() for i in range(6)) for b in shard.rows()]
+    return np.frombuffer(opening[2], np.int64), np.frombuffer(opening[3], np.uint32), rows
+
+
+def test_blocks_bound_their_postings(monkeypatch):
+    monkeypatch.setattr(bm25, "ROW_TERMS", 7)
+    rng = random.Random(2)
+    docs = [(i * 3 % 1000, " ".join(rng.choices([f"t{k}" for k in range(40)], [1 / (k + 1) for k in range(40)], k=rng.randint(0, 90)))) for i in range(300)]
+    ids, lengths, rows = index_of(docs)
+    texts = dict(docs)
+    assert ids.tolist() == sorted(texts) and lengths.tolist() == [len(texts[i].split()) for i in ids]
+    held = {t: p for row in rows for t, p in bm25.postings(row, {f"t{k}".encode() for k in range(40)})}
+    for k in range(40):
+        want = [(n, c) for n, i in enumerate(ids) if (c := texts[i].split().count(f"t{k}"))]
+        numbers, tfs, block_tfs, block_lens = held[f"t{k}".encode()]
+        assert [*zip(numbers.tolist(), tfs.tolist(), strict=True)] == want
+        for b in range(len(block_tfs)):
+            own = want[b * bm25.BLOCK : (b + 1) * bm25.BLOCK]
+            assert block_tfs[b] == max(c for _, c in own) and block_lens[b] == min(lengths[n] for n, _ in own)
+        assert len(block_tfs) == -(-len(want) // bm25.BLOCK)
+
+
+def test_only_blocks_that_can_matter_are_scored():
+    rng = random.Random(1)
+    docs = [(i, ("rare " * 5 if 100 <= i < 110 else "") + "often " * (30 if i < 64 else 1) + " ".join(f"x{rng.randrange(500)}" for _ in range(60))) for i in range(6000)]
+    ids, lengths, rows = index_of(docs)
+    average = float(lengths.mean())
+    held = {t: p for row in rows for t, p in bm25.postings(row, {b"often", b"rare"})}
+
+    def run(*terms):
+        cursors = [bm25.Cursor(bm25.idf(6000, len(held[t][0])), held[t], lengths, average) for t in terms]
+        return [d for _, d in bm25.wand(cursors, ids, 5)], sum(c.scored for c in cursors)
+
+    first, scored = run(b"often")
+    assert set(first) <= set(range(64)) and scored <= 2 * bm25.BLOCK
+    second, scored = run(b"rare", b"often")
+    assert set(second) <= set(range(100, 110)) and scored <= 10 * bm25.BLOCK  # of 6,010 postings
+
+
+def test_search_of_repeated_ids_and_several_shards_in_a_task(spark):
+    rng = random.Random(8)
+    rows = [(i % 90, " ".join(rng.choices("abcdefgh", k=rng.choice([3, 9, 40])))) for i in range(400)] + [(7, "a a a a")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    queries = spark.createDataFrame([(1, "a b"), (2, "h"), (3, "c d e a")], "item_id long, text string")
+    index = [bm25.words(t) for _, t in rows]
+    average, df = sum(map(len, index)) / len(index), Counter(t for w in index for t in set(w))
+    want = []
+    for q, text in [(1, "a b"), (2, "h"), (3, "c d e a")]:
+        best = {}
+        for (i, _), w in zip(rows, index, strict=True):
+            tf = Counter(w)
+            s = sum(bm25.idf(len(index), df[t]) * (tf[t] * 2.2 / (tf[t] + 1.2 * (0.25 + 0.75 * len(w) / average))) for t in bm25.words(text) if tf[t])
+            best[i] = max(best.get(i, 0), round(s, 6))
+        want += [(q, k + 1, i, s) for k, (i, s) in enumerate(sorted(((i, s) for i, s in best.items() if s > 0), key=lambda x: (-x[1], x[0]))[:10])]
+    for shard in (7, 20_000):
+        kept = bm25.build_index(docs, shard_docs=shard)
+        assert kept.filter("terms IS NULL").count() == -(-430 // shard)
+        assert sorted(map(tuple, bm25.search_index(kept, queries).collect())) == want
 
 
 def vectors(n, seed=0):
@@ -203,6 +256,43 @@ def test_recall_of_the_multi_index(spark):
     assert np.mean([len(set(got[q]) & set(want[q])) / 10 for q in want]) >= 0.9
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01/embeddings.parquet").exists(), reason="no test tables")
+def test_recall_on_the_embeddings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.select("vec_id", "embedding").orderBy("vec_id").collect()
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    got = {}
+    for r in multi_index.search(table, lambda i: i % 20 == 0, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    found = []
+    for i in np.flatnonzero(ids % 20 == 0):
+        near = x @ x[i]
+        near[i] = -np.inf
+        found.append(len(got[ids[i]] & set(ids[np.lexsort((ids, -near))[:20]].tolist())) / 20)
+    assert np.mean(found) >= 0.9
+
+
+def test_blocks_and_hot_lists(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "VECTORS_A_BLOCK", 16)
+    monkeypatch.setattr(multi_index, "QUERIES_A_BLOCK", 8)
+    x = np.concatenate([vectors(200, 3), np.repeat(vectors(1, 4), 150, 0) + 1e-3 * vectors(150, 5)])
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in multi_index.search(table, lambda i: i % 10 == 0, k=7, share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == exact(x, range(350), 7, range(0, 350, 10))
+
+
+def test_vectors_of_one_component_and_repeated_ids(spark):
+    assert [multi_index.centroids_for(n) for n in (0, 50_000, 10**12)] == [8, 31, 512]
+    table = spark.createDataFrame([(i, [float(i % 7) + 1]) for i in range(60)], "vec_id long, embedding array<double>")
+    got = [(r["query_id"], r["vec_id"], r["score"]) for r in multi_index.search(table, lambda i: i % 20 == 0, k=2, share=1.0).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 6, 7.0), (0, 13, 7.0), (20, 6, 49.0), (20, 13, 49.0), (40, 6, 42.0), (40, 13, 42.0)]
+    twice = spark.createDataFrame([(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 1.0]), (1, [3.0, 1.0]), (2, [0.5, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in multi_index.search(twice, lambda i: i % 20 == 0, k=3, share=1.0).collect())
+    assert [g[:2] for g in got] == [(20, 1), (20, 2), (20, 3)] and got[0][2:] == (1, 3.0)
+
+
 def test_equal_vectors_go_by_id_and_odd_ones_take_no_part(spark):
     x = [[1.0, 0.0, 0.0, 0.0]] * 50
     odd = [(60, None), (80, [0.0] * 4), (61, [1.0, None, 0.0, 0.0]), (62, [float("nan"), 0.0, 0.0, 1.0]), (63, [1.0]), (64, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0, 0.0, 0.0, 0.0])]
