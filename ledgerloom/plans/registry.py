@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..durable import cut
 from ..functions import dates, parsing, predicates, recode
 from ..operators import aggregates, joins, profile, reshape, risk, sequences, stats, suppress
 from ..sources import fixed_width, manifest
@@ -73,7 +74,7 @@ def _offenses(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.year_county_race(standins.demographics(spark, d))
+    return summaries.year_county_race(cut(standins.demographics(spark, d)))  # read twice
 
 
 @query("int_summary", f"WITH {SUMMARY} SELECT * FROM summary")

@@ -74,8 +74,8 @@ def disparity(offenses: DataFrame, shares: DataFrame, by: Sequence[str] = (), st
 
 
 def _shares_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    total = rows.groupBy(*keys).agg(F.sum("total").alias("n_all"))
     part = rows.groupBy(*keys, "race").agg(F.sum("total").alias("n_race"))
+    total = part.groupBy(*keys).agg(F.sum("n_race").alias("n_all"))
     return part.join(total, list(keys)).withColumn("percent_arrests", per_cent(F.col("n_race"), F.col("n_all")))
 
 
