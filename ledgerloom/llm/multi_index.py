@@ -35,7 +35,7 @@ from .durable import cut, tidy
 #: Bound of the sample that the codebooks are fitted on.
 TRAIN_ROWS = 8192
 #: Vectors to each square of the number of centroids, and its bounds.
-VECTORS_A_PAIR, LEAST_CENTROIDS, MOST_CENTROIDS = 50, 8, 512
+VECTORS_A_PAIR, LEAST_CENTROIDS, MOST_CENTROIDS = 2, 16, 512
 #: Vectors that a task holds, queries that go past them together, queries for which a block is sent once.
 VECTORS_A_BLOCK, QUERIES_AT_ONCE, QUERIES_A_BLOCK = 4096, 256, 8192
 

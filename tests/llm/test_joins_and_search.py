@@ -284,7 +284,7 @@ def test_blocks_and_hot_lists(spark, monkeypatch):
 
 
 def test_vectors_of_one_component_and_repeated_ids(spark):
-    assert [multi_index.centroids_for(n) for n in (0, 50_000, 10**12)] == [8, 31, 512]
+    assert [multi_index.centroids_for(n) for n in (0, 50_000, 10**12)] == [16, 158, 512]
     table = spark.createDataFrame([(i, [float(i % 7) + 1]) for i in range(60)], "vec_id long, embedding array<double>")
     got = [(r["query_id"], r["vec_id"], r["score"]) for r in multi_index.search(table, lambda i: i % 20 == 0, k=2, share=1.0).orderBy("query_id", "rank").collect()]
     assert got == [(0, 6, 7.0), (0, 13, 7.0), (20, 6, 49.0), (20, 13, 49.0), (40, 6, 42.0), (40, 13, 42.0)]
