@@ -228,10 +228,12 @@ class ToxicityModel:
         if len(known) * 130 > _MEMORY:
             known.clear()
         new = [s for s in asked if s not in known]
-        found = dict(zip(new, self.decide_strings(new).tolist(), strict=True)) if new else {}
-        known.update((s, d) for s, d in found.items() if len(s) <= 4 * WIDTH)
+        known.update(zip(new, self.decide_strings(new).tolist() if new else [], strict=True))
         for own in waiting:
-            yield max((known[s] if s in known else found[s] for s in own), default=-2.0)
+            yield max(map(known.__getitem__, own), default=-2.0)
+        for s in new:
+            if len(s) > 4 * WIDTH:  # rarely met again
+                del known[s]
 
 
 def _kernel(symbols: Symbols, windows: list[str], landmarks: list[str]) -> np.ndarray:
@@ -440,6 +442,14 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     if not toxic.any() or not clean.any():
         return constant
 
+    @tidy
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted(set().union(*sentences(text.as_py() or ""))) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array([ws for ws in found if ws], pa.list_(pa.string()))], names=["windows"])
+
+    toxic_texts = cut(sample.filter("toxic = 1").mapInArrow(split, "windows array<string>"))
+
     def worst_windows(model: ToxicityModel) -> dict[str, int]:
         shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -447,15 +457,16 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in batches:
+                texts = batch.column(0).to_pylist()
+                asked = sorted(set().union(*texts))
+                known = dict(zip(asked, own.decide(asked).tolist(), strict=True))
                 worst = []
-                for text in batch.column(1):
-                    found = sorted(set().union(*sentences(text.as_py() or "")))
-                    if found:
-                        decided = own.decide(found)
-                        worst += {found[int(np.argmax(decided))], *(found[i] for i in np.flatnonzero(decided > 0))}
+                for ws in texts:
+                    decided = [known[w] for w in ws]
+                    worst += {ws[decided.index(max(decided))], *(w for w, f in zip(ws, decided, strict=True) if f > 0)}
                 yield pa.RecordBatch.from_arrays([pa.array(worst, pa.string())], names=["window"])
 
-        picked = sample.filter("toxic = 1").mapInArrow(pick, "window string").groupBy("window").agg(F.count("*").alias("n"))
+        picked = toxic_texts.mapInArrow(pick, "window string").groupBy("window").agg(F.count("*").alias("n"))
         return {r["window"]: r["n"] for r in picked.join(drawn_windows, "window").collect()}  # of the bounded windows only
 
     model, unseen = learn(windows, toxic, clean, worst_windows)
