@@ -91,11 +91,6 @@ def remap(c: Column, groups: Sequence[Sequence[str] | str], names: Sequence[str]
     return out
 
 
-def lookup(c: Column, table: dict[str, str]) -> Column:
-    """The value for a code, or null; for tables that are part of the code."""
-    return F.create_map(*(F.lit(x) for item in table.items() for x in item))[c] if table else F.lit(None).cast("string")
-
-
 def race_label(code: Column) -> Column:
     """One label set for both generations of race codes; blank and unknown codes are null."""
     return F.try_element_at(F.create_map(*(F.lit(x) for item in RACE_CODES.items() for x in item)), code)

@@ -14,7 +14,7 @@ from ledgerloom.durable import checkpoint_dir
 from ledgerloom.functions import predicates, recode
 from ledgerloom.operators import aggregates, joins, ordering, profile, reshape, sequences, stats
 from ledgerloom.plans import release
-from ledgerloom.sources import catalog, fixed_width, manifest, text_tables
+from ledgerloom.sources import catalog, fixed_width, manifest, tabledef, text_tables
 
 
 def test_delimited_files_with_and_without_a_header(spark, tmp_path):
@@ -206,3 +206,10 @@ def test_only_local_masters_get_a_folder_of_their_own(spark):
     with pytest.raises(RuntimeError):
         checkpoint_dir(Session())
     assert checkpoint_dir(spark)
+
+
+def test_layouts_from_rows():
+    rows = [{"full_name": "db_id", "start": "NA", "length": 0, "type": "bigserial", "abbreviation": ""}, {"full_name": "age", "start": 3, "length": 2, "type": "smallint", "abbreviation": "ag"}]
+    table = tabledef.TableDef.from_rows("short", rows, 6)
+    assert [f.name for f in table.fields] == ["age"] and table.length == 6 and table.fields[0].is_whole
+    assert tabledef.TableDef.of("made", [("db_id", 1, 2, "bigserial")]).fields[0].is_serial
