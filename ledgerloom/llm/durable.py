@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..durable import checkpoint_dir, cut, remove
 
-__all__ = ["checkpoint_dir", "cut", "read", "remove", "small_batches", "tidy"]
+__all__ = ["checkpoint_dir", "cut", "give_back", "read", "remove", "small_batches", "tidy"]
 
 #: Texts that pass between the engine and Python at once.
 BATCH_ROWS = 2000
@@ -33,6 +33,16 @@ def small_batches(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def give_back() -> None:
+    """Returns memory that this process no longer uses."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not the GNU C library: nothing to trim
+
+
 def tidy(run: Run) -> Run:
     """``run`` for a task, after which the Python worker, which later stages use again, gives its memory back."""
 
@@ -41,11 +51,6 @@ def tidy(run: Run) -> Run:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (OSError, AttributeError):
-                pass  # not the GNU C library: nothing to trim
+            give_back()
 
     return wrapped

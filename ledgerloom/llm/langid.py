@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import cut, small_batches, tidy
+from .durable import cut, give_back, small_batches, tidy
 
 #: Bound of the sample: labelled rows of each language, in expectation.
 ROWS_A_LANGUAGE = 800
@@ -198,6 +198,8 @@ def fit(docs: DataFrame, rows_a_language: int = ROWS_A_LANGUAGE, id_col: str = "
     apart = weighed[4::5]
     model.weights, model.bias = fit_ftrl([r for i, r in enumerate(weighed) if i % 5 != 4], len(languages))
     model.temperature = fit_temperature([x @ model.weights[places] + model.bias for places, x, _ in apart], [label for *_, label in apart])
+    del sample, parsed, weighed, apart
+    give_back()
     return model
 
 

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .durable import cut, small_batches, tidy
+from .durable import cut, give_back, small_batches, tidy
 from .langid import held_out
 
 #: Bounds of the sample that is learned from.
@@ -71,6 +71,7 @@ SYMBOLS = 64
 END = "."
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
 _AT_ONCE = 2000  # windows whose subsequences are held together
+_WIDE_ROWS = 64  # windows whose kernels with all landmarks are computed together
 _WORK = 1 << 20  # characters whose new strings are scored together
 _MEMORY = 40 << 20  # bytes of strings that a task remembers, roughly
 
@@ -238,20 +239,23 @@ class ToxicityModel:
 
 def _kernel(symbols: Symbols, windows: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernels of windows with landmarks."""
-    marks, w = subsequences(symbols.rows(landmarks))
+    there = np.unique(subsequences(symbols.rows(landmarks))[0])
+    there = there[there > 0]
     column = np.zeros(SYMBOLS**3, np.int32)
-    there = np.unique(marks[marks > 0])
     column[there] = np.arange(1, len(there) + 1)
 
-    def dense(ids: np.ndarray) -> np.ndarray:
+    def dense(strings: list[str]) -> np.ndarray:
+        """Rows of all subsequences that landmarks have: few strings at a time, as the rows are long."""
+        ids, w = subsequences(symbols.rows(strings))
         wide = len(there) + 1
         at = (np.arange(len(ids))[:, None] * wide + column[ids]).ravel()
         out = np.bincount(at, np.tile(w, len(ids)), minlength=len(ids) * wide).reshape(-1, wide)
         out[:, 0] = 0
-        return (out / norms(ids, w)[:, None]).astype(np.float32)
+        out /= norms(ids, w)[:, None]
+        return out.astype(np.float32)
 
-    right = dense(marks).T
-    parts = [dense(subsequences(symbols.rows(windows[at : at + 500]))[0]) @ right for at in range(0, len(windows), 500)]
+    right = np.concatenate([dense(landmarks[at : at + _WIDE_ROWS]) for at in range(0, len(landmarks), _WIDE_ROWS)]).T
+    parts = [dense(windows[at : at + _WIDE_ROWS]) @ right for at in range(0, len(windows), _WIDE_ROWS)]
     return np.concatenate(parts).astype(np.float64)
 
 
@@ -437,8 +441,12 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     lot = F.pmod(F.xxhash64("window"), F.lit(1_000_000)) / 1e6 < F.lit(RARE_WINDOWS / max(1, rare))
     sampled = by_window.filter((F.col("t") >= SEEN) | lot)
     drawn_windows = sampled.select("window")
-    rows = sorted(map(tuple, sampled.collect()))
-    windows, toxic, clean = [r[0] for r in rows], np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
+    found = sampled.select("window", "t", "c").toArrow()  # bounded by the sample
+    names = found.column("window").to_pylist()
+    order = np.array(sorted(range(len(names)), key=names.__getitem__), np.int64)
+    windows = [names[i] for i in order]
+    toxic, clean = (found.column(c).to_numpy().astype(float)[order] for c in ("t", "c"))
+    del found, names
     if not toxic.any() or not clean.any():
         return constant
 
@@ -474,6 +482,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_
     seen = [(r["decision"], r["toxic"]) for r in _decide(sample, model, "toxic").collect()]
     seen = np.array([*seen, *((d, 1) for d in model.decide(unseen))], float)
     model.slope, model.offset = fit_slope(seen[:, 0], seen[:, 1])
+    give_back()
     return model
 
 
