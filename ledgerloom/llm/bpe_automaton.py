@@ -108,13 +108,15 @@ class Gadgets:
         gone = np.array(gone, np.int64).reshape(-1, 4)
         rows, columns = _classes(gone[:, 0], gone[:, 1], len(row_of)), _classes(gone[:, 2], gone[:, 3], len(column_of))
         n_columns = int(columns.max(initial=-1)) + 1
-        bits = np.ones((int(rows.max(initial=-1)) + 1, -(-n_columns // 8) * 8), bool)
+        packed = np.full((int(rows.max(initial=-1)) + 1, -(-n_columns // 8)), 255, np.uint8)
         for a, b, c, d in gone.tolist():
             if b - a == 1 and d - c == 1:
-                bits[rows[a], columns[c]] = False
+                packed[rows[a], columns[c] >> 3] &= 255 ^ (1 << (int(columns[c]) & 7))
             else:
-                bits[rows[a:b, None], columns[None, c:d]] = False
-        return np.packbits(bits, axis=1, bitorder="little"), {s: int(rows[i]) for s, i in row_of.items()}, {s: int(columns[i]) for s, i in column_of.items()}
+                taken = np.zeros(packed.shape[1] * 8, bool)
+                taken[columns[c:d]] = True
+                packed[np.unique(rows[a:b])] &= ~np.packbits(taken, bitorder="little")
+        return packed, {s: int(rows[i]) for s, i in row_of.items()}, {s: int(columns[i]) for s, i in column_of.items()}
 
 
 def _classes(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
