@@ -277,7 +277,11 @@ def fit_svm(x: np.ndarray, toxic: np.ndarray, clean: np.ndarray, steps: int = 30
         f = x @ w
         up, down = toxic * (f < 1), clean * (f > -1)
         gradient = penal * w - 2 * x.T @ (up * (1 - f) - down * (1 + f))
-        step = np.linalg.solve(2 * (x * (up + down)[:, None]).T @ x + np.diag(penal), gradient)
+        curve = np.diag(penal)
+        for at in range(0, len(x), _AT_ONCE):
+            part = x[at : at + _AT_ONCE]
+            curve += 2 * (part * (up + down)[at : at + _AT_ONCE, None]).T @ part
+        step = np.linalg.solve(curve, gradient)
         rate, before = 1.0, now
         while rate > 1e-4 and (now := loss(w - rate * step)) > before:
             rate /= 2
@@ -354,8 +358,10 @@ class Learner:
         values, vectors = np.linalg.eigh(_kernel(self.symbols, landmarks, landmarks))
         kept = values > 1e-6 * values[-1]
         half = vectors[:, kept] / np.sqrt(values[kept])
-        x = _kernel(self.symbols, [self.windows[i] for i in self.active], landmarks) @ half
-        w = fit_svm(np.hstack([x, np.ones((len(x), 1))]), self.up[self.active], self.down[self.active])
+        x = np.ones((len(self.active), half.shape[1] + 1))
+        for at in range(0, len(x), _AT_ONCE):  # no second copy of all rows
+            x[at : at + _AT_ONCE, :-1] = _kernel(self.symbols, [self.windows[i] for i in self.active[at : at + _AT_ONCE]], landmarks) @ half
+        w = fit_svm(x, self.up[self.active], self.down[self.active])
         ids, weight = subsequences(self.symbols.rows(landmarks))
         share = (half @ w[:-1]) / norms(ids, weight)
         folded = np.bincount(ids.ravel(), (share[:, None] * weight[None, :]).ravel(), minlength=SYMBOLS**3)
