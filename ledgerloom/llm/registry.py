@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bm25, bpe_automaton, bpe_count, chat_repair, jaccard_join, langid, mixing, multi_index, toxicity, url_trust
+from . import bm25, bpe_automaton, bpe_count, chat_repair, importance, jaccard_join, langid, mixing, multi_index, rank_bpe, toxicity, url_trust, whitening
 from .durable import read
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -132,6 +133,60 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = rank_bpe.round_trip(read(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
+    ids = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weighed = importance.weights(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), least=1, most=1, buckets=10_000)
+    return importance.resample(weighed, percent=10, least_words=20, seed=2024).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+OP12_SQL = r"""
+WITH held AS (
+    SELECT doc_id, row_number() OVER () AS nth, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents
+), in_corpus AS (
+    SELECT nth, unnest(words) AS word FROM held
+), in_target AS (
+    SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark
+), counted AS (
+    SELECT word, sum(s) AS s, sum(t) AS t FROM (
+        SELECT word, count(*) AS s, 0 AS t FROM in_corpus GROUP BY word
+        UNION ALL SELECT word, 0, count(*) FROM in_target GROUP BY word
+    ) GROUP BY word
+), crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, unused: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), spelled AS (
+    SELECT word, s, t, list_transform(range(1, strlen(hex(encode(word))) + 1, 2), lambda i: CAST('0x' || substr(hex(encode(word)), i, 2) AS BIGINT)) AS bytes FROM counted
+), hashed AS (
+    SELECT word, s, t, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 10000 AS bucket FROM spelled, crc
+), buckets AS (
+    SELECT bucket, sum(s) AS s, sum(t) AS t FROM hashed GROUP BY bucket
+), whole AS (
+    SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM buckets
+), gains AS (
+    SELECT bucket, CAST(floor(1000.0::DOUBLE * ln((CAST(b.t + 1 AS DOUBLE) * CAST(w.s + 10000 AS DOUBLE)) / (CAST(b.s + 1 AS DOUBLE) * CAST(w.t + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM buckets b, whole w
+), weighed AS (
+    SELECT nth, CAST(sum(gain) AS BIGINT) AS weight FROM in_corpus JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY nth
+), scored AS (
+    SELECT doc_id, nth, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln((CAST(CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM held LEFT JOIN weighed USING (nth)
+), ranked AS (
+    SELECT nth, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS able FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= able * 10 // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (nth)
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    white = whitening.transform(vectors, whitening.fit(vectors, k=32))
+    return white.select("vec_id", "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), "whitened", "explained", "identity_error")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_trust": op1_url_trust,
@@ -144,6 +199,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_repair": op8_chat_repair,
         "op9_fair_mix": op9_fair_mix,
         "op10_langid": op10_langid,
+        "op11_rank_bpe": op11_rank_bpe,
+        "op12_importance": op12_importance,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -151,4 +209,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_bm25": OP3_SQL,
         "op9_fair_mix": OP9_SQL,
+        "op12_importance": OP12_SQL,
     }
