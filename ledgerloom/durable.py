@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,27 @@ def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder that a job of this session has written."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Steps:
+    """Tables that follow one another, each written to the checkpoint folder and read again.
+
+    For loops: the sizes that the engine plans with are those of the files, where a plan cut by
+    ``checkpoint()`` carries estimates that joins multiply round by round.  The last ``keep``
+    tables stay; ``close`` removes all.
+    """
+
+    def __init__(self, spark: SparkSession, keep: int = 3):
+        self.spark, self.keep, self.paths = spark, keep, []
+        self.folder = f"{checkpoint_dir(spark)}/steps-{uuid.uuid4()}"
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        if len(self.paths) > self.keep:
+            remove(self.spark, self.paths[-1 - self.keep])
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        remove(self.spark, self.folder)

@@ -41,9 +41,9 @@ def check(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div:
         raise ValueError("a risk function needs a diversity column")
 
 
-def patterns(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, name: str = "n") -> DataFrame:
-    """Distinct strata, keys (and sensitive level) with their numbers of rows."""
-    return rows.groupBy(*strata, *keys, *([div] if div else [])).agg(F.count("*").alias(name))
+def patterns(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, name: str = "n", weight: str | None = None) -> DataFrame:
+    """Distinct strata, keys (and sensitive level) with their numbers of rows, or sums of ``weight``."""
+    return rows.groupBy(*strata, *keys, *([div] if div else [])).agg((F.sum(weight) if weight else F.count("*")).alias(name))
 
 
 def _mask(keys: Sequence[str]) -> Column:
@@ -59,13 +59,13 @@ def _blanked(keys: Sequence[str], mask: str, other: str) -> list[Column]:
     return [F.when((F.col(mask).bitwiseOR(F.col(other)).bitwiseAND(F.lit(1 << i))) != 0, F.lit(None).cast("string")).otherwise(F.col(k).cast("string")).alias(f"_k{i}") for i, k in enumerate(keys)]
 
 
-def compatible_counts(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, name: str = "n") -> DataFrame:
+def compatible_counts(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, name: str = "n", weight: str | None = None) -> DataFrame:
     """For each pattern of strata and keys: how many rows (of each sensitive level) are compatible.
 
     One equi-join: both sides are repeated for each null mask that occurs, keys null on
     either side are blanked, and masks and blanked keys must be equal.
     """
-    pats = patterns(rows, keys, strata, div, "_n").withColumn("_mask", _mask(keys))
+    pats = patterns(rows, keys, strata, div, "_n", weight).withColumn("_mask", _mask(keys))
     masks = pats.select(F.col("_mask").alias("_other")).distinct()
     mine = pats.select(*strata, *keys, "_mask").distinct().crossJoin(masks)
     theirs = pats.crossJoin(masks)
@@ -127,18 +127,19 @@ def custom(f: RiskFunction) -> Callable[[Column], Column]:
     return lambda levels: run(levels)
 
 
-def calc_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, risk: Callable[[Column], Column] | None = None, within_completions: bool = False, name: str = "risk") -> DataFrame:
+def calc_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (), div: str | None = None, risk: Callable[[Column], Column] | None = None, within_completions: bool = False, name: str = "risk", weight: str | None = None) -> DataFrame:
     """Every row with its risk: the number of compatible rows, or a function of their sensitive levels.
 
     within_completions: the risk is taken over the rows that agree with one full completion
     of the keys or leave them open, and is the least among the completions with the most
-    known keys; rows without any known key get 1.
+    known keys; rows without any known key get 1.  weight: a column that says how many rows
+    each row stands for.
     """
     check(rows, keys, strata, div, risk)
     columns = [*strata, *keys]
     if within_completions:
-        return _back(rows, completion_risk(rows, keys, strata, div, risk, name), columns, [name])
-    found = compatible_counts(rows, keys, strata, div if risk is not None else None, "_n")
+        return _back(rows, completion_risk(rows, keys, strata, div, risk, name, weight), columns, [name])
+    found = compatible_counts(rows, keys, strata, div if risk is not None else None, "_n", weight)
     if risk is None:
         by = found.withColumn(name, F.col("_n").cast("double"))
     else:
@@ -146,7 +147,7 @@ def calc_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (),
     return _back(rows, by, columns, [name])
 
 
-def completion_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str], div: str | None, risk: Callable[[Column], Column] | None, name: str) -> DataFrame:
+def completion_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str], div: str | None, risk: Callable[[Column], Column] | None, name: str, weight: str | None = None) -> DataFrame:
     """Risk by pattern within completions.
 
     A completion takes each key's value from the levels of the stratum.  The full patterns
@@ -154,7 +155,7 @@ def completion_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str],
     patterns that equal it where they are known.  The number of completions is the product
     of the numbers of levels of the open keys: name few keys with few levels.
     """
-    pats = patterns(rows, keys, strata, div if risk is not None else None, "_n")
+    pats = patterns(rows, keys, strata, div if risk is not None else None, "_n", weight)
     distinct = pats.select(*strata, *keys).distinct()
     stratum = lambda a, b: _same(strata, a, b)
     full = distinct.select(*strata).distinct() if strata else distinct.sparkSession.range(1).select()

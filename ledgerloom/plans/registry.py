@@ -691,15 +691,38 @@ def suppression_counts(spark, d):
     return risk.suppression_counts(rows, after, "person", ["band"], ["stratum"]).withColumn("pct_band", F.round("pct_band", 9))
 
 
-@query("local_suppression_invariants", "SELECT CAST(0 AS BIGINT) AS n_below, CAST(0 AS BIGINT) AS n_changed, count(DISTINCT o_custkey) AS n_rows FROM orders")
-def local_suppression_invariants(spark, d):
-    """After randomized suppression: rows below the threshold with any key left, cells changed other than to null, rows."""
+def _suppressed_sql(threshold):
+    return f"""WITH {PERSONS}, r AS (SELECT a.person, count(*) AS n FROM persons a JOIN persons b ON a.stratum = b.stratum AND {FITS} GROUP BY a.person)
+        SELECT CAST(0 AS BIGINT) AS n_below, CAST(0 AS BIGINT) AS n_changed, count(*) FILTER (n < {threshold}) AS n_at_risk, true AS few_nulled, count(*) AS n_rows FROM r"""
+
+
+def _suppressed(spark, d, threshold, **options):
+    """After randomized suppression: rows below the threshold with any key left, cells changed other than to null, rows.
+
+    few_nulled: cells are nulled where rows were at risk, and at most two for each of these; nulling all keys would be three a row.
+    """
     rows = _persons(spark, d).select("person", "stratum", *KEYS)
-    done = suppress.suppress(rows, KEYS, "person", ["stratum"], threshold=2, chains=2)
+    done = suppress.suppress(rows, KEYS, "person", ["stratum"], threshold=threshold, **options)
     after = risk.calc_risk(done, KEYS, ["stratum"])
-    joined = after.alias("a").join(rows.alias("b"), "person")
+    before = risk.calc_risk(rows, KEYS, ["stratum"])
+    joined = after.alias("a").join(before.alias("b"), "person")
     changed = sum((F.when(F.col(f"a.{k}").isNotNull() & ~F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")), 1).otherwise(0) for k in KEYS), F.lit(0))
-    return joined.agg(aggregates.count_if((F.col("risk") < 2) & F.coalesce(*(F.col(f"a.{k}") for k in KEYS)).isNotNull()).alias("n_below"), F.coalesce(F.sum(changed), F.lit(0)).cast("long").alias("n_changed"), F.count("*").alias("n_rows"))
+    nulled = sum((F.when(F.col(f"a.{k}").isNull() & F.col(f"b.{k}").isNotNull(), 1).otherwise(0) for k in KEYS), F.lit(0))
+    low = F.col("b.risk") < threshold
+    few = (F.sum(nulled) <= 2 * aggregates.count_if(low)) & ((F.sum(nulled) > 0) == (aggregates.count_if(low) > 0))
+    below = aggregates.count_if((F.col("a.risk") < threshold) & F.coalesce(*(F.col(f"a.{k}") for k in KEYS)).isNotNull())
+    return joined.agg(below.alias("n_below"), F.coalesce(F.sum(changed), F.lit(0)).cast("long").alias("n_changed"), aggregates.count_if(low).alias("n_at_risk"), few.alias("few_nulled"), F.count("*").alias("n_rows"))
+
+
+@query("local_suppression_invariants", _suppressed_sql(2))
+def local_suppression_invariants(spark, d):
+    return _suppressed(spark, d, 2, chains=2)
+
+
+@query("local_suppression_rounds", _suppressed_sql(3))
+def local_suppression_rounds(spark, d):
+    """The same with every stratum searched by rounds over patterns, as large ones are."""
+    return _suppressed(spark, d, 3, chains=2, task_rows=0)
 
 
 @query(

@@ -134,6 +134,56 @@ def test_strata_are_made_safe_one_by_one(spark):
     assert nulls(found)[:2] == [0, 0] and sum(nulls(found)[2:5]) == 1 and sum(nulls(found)[5:]) == 1
 
 
+def test_rounds_find_what_a_task_finds(spark):
+    """The same tables as above, their strata searched by rounds as if they were large: groups apart, all at once."""
+    one_null = [("male", a, r) for a, r in (("10", "white"), ("10", "white"), ("18", "white"), ("18", "white"), ("18", "black"))]
+    strata = {"one": one_null, "alone": [r[:3] for r in R1], "few": [("female", "10", "white")], "safe": [("male", "10", "white")] * 2, "pair": [("female", "18", "white"), ("male", "18", "white")]}
+    rows = table(spark, [(*r, "x") for own in strata.values() for r in own], [s for s, own in strata.items() for _ in own])
+    found = suppress.suppress(rows, KEYS, "id", ["stratum"], threshold=2, chains=3, task_rows=0)
+    got = found.groupBy("stratum").agg(F.sum("n_nulled").alias("n")).collect()
+    assert {r["stratum"]: r["n"] for r in got} == {"one": 1, "alone": 3, "few": 3, "safe": 0, "pair": 1}
+    assert found.columns == suppress.suppress(rows, KEYS, "id", ["stratum"], threshold=2, chains=1).columns
+    after = risk.calc_risk(found.filter("stratum <> 'few'"), KEYS, ["stratum"]).collect()
+    assert len(after) == 14 and all(r["risk"] >= 2 for r in after)
+
+
+def test_rounds_reach_a_share_by_one_null(spark):
+    found = suppress.suppress(table(spark, SHARES), KEYS, "id", threshold=0.5, chains=3, div="offense_level", measure=misdemeanors, within_completions=True, task_rows=0)
+    assert [r["n_nulled"] for r in found.filter("offense_level <> 'misdemeanor'").collect()] == [0, 0] and sum(nulls(found)) == 1
+    assert found.filter("age_group IS NULL").count() == 1
+
+
+def test_a_large_stratum_with_a_hot_pattern_and_infinite_weights(spark):
+    rng = random.Random(4)
+    rows = [("m", "1", "w", "x")] * 60 + [(rng.choice("mf"), rng.choice(["1", "2", None]), rng.choice("wba"), "x") for _ in range(60)] + [("m", "9", "w", "x"), ("f", "8", "b", "x")]
+    before = table(spark, rows, ["s"] * 100 + ["t"] * 22)
+    found = suppress.suppress(before, KEYS, "id", ["stratum"], threshold=4, chains=2, weights={"gender": float("inf")}, task_rows=50).collect()
+    assert sorted(r["id"] for r in found) == [*range(122)]
+    own = {i: r[:3] for i, r in enumerate(rows)}
+    for r in found:
+        assert all(new is None or new == old for new, old in zip((r[k] for k in KEYS), own[r["id"]], strict=True)) and r["gender"] is not None
+        assert r["n_nulled"] == sum(r[k] is None and old is not None for k, old in zip(KEYS, own[r["id"]], strict=True))
+    for s in "st":
+        part = [tuple(r[k] for k in KEYS) for r in found if r["stratum"] == s]
+        assert min(risk.brute_force_k(part)) >= 4
+    assert sum(r["n_nulled"] for r in found) < 60
+
+
+@pytest.mark.parametrize("div", [False, True])
+def test_counts_kept_cell_by_cell_are_those_of_all_pairs(div):
+    rng = np.random.default_rng(int(div))
+    codes, levels = rng.integers(0, 4, (40, 3)), rng.integers(0, 2, 40)
+    measure = (lambda n: float(len(n))) if div else None
+    stratum = suppress.Stratum(codes, levels, ["a", "b"], measure, 2 if div else 5, set())
+    held = suppress.Held(stratum)
+    for _ in range(200):
+        i, k = rng.integers(40), rng.integers(3)
+        if codes[i, k]:
+            held.put(i, k, 0 if held.codes[i, k] else codes[i, k])
+        assert (held.unsafe == stratum.unsafe(held.codes)).all() and (held.fits == stratum.fits(held.codes)).all()
+    assert stratum.fits(codes).sum(1).tolist() == risk.brute_force_k([tuple(int(c) or None for c in row) for row in codes])
+
+
 misdemeanors = lambda n: n.get("misdemeanor", 0) / sum(n.values())  # noqa: E731  workers can't import this module
 
 
