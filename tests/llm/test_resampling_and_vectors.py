@@ -118,10 +118,10 @@ def test_lots_are_bounded_and_bags_are_whole():
         bag = np.sort(rng.integers(0, rng.choice([3, 70_000]), rng.integers(0, 300))).astype(np.uint32)
         assert (importance.unpacked(importance.packed(bag), len(bag)) == bag).all()
     n, bag = lot.bag("One two ONE two", False)
-    assert n == 4 and len(bag) == 7 and len(lot.grams) == 4 and [*lot.words.lowered] == ["one", "two"]
-    assert lot.counted(False).sum() == 7 and lot.counted(True).sum() == 0 and not lot.full()
-    lot.bag(" ".join(map(str, range(70_000))), True)
-    assert lot.full() and lot.counted(True).sum() == 139_999
+    assert n == 4 and len(bag) == 7 and [*lot.grams] == [(0, 1), (1, 0)] and [*lot.words.lowered] == ["one", "two"]
+    assert (bag[:6] % 2).tolist() == [0, 0, 1, 1, 0, 0] and lot.word_times.upto(2)[0].tolist() == [2, 2] and lot.gram_times.upto(2)[0].tolist() == [2, 1]
+    lot.bag(" ".join(map(str, range(140_000))), True)
+    assert lot.full() and lot.gram_times.upto(len(lot.grams))[1].sum() == 139_999 and lot.word_times.upto(140_002)[0].sum() == 4
 
 
 def test_resampling_nothing(spark):
