@@ -7,12 +7,14 @@ is its bytes less its merges.
 
 Null and empty texts count 0 tokens and 0 bytes; repeated rows each give a row; columns
 other than the id and the text are ignored, whatever their names; empty tables give no rows.
-Very long texts are counted whole, in segments cut at spaces.
+Very long texts are counted whole, in segments cut at spaces; a word without a space is one
+segment, of some 60 bytes of memory for each of its own.
 """
 
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +26,11 @@ from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary,
 from .durable import small_batches, tidy
 
 
+_RANK = 0xFFFFFFFF << 32
+#: Bytes of a word from which its symbols are packed.
+_LONG = 1 << 12
+
+
 class Merges:
     """(left id << 32 | right id): rank << 32 | id of both; and the ids of bytes."""
 
@@ -42,29 +49,34 @@ class PairCounter:
 
     def merged(self, piece: str) -> int:
         """Bytes of the piece less the merges made in it."""
-        symbols = [*map(self.byte_ids.__getitem__, piece.encode())]
-        n = len(symbols)
+        data = piece.encode()
+        n = len(data)
         if n == 1:
             return 1
-        ranks, before, after = self.ranks, [*range(-1, n - 1)], [*range(1, n + 1)]
-        # A heap entry: rank, place of the left symbol, id of both; an entry is stale if the pair there is no longer its own.
-        heap = [(r >> 32, i, r & 0xFFFFFFFF, symbols[i], symbols[i + 1]) for i in range(n - 1) if (r := ranks.get((symbols[i] << 32) | symbols[i + 1])) is not None]
+        # A heap entry is one number and places lie in arrays, so that a very long word stays small; lists are faster.
+        hold = list if n < _LONG else lambda numbers: array("i", numbers)
+        ranks, symbols = self.ranks, hold(map(self.byte_ids.__getitem__, data))
+        before, after = hold(range(-1, n - 1)), hold(range(1, n + 1))
+        # A heap entry: rank, then place of the left symbol; it is stale if the pair there has another rank by now.
+        heap = [(r & _RANK) | i for i in range(n - 1) if (r := ranks.get((symbols[i] << 32) | symbols[i + 1])) is not None]
         heapq.heapify(heap)
         left = n
         while heap:
-            _, i, both, a, b = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            i = entry & 0xFFFFFFFF
             j = after[i]
-            if symbols[i] != a or j >= n or symbols[j] != b:
+            if symbols[i] < 0 or j >= n or (r := ranks.get((symbols[i] << 32) | symbols[j])) is None or r & _RANK != entry & _RANK:
                 continue
+            both = r & 0xFFFFFFFF
             symbols[i], symbols[j] = both, -1
             k = after[i] = after[j]
             left -= 1
             if k < n:
                 before[k] = i
                 if (r := ranks.get((both << 32) | symbols[k])) is not None:
-                    heapq.heappush(heap, (r >> 32, i, r & 0xFFFFFFFF, both, symbols[k]))
+                    heapq.heappush(heap, (r & _RANK) | i)
             if (h := before[i]) >= 0 and (r := ranks.get((symbols[h] << 32) | both)) is not None:
-                heapq.heappush(heap, (r >> 32, h, r & 0xFFFFFFFF, symbols[h], both))
+                heapq.heappush(heap, (r & _RANK) | h)
         return left
 
     def chunk(self, chunk: str) -> int:

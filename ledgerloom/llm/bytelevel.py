@@ -25,7 +25,7 @@ _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Characters of a text that are split at a time, so that very long texts need no long lists.
 SEGMENT = 1 << 20
 #: Bytes, roughly, that each of the two generations of a task's memory may hold.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 10 << 20
 #: Rough bytes of an entry besides its letters and numbers.
 _ENTRY = 220
 

@@ -151,3 +151,16 @@ def test_rows_of_every_kind(spark):
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         load_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_a_very_long_word_is_packed(vocabulary):
+    import tracemalloc
+
+    counter, library = bpe_count.PairCounter(bpe_count.Merges(vocabulary)), Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    for n in (bpe_count._LONG - 1, bpe_count._LONG, 100_000):
+        word = "".join(rng.choices("abcdeñ", k=n))
+        tracemalloc.start()
+        assert counter.count(word) == len(library.encode(word, add_special_tokens=False).ids)
+        assert tracemalloc.get_traced_memory()[1] < 20_000_000
+        tracemalloc.stop()
