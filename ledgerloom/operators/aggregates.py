@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import running
+from .quantiles import quantiles
 
 ALL = "All Combined"
 
@@ -66,14 +67,26 @@ def mode_by(rows: DataFrame, keys: Sequence[str], value: str, name: str = "mode"
     return n.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(name))
 
 
-def summary(c: str) -> list[Column]:
-    """Minimum, quartiles, mean and maximum, quantiles interpolated between order statistics."""
-    at = lambda q, n: F.percentile(c, F.lit(q)).alias(n)
-    return [F.min(c).cast("double").alias("minimum"), at(0.25, "lower_quartile"), at(0.5, "median"), F.avg(c).alias("mean"), at(0.75, "upper_quartile"), F.max(c).cast("double").alias("maximum")]
+def summaries(rows: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
+    """keys, minimum, quartiles, mean and maximum of each group; quantiles interpolated between order statistics."""
+    means = rows.groupBy(*keys).agg(F.min(c).cast("double").alias("minimum"), F.avg(c).alias("mean"), F.max(c).cast("double").alias("maximum"))
+    out = _beside(means, quantiles(rows, keys, c, {"lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75}), keys)
+    return out.select(*keys, "minimum", "lower_quartile", "median", "mean", "upper_quartile", "maximum")
 
 
-def spread(c: str) -> list[Column]:
-    return [F.min(c).alias("minimum"), F.max(c).alias("maximum"), (F.max(c) - F.min(c)).alias("width"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd"), F.percentile(c, F.lit(0.5)).alias("median")]
+def spreads(rows: DataFrame, keys: Sequence[str], c: str) -> DataFrame:
+    """keys, minimum, maximum, width, mean, sd and median of each group."""
+    means = rows.groupBy(*keys).agg(F.min(c).alias("minimum"), F.max(c).alias("maximum"), (F.max(c) - F.min(c)).alias("width"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd"))
+    return _beside(means, quantiles(rows, keys, c, {"median": 0.5}), keys)
+
+
+def _beside(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Two tables of one row a group, nulls being a group."""
+    a, b = a.withColumn("_one", F.lit(0)), b.withColumn("_one", F.lit(0))
+    on = F.lit(True)
+    for k in (*keys, "_one"):
+        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return a.alias("a").join(b.alias("b"), on).select("a.*", *(f"b.{c}" for c in b.columns if c not in (*keys, "_one"))).drop("_one")
 
 
 def weighted_rate(part_share: str, weight: str) -> Column:

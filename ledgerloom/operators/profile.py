@@ -9,24 +9,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .aggregates import summaries
+
 Hook = Callable[[DataFrame, str], DataFrame]
 
 
 def column_profile(rows: DataFrame, masked: Sequence[str] = ()) -> DataFrame:
-    """column, kind, n_rows, n_null, n_distinct, least, most: one aggregate over all columns.
+    """column, kind, n_rows, n_null, n_distinct, least, most.
 
     kind: binary for numbers of two values, else number, date, boolean or text; masked
-    columns keep their counts and hide their values.
+    columns keep their counts and hide their values.  Counts and extremes are one aggregate
+    over a scan.  Distinct values are counted in two levels: rows are turned into (column,
+    value), each task sends every pair once, and what is left is counted by column.  A column
+    of one value and one of only different values so cost the same few rows a task or
+    their own number.
     """
-    parts = []
-    for f in rows.schema.fields:
+    parts, values = [], []
+    for i, f in enumerate(rows.schema.fields):
         c = F.col(f"`{f.name}`")
         number = isinstance(f.dataType, T.NumericType)
         kind = "number" if number else "date" if isinstance(f.dataType, (T.DateType, T.TimestampType)) else "boolean" if isinstance(f.dataType, T.BooleanType) else "text"
-        show = lambda x, n=f.name: F.lit(None).cast("string") if n in masked else x.cast("string")
-        distinct = F.count_distinct(c)
-        parts.append(F.struct(F.lit(f.name).alias("column"), F.when(distinct == 2, F.lit("binary" if number else kind)).otherwise(F.lit(kind)).alias("kind"), F.count("*").alias("n_rows"), F.count(F.when(c.isNull(), 1)).alias("n_null"), distinct.alias("n_distinct"), show(F.min(c)).alias("least"), show(F.max(c)).alias("most")))
-    return rows.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+        ordered = not isinstance(f.dataType, (T.MapType, T.VariantType))
+        show = lambda x, n=f.name, ok=ordered: x.cast("string") if ok and n not in masked else F.lit(None).cast("string")
+        parts.append(F.struct(F.lit(i).alias("nth"), F.lit(f.name).alias("column"), F.lit(kind).alias("kind"), F.count("*").alias("n_rows"), F.count(F.when(c.isNull(), 1)).alias("n_null"), show(F.min(c) if ordered else c).alias("least"), show(F.max(c) if ordered else c).alias("most")))
+        values.append(F.struct(F.lit(i).alias("nth"), _as_text(c, f.dataType).alias("value")))
+    whole = rows.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    pairs = rows.select(F.explode(F.array(*values)).alias("v")).select("v.nth", "v.value").filter("value IS NOT NULL").distinct()
+    distinct = pairs.groupBy("nth").agg(F.count("*").alias("n_distinct"))
+    both = whole.join(distinct, "nth", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    binary = F.when((F.col("kind") == "number") & (F.col("n_distinct") == 2), "binary").otherwise(F.col("kind"))
+    return both.select("column", binary.alias("kind"), "n_rows", "n_null", "n_distinct", "least", "most")
+
+
+def _as_text(c: Column, kind: T.DataType) -> Column:
+    """A string for each different value."""
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(c)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        c = c + F.lit(0.0).cast(kind)  # both zeros are one value
+    return c.cast("string")
 
 
 def preview(rows: DataFrame, n: int = 6, columns: int = 7) -> DataFrame:
@@ -40,9 +63,7 @@ def frequencies(rows: DataFrame, column: str, names: DataFrame | None = None) ->
 
 
 def six_numbers(rows: DataFrame, column: str) -> DataFrame:
-    from .aggregates import summary
-
-    return rows.agg(*summary(column))
+    return summaries(rows, [], column)
 
 
 def variable_summary(rows: DataFrame, column: str, hooks: dict[str, Hook] | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quantiles import quantiles
+
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
     """The regularized incomplete beta function, by its continued fraction."""
@@ -105,11 +107,12 @@ def density(rows: DataFrame, value: str, grid: Sequence[float], bandwidth: float
     """
     v = rows.select(F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
     if bandwidth is None:
-        s = v.agg(F.stddev_samp("v").alias("sd"), F.percentile("v", F.lit(0.25)).alias("q1"), F.percentile("v", F.lit(0.75)).alias("q3"), F.count("*").alias("n")).first()
+        s = v.agg(F.stddev_samp("v").alias("sd"), F.count("*").alias("n")).first()
         if not s["n"]:
             bandwidth = 1.0
         else:
-            wide = [x for x in (s["sd"], (s["q3"] - s["q1"]) / 1.34) if x]
+            q = quantiles(v, [], "v", {"q1": 0.25, "q3": 0.75}).first()
+            wide = [x for x in (s["sd"], (q["q3"] - q["q1"]) / 1.34) if x]
             bandwidth = 0.9 * (min(wide) if wide else 1.0) * s["n"] ** -0.2
     counted = v.groupBy("v").agg(F.count("*").alias("n"))
     z = (F.col("x") - F.col("v")) / F.lit(bandwidth)

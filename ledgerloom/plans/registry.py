@@ -416,13 +416,13 @@ def single_row_flag(spark, d):
 
 @query("value_summaries", f"WITH {ARRESTS} SELECT offense_level, min(amount) AS minimum, round(quantile_cont(amount, 0.25), 6) AS lower_quartile, round(quantile_cont(amount, 0.5), 6) AS median, round(avg(amount), 6) AS mean, round(quantile_cont(amount, 0.75), 6) AS upper_quartile, max(amount) AS maximum FROM arrests GROUP BY ALL")
 def value_summaries(spark, d):
-    out = standins.arrests(spark, d).groupBy("offense_level").agg(*aggregates.summary("amount"))
+    out = aggregates.summaries(standins.arrests(spark, d), ["offense_level"], "amount")
     return out.withColumns({c: F.round(c, 6) for c in ("lower_quartile", "median", "mean", "upper_quartile")})
 
 
 @query("value_spread", f"WITH {ARRESTS} SELECT race, min(age) AS minimum, max(age) AS maximum, max(age) - min(age) AS width, round(avg(age), 9) AS mean, round(stddev_samp(age), 9) AS sd, round(quantile_cont(age, 0.5), 6) AS median FROM arrests GROUP BY ALL")
 def value_spread(spark, d):
-    out = standins.arrests(spark, d).groupBy("race").agg(*aggregates.spread("age"))
+    out = aggregates.spreads(standins.arrests(spark, d), ["race"], "age")
     return out.withColumns({"mean": F.round("mean", 9), "sd": F.round("sd", 9), "median": F.round("median", 6)})
 
 

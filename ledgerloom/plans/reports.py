@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..durable import cut
 from ..operators.ordering import numbered
+from ..operators.quantiles import quantiles
 
 #: Where a case ends: in court, with the police, with the prosecutor.
 CLASSES = ("crt", "lea", "da")
@@ -26,7 +28,7 @@ def disposition_shares(rows: DataFrame, keys: Sequence[str], column: str = "clas
 
 def median_ranked(shares: DataFrame, unit: str, share: str) -> DataFrame:
     """unit, the median of its shares over the periods, and its place from the least and from the most (ties by unit)."""
-    medians = shares.groupBy(unit).agg(F.round(F.percentile(share, F.lit(0.5)), 9).alias("median"))
+    medians = quantiles(cut(shares), [unit], share, {"median": 0.5}).withColumn("median", F.round("median", 9))
     placed = numbered(medians, ["median", unit], "from_least")
     return numbered(placed, [F.desc("median"), unit], "from_most").select(unit, "median", "from_least", "from_most")
 
