@@ -150,51 +150,105 @@ def calc_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str] = (),
 def completion_risk(rows: DataFrame, keys: Sequence[str], strata: Sequence[str], div: str | None, risk: Callable[[Column], Column] | None, name: str, weight: str | None = None) -> DataFrame:
     """Risk by pattern within completions.
 
-    A completion takes each key's value from the levels of the stratum.  The full patterns
-    that a pattern can complete to are those that agree with its known keys; each pools the
-    patterns that equal it where they are known.  The number of completions is the product
-    of the numbers of levels of the open keys: name few keys with few levels.
+    A completion takes each key's value from the levels of the stratum, and pools the patterns
+    that equal it where they are known.  Of the completions of a pattern those count that a
+    pattern with the most known keys agrees with, and the least risk among them is the pattern's.
+    The product of the levels isn't made:
+
+    * the most known keys are those of the patterns compatible with this one, by an equi-join;
+    * where these know all keys they are the completions themselves, and their least risk is
+      looked up by mask and known keys;
+    * else this pattern and each of those are joined, and what stays open takes a level that no
+      compatible pattern has, if the stratum has one, which pools least; if not, only the levels
+      that compatible patterns have.
     """
-    pats = patterns(rows, keys, strata, div if risk is not None else None, "_n", weight)
-    distinct = pats.select(*strata, *keys).distinct()
-    stratum = lambda a, b: _same(strata, a, b)
-    full = distinct.select(*strata).distinct() if strata else distinct.sparkSession.range(1).select()
-    for i, k in enumerate(keys):
-        levels = distinct.filter(F.col(k).isNotNull()).select(*(F.col(s).alias(f"_l_{s}") for s in strata), F.col(k).alias(f"_f{i}")).distinct()
-        on = [F.col(s).eqNullSafe(F.col(f"_l_{s}")) for s in strata]
-        # A key without a level in the stratum stays open in its completions.
-        if strata:
-            full = full.join(levels, _and(on), "left").drop(*(f"_l_{s}" for s in strata))
-        else:
-            full = full.join(levels, F.lit(True), "left")
-    agree = lambda row, comp: [F.col(f"{row}.{k}").isNull() | (F.col(f"{row}.{k}") == F.col(f"{comp}._f{i}")) for i, k in enumerate(keys)]
-    known = [F.col(f"_f{i}") for i in range(len(keys))]
-    pooled = full.alias("c").join(pats.alias("p"), _and([*stratum("c", "p"), *agree("p", "c")]))
-    group = [*(F.col(f"c.{s}").alias(s) for s in strata), *known]
-    n_known = F.lit(0)
-    for k in keys:
-        n_known = n_known + F.when(F.col(f"p.{k}").isNotNull(), 1).otherwise(0)
+    pats = cut(patterns(rows, keys, strata, div if risk is not None else None, "_n", weight))
+    own = [f"_e{i}" for i in range(len(keys))]
+    stratum = [F.coalesce(F.concat(F.lit("="), F.col(s).cast("string")), F.lit("")) for s in strata]
+    coded = [F.concat(F.lit("="), F.col(k).cast("string")).alias(e) for k, e in zip(keys, own, strict=True)]
+    level = [F.coalesce(F.col(div).cast("string"), F.lit(NULL_LEVEL)).alias("_level")] if risk is not None else []
+    coded_pats = pats.select(F.array(*stratum).alias("_s"), *coded, _mask(keys).alias("_mask"), *level, "_n")
+    each = pats.select(*strata, *keys).distinct()
+    each = cut(each.select(*strata, *keys, F.array(*stratum).alias("_s"), *coded, _mask(keys).alias("_mask"), F.monotonically_increasing_id().alias("_p")))
+    masks = [r[0] for r in each.select("_mask").distinct().collect()]  # at most a power of the number of keys
+    known = F.lit(len(keys)) - F.bit_count("_mask")
+    everything = (1 << len(keys)) - 1
+    asked = each.filter(F.col("_mask") != everything)
+
+    # The most known keys of a compatible pattern.
+    theirs = _facing(each.withColumn("_known", known), masks, own).groupBy("_s", "_fit", F.col("_mask").alias("_other"), F.col("_other").alias("_mask")).agg(F.max("_known").alias("_known"))
+    most = cut(_facing(asked, masks, own).join(theirs, ["_s", "_fit", "_mask", "_other"]).groupBy("_p").agg(F.max("_known").alias("_most")))
+
+    # Completions that are patterns: their risks, and the least for what each mask leaves of them.
+    whole = each.filter("_mask = 0").select("_s", *own, F.col("_p").alias("_c"))
+    risked = whole.join(_pooled(whole, coded_pats, masks, own, risk), "_c")
+    least = risked.withColumn("_mask", F.lit(0).cast("long"))
+    least = _facing(least, masks, own).groupBy("_s", "_fit", F.col("_other").alias("_mask")).agg(F.min("_risk").alias("_risk"))
+    complete = _own_fit(asked.join(most.filter(F.col("_most") == len(keys)), "_p"), own).join(least, ["_s", "_fit", "_mask"]).select("_p", "_risk")
+
+    # The others: joined with the most known, open keys filled.
+    rest = cut(asked.join(most.filter(F.col("_most") < len(keys)), "_p"))
+    found = complete
+    if not rest.isEmpty():
+        found = found.unionByName(_filled(rest, each, coded_pats, masks, own, risk))
+    scored = each.join(found.groupBy("_p").agg(F.min("_risk").alias("_risk")), "_p", "left")
+    return scored.select(*strata, *keys, F.when(F.col("_mask") == everything, F.lit(1.0)).otherwise(F.col("_risk")).alias(name))
+
+
+def _facing(rows: DataFrame, masks: Sequence[int], own: Sequence[str]) -> DataFrame:
+    """Rows once for each mask that they may meet, as ``_other``, with what both sides know as ``_fit``."""
+    each = rows.withColumn("_other", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))))
+    return each.withColumn("_fit", F.array(*(F.when(F.col("_mask").bitwiseOR(F.col("_other")).bitwiseAND(F.lit(1 << i)) == 0, F.col(e)).otherwise(F.lit("")) for i, e in enumerate(own))))
+
+
+def _own_fit(rows: DataFrame, own: Sequence[str]) -> DataFrame:
+    return rows.withColumn("_fit", F.array(*(F.coalesce(F.col(e), F.lit("")) for e in own)))
+
+
+def _pooled(completions: DataFrame, pats: DataFrame, masks: Sequence[int], own: Sequence[str], risk: Callable[[Column], Column] | None) -> DataFrame:
+    """_c and _risk: over the patterns that equal a completion (no key open) wherever they are known."""
+    facing = _facing(completions.withColumn("_mask", F.lit(0).cast("long")), masks, own).select("_c", "_s", "_fit", F.col("_other").alias("_mask"))
+    met = facing.join(_own_fit(pats, own), ["_s", "_fit", "_mask"])
     if risk is None:
-        by = pooled.groupBy(*group).agg(F.sum("p._n").cast("double").alias("_risk"), F.max(n_known).alias("_known"))
-    else:
-        leveled = pooled.groupBy(*group, F.coalesce(F.col(f"p.{div}").cast("string"), F.lit(NULL_LEVEL)).alias("_level")).agg(F.sum("p._n").alias("_n"), F.max(n_known).alias("_known"))
-        names = [*strata, *(f"_f{i}" for i in range(len(keys)))]
-        by = leveled.groupBy(*names).agg(F.map_from_entries(F.collect_list(F.struct("_level", "_n"))).alias("_levels"), F.max("_known").alias("_known")).withColumn("_risk", risk(F.col("_levels"))).drop("_levels")
-    best = distinct.alias("d").join(by.alias("c"), _and([*stratum("d", "c"), *agree("d", "c")]), "left")
-    scored = best.groupBy(*(F.col(f"d.{c}").alias(c) for c in (*strata, *keys))).agg(F.min(F.struct(-F.col("c._known"), F.col("c._risk"))).alias("_best"))
-    open_all = _and([F.col(k).isNull() for k in keys])
-    return scored.withColumn(name, F.when(open_all, F.lit(1.0)).otherwise(F.col("_best._risk"))).drop("_best")
-
-
-def _and(conditions: Sequence[Column]) -> Column:
-    out = F.lit(True)
-    for c in conditions:
-        out = out & c
-    return out
-
-
-def _same(columns: Sequence[str], a: str, b: str) -> list[Column]:
-    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns]
+        return met.groupBy("_c").agg(F.sum("_n").cast("double").alias("_risk"))
+    by_level = met.groupBy("_c", "_level").agg(F.sum("_n").alias("_n"))
+    return by_level.groupBy("_c").agg(F.map_from_entries(F.collect_list(F.struct("_level", "_n"))).alias("_levels")).select("_c", risk(F.col("_levels")).alias("_risk"))
+
+
+def _filled(rest: DataFrame, each: DataFrame, pats: DataFrame, masks: Sequence[int], own: Sequence[str], risk: Callable[[Column], Column] | None) -> DataFrame:
+    """_p and _risk of the completions that join a pattern of ``rest`` with a most known one and pool least beyond."""
+    theirs = each.select("_s", "_mask", *own, (F.lit(len(own)) - F.bit_count("_mask")).alias("_known"))
+    right = _facing(theirs, masks, own).select("_s", "_fit", F.col("_mask").alias("_other"), F.col("_other").alias("_mask"), F.col("_known").alias("_most"), *(F.col(e).alias(f"q{e}") for e in own))
+    pairs = _facing(rest, masks, own).join(right, ["_s", "_fit", "_mask", "_other", "_most"])
+    made = pairs.select("_p", "_s", *(F.coalesce(e, f"q{e}").alias(e) for e in own)).distinct()
+    for e in own:
+        # Few columns go on: the pattern asked for and the keys known so far.
+        made = cut(made.withColumn("_c", F.monotonically_increasing_id()))
+        open_here = made.filter(F.col(e).isNull())
+        mask = F.lit(0).cast("long")
+        for i, x in enumerate(own):
+            mask = mask + F.when(F.col(x).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+        open_here = open_here.withColumn("_mask", mask)
+        made_masks = [r[0] for r in open_here.select("_mask").distinct().collect()]
+        done = made.filter(F.col(e).isNotNull()).select("_p", "_s", *own)
+        if not made_masks:
+            made = done
+            continue
+        there = theirs.filter(F.col(e).isNotNull()).withColumn("_v", F.col(e))
+        sent = _facing(there, made_masks, own).select("_s", "_fit", F.col("_mask").alias("_other"), F.col("_other").alias("_mask"), "_v").distinct()
+        met = _facing(open_here, masks, own).join(sent, ["_s", "_fit", "_mask", "_other"]).select("_c", "_v").distinct()
+        n_levels = there.groupBy("_s").agg(F.count_distinct("_v").alias("_levels"))
+        n_met = met.groupBy("_c").agg(F.count("*").alias("_met"))
+        counted = open_here.join(n_levels, "_s", "left").join(n_met, "_c", "left")
+        spare = F.col("_levels").isNull() | (F.coalesce("_met", F.lit(0)) < F.col("_levels"))
+        # "*" is a level that no compatible pattern has.
+        free = counted.filter(spare).withColumn(e, F.lit("*")).select("_p", "_s", *own)
+        bound = counted.filter(~spare).join(met, "_c").withColumn(e, F.col("_v")).select("_p", "_s", *own)
+        made = done.unionByName(free).unionByName(bound).distinct()
+    made = cut(made)
+    completions = cut(made.select("_s", *own).distinct().withColumn("_c", F.monotonically_increasing_id()))
+    risked = completions.join(_pooled(completions, pats, masks, own, risk), "_c").drop("_c")
+    return made.join(risked, ["_s", *own]).select("_p", "_risk")
 
 
 def suppressible(levels: Sequence[str], f: RiskFunction, threshold: float) -> list[str]:

@@ -68,22 +68,36 @@ def test_risk_equals_comparing_all_pairs(spark, seed):
         assert [got[i] for i in own] == risk.brute_force_k([rows[i][:3] for i in own])
 
 
-def test_risk_within_completions_equals_going_through_them(spark):
-    rng = random.Random(5)
-    rows = [tuple(rng.choice(["a", "b", None]) for _ in KEYS) + ("x",) for _ in range(25)]
-    keys = [r[:3] for r in rows]
-    levels = [sorted({k[i] for k in keys if k[i]}) for i in range(3)]
-    pool = {}
-    for full in itertools.product(*levels):
-        own = [k for k in keys if all(v is None or v == f for v, f in zip(k, full, strict=True))]
-        if own:
-            pool[full] = (len(own), max(sum(v is not None for v in k) for k in own))
-    want = []
-    for k in keys:
-        mine = [pool[f] for f in risk.completions(k, levels) if f in pool]
-        most = max(known for _, known in mine)
-        want.append(1 if k == (None,) * 3 else min(n for n, known in mine if known == most))
-    assert risks(spark, rows, within_completions=True) == want
+@pytest.mark.parametrize("seed, values, n", [(5, ["a", "b", None], 25), (6, ["a", "b", "c", None, None, None], 12), (7, ["a", None, None], 9), (8, ["a", "b", "c", "d", None, None], 8)])
+def test_risk_within_completions_equals_going_through_them(spark, seed, values, n):
+    rng = random.Random(seed)
+    rows = [tuple(rng.choice(values) for _ in KEYS) + ("x",) for _ in range(n)]
+    strata = [rng.choice(["s", "t", None]) for _ in rows]
+    got = risks(spark, rows, strata, ["stratum"], within_completions=True)
+    for s in ("s", "t", None):
+        keys = [r[:3] for r, own in zip(rows, strata, strict=True) if own == s]
+        levels = [sorted({k[i] for k in keys if k[i]}) for i in range(3)]
+        pool = {}
+        for full in itertools.product(*(x or [None] for x in levels)):
+            own = [k for k in keys if all(v is None or v == f for v, f in zip(k, full, strict=True))]
+            if own:
+                pool[full] = (len(own), max(sum(v is not None for v in k) for k in own))
+        want = []
+        for k in keys:
+            mine = [pool[f] for f in risk.completions(k, levels) if f in pool]
+            most = max(known for _, known in mine)
+            want.append(1 if k == (None,) * 3 else min(n for n, known in mine if known == most))
+        assert [r for r, own in zip(got, strata, strict=True) if own == s] == want
+
+
+def test_no_completion_is_made_that_no_pattern_supports(spark):
+    """Many levels of each key: their product isn't made, and nothing is compared but by equality."""
+    rows = [(f"g{i}", f"a{i}", f"r{i}", "x") for i in range(300)] + [(None, "a7", "r7", "x"), ("g8", None, None, "x"), ("g9", None, "r4", "x")]
+    found = risk.calc_risk(table(spark, rows), KEYS, within_completions=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = {r["id"]: r["risk"] for r in found.filter("id >= 300 OR id IN (7, 8, 9, 4)").collect()}
+    assert got == {7: 2, 8: 2, 300: 2, 301: 2, 9: 1, 4: 1, 302: 1}
 
 
 def test_bad_columns_are_refused(spark):
