@@ -63,3 +63,22 @@ def with_neighbours(rows: DataFrame, group: Sequence[str], order: str, columns:
         near = F.coalesce(F.col(f"_own_{side}"), F.when(same, F.col(f"_edge_{side}")))
         out = out.withColumn(f"_near_{side}", near).withColumns({f"{prefix}{c}": F.col(f"_near_{side}.{c}") for c in columns})
     return out.drop(PART, "_edge_p", "_edge_n", "_own_p", "_own_n", "_near_p", "_near_n")
+
+
+def carried(rows: DataFrame, group: Sequence[str], order: str, column: str, name: str) -> DataFrame:
+    """``rows`` with the last value of ``column`` in their group up to and with each row, nulls passed over.
+
+    A segmented scan: ranges of the order are filled by themselves, and each takes what the ranges
+    before it hold last, if its first group is that one's.  One row a range is in one task, so
+    a group may hold any share of all rows.
+    """
+    placed = ranged(rows, [*group, order])
+    last = F.max(F.when(F.col(column).isNotNull(), F.struct(*group, order, column)))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    edges = placed.groupBy(PART).agg(last.alias("_last")).select(PART, F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    within = Window.partitionBy(PART, *group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(f"_carry.`{g}`").eqNullSafe(F.col(g))
+    filled = placed.withColumn("_own", F.last(column, ignorenulls=True).over(within)).join(F.broadcast(edges), PART)
+    return filled.withColumn(name, F.coalesce("_own", F.when(same, F.col(f"_carry.`{column}`")))).drop(PART, "_own", "_carry")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, parsing, predicates, recode
 from ..operators import aggregates, joins, ordering, profile, reshape
+from ..sources import text_tables
 from . import cleaning, release, reports, standins, summaries
 from .registry import OFFENSE, query
 from .standins import ARRESTS, LINE_YEARS, read
@@ -291,3 +292,27 @@ def smoothed_offense_counts(spark, d):
     n = aggregates.count_if
     rows = standins.arrests(spark, d).groupBy(*OFFENSE).agg(F.count("*").alias("n"), n(F.col("gender") == "female").alias("f"), n(F.col("gender") == "male").alias("m"))
     return rows.select(*OFFENSE, "n", F.round(recode.smoothed_ratio(F.col("f").cast("double"), F.col("m")), 6).alias("ratio"))
+
+
+@query(
+    "manual_lines",
+    """WITH p AS (SELECT p_partkey, p_size, p_type, p_partkey % 9 AS pos FROM part)
+    SELECT p_partkey AS lineno, lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0') AS code, 'S' || p_size AS statute,
+           CASE WHEN pos % 3 = 0 THEN CASE WHEN p_partkey % 2 = 0 THEN 'PC' ELSE 'VC' END END AS code_type, p_type AS literal,
+           substr('FMNIS', CAST(p_partkey % 5 + 1 AS INTEGER), 1) AS offense_class, CAST(p_size % 100 AS INTEGER) AS summary_code, CAST(p_partkey % 900 AS INTEGER) AS hierarchy FROM p""",
+)
+def manual_lines(spark, d):
+    """Lines as a manual prints them, cut apart again: two of three lack the statute type, and the widths change every nine lines."""
+    parts = read(spark, d, "part").withColumn("pos", F.col("p_partkey") % 9)
+    width = (F.lit(12) + F.floor(F.col("p_partkey") / 9) % 5).cast("int")
+    statute = F.rpad(F.concat(F.lit("S"), F.col("p_size")), width, F.lit(" "))
+    kind = F.when(F.col("pos") % 3 == 0, F.when(F.col("p_partkey") % 2 == 0, "PC").otherwise("VC")).otherwise("  ")
+    letter = F.substring(F.lit("FMNIS"), (F.col("p_partkey") % 5 + 1).cast("int"), F.lit(1))
+    line = F.concat(F.lpad((F.col("p_partkey") % 100000).cast("string"), 5, "0"), statute, F.lit(" "), kind, F.lit(" "), "p_type", F.lit(" "), letter, F.lit(" "), F.lpad((F.col("p_size") % 100).cast("string"), 2, "0"), F.lit("  "), (F.col("p_partkey") % 900).cast("string"))
+    return text_tables.split_manual(parts.select(F.col("p_partkey").alias("lineno"), line.alias("line")))
+
+
+@query("carried_forward", f"WITH {ARRESTS} SELECT db_id, last_value(age IGNORE NULLS) OVER (PARTITION BY ncic_jurisdiction ORDER BY db_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_age FROM arrests")
+def carried_forward(spark, d):
+    rows = standins.arrests(spark, d).select("db_id", "ncic_jurisdiction", "age")
+    return ordering.carried(rows, ["ncic_jurisdiction"], "db_id", "age", "last_age").select("db_id", "last_age")

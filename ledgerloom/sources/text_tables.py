@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordering import carried
+
 # Statute code types, as the code manual abbreviates them.
 STATUTES = "VC PC FA LC BP HN WI SH MV IC CI CP FG HS FC UI CC PU PR RT GC EL EC US CA WC ZZ UF".split()
 
@@ -28,10 +30,11 @@ def columns_of(line: Column) -> Column:
 def split_manual(lines: DataFrame, line: str = "line", order: str = "lineno") -> DataFrame:
     """Columns of a code manual's lines, found from the statute type and then from the right.
 
-    A line without a statute type is cut where the line before it was.
+    A line without a statute type is cut where the line before it was; manuals of any length
+    are scanned in ranges of lines, to which the last cut is carried.
     """
     where = F.regexp_instr(F.col(line), F.lit(rf"\s({'|'.join(STATUTES)})\s"))
-    cut = lines.withColumn("own_cut", F.when(where > 0, where)).withColumn("cut", F.coalesce("own_cut", F.last("own_cut", ignorenulls=True).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))))
+    cut = carried(lines.select(order, line).withColumn("own_cut", F.when(where > 0, where)), [], order, "own_cut", "cut")
     prefix, suffix = F.expr(f"substring({line}, 1, cut)"), F.expr(f"substring({line}, cut + 1)")
     parts = cut.withColumn("prefix", prefix).withColumn("suffix", suffix)
     tail = r"^(.*?)([FMNIS])?\s*([0-9]{2})\s+([0-9]+)$"

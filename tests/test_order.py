@@ -56,3 +56,25 @@ def test_a_profile_of_sixty_columns_of_every_kind(spark):
 def test_a_profile_of_no_rows(spark):
     found = profile.column_profile(spark.createDataFrame([], "a int, b string")).collect()
     assert sorted((r["column"], r["n_rows"], r["n_distinct"]) for r in found) == [("a", 0, 0), ("b", 0, 0)]
+
+
+def test_values_are_carried_over_any_ranges(spark):
+    from ledgerloom.operators.ordering import carried
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), i, rng.choice([None, None, None, rng.randint(0, 9)])) for i in range(400)]
+    rows += [("z", i, 5 if i == 400 else None) for i in range(400, 500)]
+    want, last = {}, {}
+    for g, i, v in rows:
+        last[g] = last.get(g) if v is None else v
+        want[i] = last[g]
+    table = spark.createDataFrame(rows, "g string, i int, v int").repartition(9)
+    found = carried(table, ["g"], "i", "v", "filled")
+    assert found.columns == ["g", "i", "v", "filled"]
+    assert {r["i"]: r["filled"] for r in found.collect()} == want
+    alone = {r["i"]: r["filled"] for r in carried(table.select("i", "v"), [], "i", "v", "filled").collect()}
+    last = None
+    for _, i, v in rows:
+        last = last if v is None else v
+        assert alone[i] == last
+    assert carried(table.limit(0), ["g"], "i", "v", "filled").count() == 0
