@@ -1,7 +1,8 @@
 """``python -m ledgerloom VERB IN OUT``: one step of a dataset's life over Parquet tables.
 
-import: the fixed-width files of folder IN become typed records (by a layout from
-``--layout``, a JSON list of [name, start, length, type or labels], and ``--length``);
+import: the fixed-width files of folder IN that are new or changed since the last import become
+typed records (by a layout from ``--layout``, a JSON list of [name, start, length, type or
+labels], and ``--length``), those of deleted files go;
 clean: typed arrest records are repaired; anonymize: repaired records become the release
 files.
 """
@@ -16,21 +17,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import cleaning, release
 from .session import session
-from .sources import fixed_width
+from .sources import fixed_width, loads
 from .sources.tabledef import TableDef
 
 
 def import_records(spark: SparkSession, source: str, target: str, layout: str, length: int) -> DataFrame:
-    """Typed records with their file, number and key, appended by nothing: the folder is replaced."""
+    """Typed records with their file, number and key: files that are new or changed since the last import are loaded."""
     with open(layout, encoding="utf-8") as f:
         table = TableDef.of("records", [tuple(field) for field in json.load(f)], length)
-    rows = fixed_width.surrogate_keys(fixed_width.read_records(spark, source))
-    table.typed(table.split(rows)).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+
+    def parse(records: DataFrame) -> DataFrame:
+        return table.typed(table.split(records)).withColumn("internal_uid", fixed_width.uid())
+
+    loaded = loads.Loads(spark, target, parse)
+    loaded.run(source)
+    return loaded.rows()
 
 
 def clean(spark: SparkSession, source: str, target: str) -> DataFrame:
-    cleaning.clean_arrests(spark.read.parquet(source)).write.mode("overwrite").parquet(target)
+    cleaning.clean_arrests(loads.read(spark, source)).write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 

@@ -63,3 +63,22 @@ class Steps:
 
     def close(self) -> None:
         remove(self.spark, self.folder)
+
+
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, none if it isn't there."""
+    where, fs = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Gives a folder its final name in one step; an error if something has that name."""
+    where, fs = _fs(spark, path)
+    there = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(there) or not fs.rename(where, there):
+        raise FileExistsError(to)
