@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,16 +26,28 @@ from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary,
 from .durable import small_batches, tidy
 
 
-_RANK = 0xFFFFFFFF << 32
-#: Bytes of a word from which its symbols are packed.
+#: Bytes, roughly, of each generation of a task's memory of words; their counts are small.
+WORD_BYTES = 64 << 20
+#: Bytes of a word from which its places are packed.
 _LONG = 1 << 12
 
 
+def _packed(numbers: Iterable[int]) -> array:
+    return array("i", numbers)
+
+
 class Merges:
-    """(left id << 32 | right id): rank << 32 | id of both; and the ids of bytes."""
+    """Merges by rank, and for each left id the ranks by right id; ids of bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.ranks = {(a << 32) | b: (rank << 32) | both for rank, (a, b, both) in reversed([*enumerate(vocabulary.merges)])}
+        self.merges = vocabulary.merges
+        nothing: dict[int, int] = {}
+        self.ranks = [nothing] * (1 + max((max(merge) for merge in vocabulary.merges), default=0))
+        self.ranks += [nothing] * (1 + max(vocabulary.byte_ids, default=0) - len(self.ranks))
+        for rank, (a, b, _) in reversed([*enumerate(vocabulary.merges)]):
+            if self.ranks[a] is nothing:
+                self.ranks[a] = {}
+            self.ranks[a][b] = rank
         self.byte_ids, self.special = vocabulary.byte_ids, vocabulary.special
 
 
@@ -43,9 +55,9 @@ class PairCounter:
     """Counts the tokens of whole texts; ``merges`` may be shared by counters, each with memories of its own."""
 
     def __init__(self, merges: Merges):
-        self.ranks, self.byte_ids, self.special = merges.ranks, merges.byte_ids, special_pattern(merges.special)
+        self.merges, self.ranks, self.byte_ids, self.special = merges.merges, merges.ranks, merges.byte_ids, special_pattern(merges.special)
         self.pieces = Remembered(self.merged)
-        self.chunks = Remembered(lambda chunk: self.chunk(" " + chunk))
+        self.chunks = Remembered(lambda chunk: self.chunk(" " + chunk), WORD_BYTES)
 
     def merged(self, piece: str) -> int:
         """Bytes of the piece less the merges made in it."""
@@ -53,30 +65,30 @@ class PairCounter:
         n = len(data)
         if n == 1:
             return 1
-        # A heap entry is one number and places lie in arrays, so that a very long word stays small; lists are faster.
-        hold = list if n < _LONG else lambda numbers: array("i", numbers)
+        # Places of a very long word lie in arrays, of an eighth of the memory; lists are faster.
+        hold = list if n < _LONG else _packed
         ranks, symbols = self.ranks, hold(map(self.byte_ids.__getitem__, data))
-        before, after = hold(range(-1, n - 1)), hold(range(1, n + 1))
-        # A heap entry: rank, then place of the left symbol; it is stale if the pair there has another rank by now.
-        heap = [(r & _RANK) | i for i in range(n - 1) if (r := ranks.get((symbols[i] << 32) | symbols[i + 1])) is not None]
+        # A heap entry is one number, rank * n + place of the left symbol: lowest rank first, then leftmost.
+        heap = [r * n + i for i in range(n - 1) if (r := ranks[symbols[i]].get(symbols[i + 1])) is not None]
+        if not heap:
+            return n
         heapq.heapify(heap)
-        left = n
+        before, after, left = hold(range(-1, n - 1)), hold(range(1, n + 1)), n
         while heap:
-            entry = heapq.heappop(heap)
-            i = entry & 0xFFFFFFFF
+            rank, i = divmod(heapq.heappop(heap), n)
+            a, b, both = self.merges[rank]
             j = after[i]
-            if symbols[i] < 0 or j >= n or (r := ranks.get((symbols[i] << 32) | symbols[j])) is None or r & _RANK != entry & _RANK:
-                continue
-            both = r & 0xFFFFFFFF
+            if symbols[i] != a or j >= n or symbols[j] != b:
+                continue  # the pair there is no longer this one
             symbols[i], symbols[j] = both, -1
             k = after[i] = after[j]
             left -= 1
             if k < n:
                 before[k] = i
-                if (r := ranks.get((both << 32) | symbols[k])) is not None:
-                    heapq.heappush(heap, (r & _RANK) | i)
-            if (h := before[i]) >= 0 and (r := ranks.get((symbols[h] << 32) | both)) is not None:
-                heapq.heappush(heap, (r & _RANK) | h)
+                if (r := ranks[both].get(symbols[k])) is not None:
+                    heapq.heappush(heap, r * n + i)
+            if (h := before[i]) >= 0 and (r := ranks[symbols[h]].get(both)) is not None:
+                heapq.heappush(heap, r * n + h)
         return left
 
     def chunk(self, chunk: str) -> int:

@@ -33,7 +33,8 @@ ROUNDS_A_CHECK = 5
 #: Rules become one expression; their list is bounded.
 MOST_RULES = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
+#: A tag ends at the next angle of either kind, so that tags that never close are each read once; blanks aren't given back.
+_LINK = r"""(?is)<a\s[^<>]*?href\s*+=\s*+["']?+\s*+((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
 
 def host_of(url: Column) -> Column:

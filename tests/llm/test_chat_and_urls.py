@@ -114,6 +114,17 @@ def test_parts_and_rules(spark):
     assert url_trust.judge(pages.limit(0), RULES).count() == 0
 
 
+def test_very_long_pages_of_unclosed_tags_are_read_once(spark):
+    import time
+
+    html = ["<a " * 350_000, "<a href " * 130_000, "<a href=" + " " * 1_000_000, '<a href="' + "x:" * 500_000, "<a " * 1000 + 'title=x href="http://b.org/x">', None]
+    pages = spark.createDataFrame([(i, "http://a.org/", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    url_trust.host_links(pages.filter("html IS NULL"), "url", "html").collect()
+    begun = time.time()
+    got = [(r["src"], r["dst"]) for r in url_trust.host_links(pages, "url", "html").collect()]
+    assert got == [("a.org", "b.org")] and time.time() - begun < 20
+
+
 def dense(names, links, seeds):
     """Trust and distrust by solving the equations that the rounds approach."""
     at = {n: i for i, n in enumerate(names)}
