@@ -12,10 +12,29 @@ from .registry import OFFENSE, query
 from .standins import ARRESTS, LINE_YEARS, read
 
 
-def _case(table: dict[str, str], column: str) -> str:
-    """A lookup as SQL."""
-    quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    return f"CASE {column} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in table.items()) + " END"
+# Fixed values, written out apart from the tables that the library uses, so that a change there shows.
+RACES_SQL = """CASE code
+    WHEN '1' THEN 'White' WHEN '2' THEN 'Hispanic' WHEN '3' THEN 'Black' WHEN '4' THEN 'American Indian'
+    WHEN '5' THEN 'Chinese' WHEN '6' THEN 'Japanese' WHEN '7' THEN 'Filipino' WHEN '8' THEN 'Other'
+    WHEN '9' THEN 'Pacific Islander' WHEN 'A' THEN 'Other Asian' WHEN 'B' THEN 'Black' WHEN 'C' THEN 'Chinese'
+    WHEN 'D' THEN 'Cambodian' WHEN 'F' THEN 'Filipino' WHEN 'G' THEN 'Guamanian' WHEN 'H' THEN 'Hispanic'
+    WHEN 'I' THEN 'American Indian' WHEN 'J' THEN 'Japanese' WHEN 'K' THEN 'Korean' WHEN 'L' THEN 'Laotian'
+    WHEN 'O' THEN 'Other' WHEN 'P' THEN 'Pacific Islander' WHEN 'S' THEN 'Samoan' WHEN 'U' THEN 'Hawaiian'
+    WHEN 'V' THEN 'Vietnamese' WHEN 'W' THEN 'White' WHEN 'Z' THEN 'Asian Indian' END"""
+GROUPS_SQL = """CASE county
+    WHEN 'Alpine' THEN 'Alpine/Tuolumne/Calaveras/Amador' WHEN 'Tuolumne' THEN 'Alpine/Tuolumne/Calaveras/Amador' WHEN 'Calaveras' THEN 'Alpine/Tuolumne/Calaveras/Amador' WHEN 'Amador' THEN 'Alpine/Tuolumne/Calaveras/Amador'
+    WHEN 'Colusa' THEN 'Colusa/Glenn/Yuba/Sutter/Lake' WHEN 'Glenn' THEN 'Colusa/Glenn/Yuba/Sutter/Lake' WHEN 'Yuba' THEN 'Colusa/Glenn/Yuba/Sutter/Lake' WHEN 'Sutter' THEN 'Colusa/Glenn/Yuba/Sutter/Lake'
+    WHEN 'Lake' THEN 'Colusa/Glenn/Yuba/Sutter/Lake' WHEN 'Sierra' THEN 'Sierra/Plumas/Lassen/Modoc/Nevada' WHEN 'Plumas' THEN 'Sierra/Plumas/Lassen/Modoc/Nevada' WHEN 'Lassen' THEN 'Sierra/Plumas/Lassen/Modoc/Nevada'
+    WHEN 'Modoc' THEN 'Sierra/Plumas/Lassen/Modoc/Nevada' WHEN 'Nevada' THEN 'Sierra/Plumas/Lassen/Modoc/Nevada' WHEN 'Inyo' THEN 'Inyo/Mono/Mariposa/Madera/San Benito' WHEN 'Mono' THEN 'Inyo/Mono/Mariposa/Madera/San Benito'
+    WHEN 'Mariposa' THEN 'Inyo/Mono/Mariposa/Madera/San Benito' WHEN 'Madera' THEN 'Inyo/Mono/Mariposa/Madera/San Benito' WHEN 'San Benito' THEN 'Inyo/Mono/Mariposa/Madera/San Benito' WHEN 'Trinity' THEN 'Trinity/Del Norte/Siskiyou/Tehama'
+    WHEN 'Del Norte' THEN 'Trinity/Del Norte/Siskiyou/Tehama' WHEN 'Siskiyou' THEN 'Trinity/Del Norte/Siskiyou/Tehama' WHEN 'Tehama' THEN 'Trinity/Del Norte/Siskiyou/Tehama' WHEN 'Kern' THEN 'Kern'
+    WHEN 'Napa' THEN 'Napa' END"""
+DISPOSITIONS_SQL = """CASE code
+    WHEN '10' THEN 'Dismissed' WHEN '12' THEN 'Transferred' WHEN '13' THEN 'Remanded to Adult Court' WHEN '14' THEN 'Deported'
+    WHEN '15' THEN 'Traffic Court' WHEN '16' THEN 'Direct File - Adult Court' WHEN '20' THEN 'Informal Probation (654 WI)' WHEN '21' THEN 'Informal Probation (654.2 WI)'
+    WHEN '30' THEN 'Non-Ward Probation (725(a) WI)' WHEN '40' THEN 'Wardship (Own/Relative''s Home)' WHEN '41' THEN 'Wardship (Non-secure County Facility)' WHEN '42' THEN 'Wardship (Secure County Facility - Includes Electronic Monitoring)'
+    WHEN '43' THEN 'Wardship (Other Public Facility)' WHEN '44' THEN 'Wardship (Private Facility)' WHEN '49' THEN 'Wardship (Other)' WHEN '50' THEN 'Wardship (CYA)'
+    WHEN '60' THEN 'Diversion' WHEN '61' THEN 'Deferred Entry of Judgment' END"""
 
 
 # --- text, numbers and dates -----------------------------------------------------------
@@ -52,7 +71,7 @@ def checked_dates(spark, d):
     )
 
 
-@query("race_codes", f"SELECT code, {_case(recode.RACE_CODES, 'code')} AS label, count(*) AS n FROM (SELECT substr('12345678 9ABCDFGHIJKLOPSUVWXZ', CAST(c_custkey % 29 + 1 AS INTEGER), 1) AS code FROM customer) GROUP BY ALL")
+@query("race_codes", f"SELECT code, {RACES_SQL} AS label, count(*) AS n FROM (SELECT substr('12345678 9ABCDFGHIJKLOPSUVWXZ', CAST(c_custkey % 29 + 1 AS INTEGER), 1) AS code FROM customer) GROUP BY ALL")
 def race_codes(spark, d):
     code = F.expr("substring('12345678 9ABCDFGHIJKLOPSUVWXZ', CAST(c_custkey % 29 + 1 AS INT), 1)")
     coded = read(spark, d, "customer").select(code.alias("code"))
@@ -60,10 +79,9 @@ def race_codes(spark, d):
 
 
 _COUNTIES = [*(c for g in recode.COUNTY_GROUPS for c in g), "Kern", "Napa"]
-_GROUPED = {c: "/".join(g) for g in recode.COUNTY_GROUPS for c in g}
 
 
-@query("county_groups", f"SELECT county, {_case(_GROUPED | {'Kern': 'Kern', 'Napa': 'Napa'}, 'county')} AS grouped, count(*) AS n FROM (SELECT [{', '.join(repr(c) for c in _COUNTIES)}][CAST(s_suppkey % {len(_COUNTIES)} + 1 AS INTEGER)] AS county FROM supplier) GROUP BY ALL")
+@query("county_groups", f"SELECT county, {GROUPS_SQL} AS grouped, count(*) AS n FROM (SELECT [{', '.join(repr(c) for c in _COUNTIES)}][CAST(s_suppkey % {len(_COUNTIES)} + 1 AS INTEGER)] AS county FROM supplier) GROUP BY ALL")
 def county_groups(spark, d):
     names = F.array(*(F.lit(c) for c in _COUNTIES))
     county = F.element_at(names, (F.col("s_suppkey") % len(_COUNTIES) + 1).cast("int"))
@@ -223,7 +241,7 @@ def clean_dispositions(spark, d):
 _CODES = [*recode.JUVENILE_DISPOSITIONS, "11"]
 
 
-@query("juvenile_referrals", f"SELECT referral_source, detention, {_case(recode.JUVENILE_DISPOSITIONS, 'code')} AS disposition, referral_county_name, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 3 = 2 THEN 'School' ELSE 'Law Enforcement Agency' END AS referral_source, CASE WHEN c_custkey % 5 < 2 THEN 'Detained - Secure Facility' ELSE 'Not Detained' END AS detention, [{', '.join(repr(c) for c in _CODES)}][CAST(c_custkey % {len(_CODES)} + 1 AS INTEGER)] AS code, c_mktsegment AS referral_county_name FROM customer) GROUP BY ALL")
+@query("juvenile_referrals", f"SELECT referral_source, detention, {DISPOSITIONS_SQL} AS disposition, referral_county_name, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 3 = 2 THEN 'School' ELSE 'Law Enforcement Agency' END AS referral_source, CASE WHEN c_custkey % 5 < 2 THEN 'Detained - Secure Facility' ELSE 'Not Detained' END AS detention, [{', '.join(repr(c) for c in _CODES)}][CAST(c_custkey % {len(_CODES)} + 1 AS INTEGER)] AS code, c_mktsegment AS referral_county_name FROM customer) GROUP BY ALL")
 def juvenile_referrals(spark, d):
     id_ = F.col("c_custkey")
     raw = read(spark, d, "customer").select(
