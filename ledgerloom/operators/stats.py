@@ -141,28 +141,3 @@ def polynomial(rows: DataFrame, keys: Sequence[str], x: str, y: str, degree: int
             yield pd.DataFrame(out, columns=[*keys, "coefficients", "sigma"])
 
     return sums.mapInPandas(solve, schema)
-
-
-def loess(rows: DataFrame, keys: Sequence[str], x: str, y: str, span: float = 0.75) -> DataFrame:
-    """keys, x and the local linear fit with tricube weights at each of the group's points; groups must fit a task."""
-    schema = T.StructType([*(T.StructField(k, rows.schema[k].dataType) for k in keys), T.StructField(x, T.DoubleType()), T.StructField("smooth", T.DoubleType())])
-    columns = list(keys)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[x].to_numpy(float), pdf[y].to_numpy(float)
-        n = len(a)
-        q = min(n, max(2, math.ceil(span * n)))
-        out = []
-        for x0 in a:
-            d = np.abs(a - x0)
-            h = max(np.sort(d)[q - 1], 1e-12)
-            w = np.clip(1 - (d / h) ** 3, 0, None) ** 3
-            m = np.stack([np.ones(n), a - x0], 1) * np.sqrt(w)[:, None]
-            out.append(float(np.linalg.lstsq(m, b * np.sqrt(w), rcond=None)[0][0]))
-        made = pd.DataFrame({x: a, "smooth": out})
-        for k in columns:
-            made[k] = pdf[k].iloc[0]
-        return made[[*columns, x, "smooth"]]
-
-    there = rows.select(*keys, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y)).na.drop(subset=[x, y])
-    return there.groupBy(*keys).applyInPandas(fit, schema)

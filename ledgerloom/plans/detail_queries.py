@@ -217,7 +217,7 @@ RAW_DISPOSITIONS = f"""{ARRESTS}, raw AS (SELECT db_id, CASE WHEN db_id % 2 = 0
     c AS (SELECT *, (birth_year = 1899 AND birth_month = 99 AND birth_day = 99) AS gone FROM b),
     e AS (SELECT db_id, court_year, nullif(court_month, 0) AS court_month, nullif(court_day, 0) AS court_day, arrest_year, nullif(arrest_month, 0) AS arrest_month, nullif(arrest_day, 0) AS arrest_day,
         CASE WHEN NOT gone AND birth_year <> 0 THEN birth_year END AS birth_year, CASE WHEN NOT gone AND birth_month <> 0 THEN birth_month END AS birth_month, CASE WHEN NOT gone AND birth_day <> 0 THEN birth_day END AS birth_day FROM c)
-    SELECT db_id, court_year, birth_year, birth_month, birth_day,
+    SELECT db_id, court_year, birth_year, birth_month, birth_day, arrest_year - birth_year - CASE WHEN arrest_month < birth_month THEN 1 ELSE 0 END AS age,
         CAST(try_strptime(printf('%04d-%02d-%02d', court_year, court_month, court_day), '%Y-%m-%d') AS DATE) - CAST(try_strptime(printf('%04d-%02d-%02d', arrest_year, arrest_month, arrest_day), '%Y-%m-%d') AS DATE) AS days_to_disposition FROM e""",
 )
 def clean_dispositions(spark, d):
@@ -235,7 +235,7 @@ def clean_dispositions(spark, d):
         F.when(lost, 99).otherwise((id_ % 13).cast("int")).alias("birth_month"),
         F.when(lost, 99).otherwise((id_ % 28).cast("int")).alias("birth_day"),
     )
-    return cleaning.clean_dispositions(raw).select("db_id", "court_year", "birth_year", "birth_month", "birth_day", "days_to_disposition")
+    return cleaning.clean_dispositions(raw).select("db_id", "court_year", "birth_year", "birth_month", "birth_day", "age", "days_to_disposition")
 
 
 _CODES = [*recode.JUVENILE_DISPOSITIONS, "11"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..durable import cut
 from ..functions import dates, parsing, predicates, recode
-from ..operators import aggregates, joins, profile, reshape, risk, sequences, stats, suppress
+from ..operators import aggregates, joins, local_fit, profile, reshape, risk, sequences, stats, suppress
 from ..sources import fixed_width, manifest
 from . import cleaning, release, standins, summaries
 from .standins import ARRESTS, DEMOGRAPHICS, JURISDICTIONS, LINE_YEARS, RECORDS, read
@@ -762,6 +762,22 @@ def jeffreys_interval(spark, d):
     return stats.jeffreys(rates, "hits", "n")
 
 
+@query(
+    "local_fit",
+    """WITH p AS (SELECT o_orderpriority AS k, CAST(CAST(o_orderdate AS DATE) - DATE '1992-01-01' AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(o_totalprice AS DOUBLE)) AS DOUBLE) AS sy FROM orders GROUP BY ALL),
+    q AS (SELECT k, ceil(0.3 * sum(n)) AS q FROM p GROUP BY k),
+    pairs AS (SELECT a.k, a.x, a.n AS m, b.x - a.x AS d, b.n, b.sy, sum(b.n) OVER (PARTITION BY a.k, a.x ORDER BY abs(b.x - a.x)) AS reached FROM p a JOIN p b ON a.k = b.k),
+    h AS (SELECT k, x, min(abs(d)) AS h FROM pairs JOIN q USING (k) WHERE reached >= q GROUP BY k, x),
+    w AS (SELECT p.*, pow(1 - pow(abs(d) / h, 3), 3) AS w FROM pairs p JOIN h USING (k, x) WHERE abs(d) < h),
+    s AS (SELECT k, x, m, sum(w * n) AS s0, sum(w * n * d) AS s1, sum(w * n * d * d) AS s2, sum(w * sy) AS t0, sum(w * sy * d) AS t1 FROM w GROUP BY k, x, m)
+    SELECT k, x, CAST(m AS BIGINT) AS n, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 3) AS smooth FROM s""",
+)
+def local_line(spark, d):
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    orders = read(spark, d, "orders").select(F.col("o_orderpriority").alias("k"), days.alias("x"), "o_totalprice")
+    return local_fit.loess(orders, ["k"], "x", "o_totalprice", 0.3, 256).withColumn("smooth", F.round("smooth", 3))
+
+
 @query("density", f"WITH {ARRESTS}, g AS (SELECT unnest([10.0, 30.0, 50.0, 70.0])::DOUBLE AS x) SELECT x, round(avg(exp(-pow((x - age) / 5.0, 2) / 2) / (5.0 * sqrt(2 * pi()))), 9) AS density FROM g, arrests WHERE age IS NOT NULL GROUP BY x")
 def density(spark, d):
     return stats.density(standins.arrests(spark, d), "age", [10, 30, 50, 70], 5.0).withColumn("density", F.round("density", 9))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom import __main__ as verbs
 from ledgerloom.durable import checkpoint_dir
 from ledgerloom.functions import predicates, recode
-from ledgerloom.operators import aggregates, joins, ordering, profile, reshape, sequences, stats
+from ledgerloom.operators import aggregates, joins, local_fit, ordering, profile, reshape, sequences, stats
 from ledgerloom.plans import release
 from ledgerloom.sources import catalog, fixed_width, manifest, tabledef, text_tables
 
@@ -127,10 +127,48 @@ def test_statistics_of_known_values(spark):
     assert [round(v, 4) for v in (interval[2]["low"], interval[2]["high"])] == [0.2235, 0.7765]
     assert interval[0]["low"] == pytest.approx(1 - interval[1]["high"], abs=1e-9)
     line = spark.createDataFrame([("g", float(i), 3.0 + 2 * i) for i in range(20)], "k string, x double, y double")
-    smooth = {r["x"]: r["smooth"] for r in stats.loess(line, ["k"], "x", "y").collect()}
+    smooth = {r["x"]: r["smooth"] for r in local_fit.loess(line, ["k"], "x", "y").collect()}
     assert all(v == pytest.approx(3 + 2 * x) for x, v in smooth.items()) and len(smooth) == 20
 
 
+def local_lines(points, span):
+    """By definition, for each distinct x of one group."""
+    a, b = (np.array(c, float) for c in zip(*points))
+    q, out = min(len(a), max(2, math.ceil(span * len(a)))), {}
+    for x0 in set(a.tolist()):
+        d = np.abs(a - x0)
+        w = np.clip(1 - (d / max(np.sort(d)[q - 1], 1e-12)) ** 3, 0, None) ** 3
+        line = np.stack([np.ones(len(a)), a - x0], 1) * np.sqrt(w)[:, None]
+        out[x0] = float(np.linalg.lstsq(line, b * np.sqrt(w), rcond=None)[0][0])
+    return out
+
+
+@pytest.mark.parametrize("span, block", [(0.05, 5), (0.3, 8), (0.75, 4), (1.0, 16), (0.5, 4096)])
+def test_local_lines_over_blocks(spark, span, block):
+    rng = random.Random(block)
+    groups = {
+        None: [(float(rng.randrange(40)), rng.random()) for _ in range(300)],
+        "even": [(i / 10, math.sin(i / 9)) for i in range(150)],
+        "leap": [(x + rng.random(), rng.gauss(x, 1)) for x in [0.0] * 90 + [1e5] * 90],
+        "tail": [(rng.paretovariate(0.5), rng.random()) for _ in range(160)],
+        "same": [(2.0, float(i)) for i in range(9)],
+        "one": [(1.0, 5.0)],
+    }
+    rows = [(k, x, y, "extra") for k, points in groups.items() for x, y in points] + [("even", None, 1.0, ""), ("even", 3.0, math.nan, ""), ("odd", math.inf, 1.0, "")]
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "k string, x double, y double, n string").repartition(5)
+    got = {(r["k"], r["x"]): (r["n"], r["smooth"]) for r in local_fit.loess(table, ["k"], "x", "y", span, block).collect()}
+    want = {(k, x): v for k, points in groups.items() for x, v in local_lines(points, span).items()}
+    assert set(got) == set(want)
+    for key, v in want.items():
+        assert got[key][1] == pytest.approx(v, rel=1e-6, abs=1e-6), key
+    assert sum(n for n, _ in got.values()) == sum(map(len, groups.values()))
+
+
+def test_local_lines_of_nothing(spark):
+    assert local_fit.loess(spark.createDataFrame([], "k string, x int, y int"), ["k"], "x", "y").count() == 0
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_orders_over_many_tasks(spark, parts):
     rng = random.Random(3)
