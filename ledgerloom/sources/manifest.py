@@ -41,8 +41,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def new_rows(rows: DataFrame, existing: DataFrame, key: str = "internal_uid") -> DataFrame:
-    """Rows whose key isn't there yet, each key once."""
-    return rows.join(existing.select(key), key, "left_anti").dropDuplicates([key])
+    """Rows whose key isn't there yet, each key once: of rows that share one, the least in all columns."""
+    least = rows.groupBy(key).agg(F.min(F.struct(*(c for c in rows.columns if c != key))).alias("_row"))
+    return least.join(existing.select(key), key, "left_anti").select(*(key if c == key else F.col(f"_row.`{c}`").alias(c) for c in rows.columns))
 
 
 def append_new(rows: DataFrame, path: str, key: str = "internal_uid") -> dict[str, int]:

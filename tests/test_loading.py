@@ -126,6 +126,37 @@ def test_arrivals_are_loaded_once(spark, tmp_path):
     assert sorted(r["internal_uid"] for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
 
 
+def test_a_batch_of_arrivals_costs_its_own_rows_and_runs_again_without_effect(spark, tmp_path):
+    folder, target, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def load():
+        return arrivals.load_arrivals(spark, str(folder), "internal_uid string, n int", target, state, lambda rows: rows.withColumn("m", F.col("n") * 2))
+
+    (folder / "1.csv").write_text("".join(f"k{i},{i}\n" for i in range(500)))
+    load().awaitTermination()
+    # A batch that was written but not noted as done: its commit goes, and it is run again.
+    (folder / "2.csv").write_text("k1,1\nnew,7\nnew,7\n,8\n,9\n")
+    load().awaitTermination()
+    commits = sorted((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last = commits[-1]
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    query = load()
+    query.awaitTermination()
+    rows = spark.read.parquet(target).collect()
+    assert sorted(str(r["internal_uid"]) for r in rows) == sorted([*(f"k{i}" for i in range(500)), "new", "None"])
+    assert all(r["m"] == 2 * r["n"] for r in rows)
+    assert sum(p["numInputRows"] for p in query.recentProgress) <= 5
+
+
+def test_new_rows_are_the_least_of_their_key(spark):
+    rows = spark.createDataFrame([("a", 3, None), ("a", 2, "x"), ("b", 1, "y"), ("c", 5, "z")], "internal_uid string, n int, t string")
+    for parts in (1, 4):
+        got = manifest.new_rows(rows.repartition(parts), rows.filter("internal_uid = 'b'"))
+        assert got.columns == rows.columns and sorted(tuple(r) for r in got.collect()) == [("a", 2, "x"), ("c", 5, "z")]
+
+
 def test_catalog(spark, tmp_path):
     tables = catalog.Catalog(spark)
     catalog.write_csv(spark.createDataFrame([(1, None), (2, "x")], "a int, b string"), str(tmp_path / "t"))
