@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..durable import cut
+from ..durable import checkpoint_dir, cut
 from ..functions import dates, parsing, predicates, recode
 from ..operators import aggregates, joins, local_fit, profile, reshape, risk, sequences, stats, suppress
-from ..sources import fixed_width, manifest
+from ..sources import fixed_width, manifest, record_files
 from . import cleaning, release, standins, summaries
 from .standins import ARRESTS, DEMOGRAPHICS, JURISDICTIONS, LINE_YEARS, RECORDS, read
 
@@ -191,6 +192,21 @@ def fixed_width_roundtrip(spark, d):
     return typed.select("recno", *(F.col(f.name).cast("int").alias(f.name) if f.is_whole else F.col(f.name) for f in t.fields))
 
 
+@query(
+    "record_files_roundtrip",
+    f"""WITH {RECORDS} SELECT rpad(ncic_jurisdiction, 4, ' ') AS ncic_jurisdiction, arrest_year, arrest_month, offense_level AS level,
+    CASE WHEN regexp_matches(trim(code_text), '^[0-9]+$') THEN try_cast(trim(code_text) AS INTEGER) END AS bcs_offense_code, rpad(coalesce(race, ''), 10, ' ') AS race, age, count(*) AS n
+    FROM (SELECT * REPLACE (CASE offense_level WHEN 'F' THEN 'felony' WHEN 'O' THEN 'other' WHEN 'P' THEN 'petty' END AS offense_level) FROM records) GROUP BY ALL""",
+)
+def record_files_roundtrip(spark, d):
+    """Written as fixed-width files by every task, read again by byte ranges."""
+    t = standins.ARREST_RECORD
+    path = f"{checkpoint_dir(spark)}/records-{uuid.uuid4()}"
+    record_files.write_fixed(standins.records(spark, d), path, t.length)
+    typed = t.typed(t.split(record_files.read_fixed(spark, path, t.length, splitRecords="20000")))
+    return typed.groupBy("ncic_jurisdiction", F.col("arrest_year").cast("int").alias("arrest_year"), F.col("arrest_month").cast("int").alias("arrest_month"), F.col("offense_level").alias("level"), F.col("bcs_offense_code").cast("int").alias("bcs_offense_code"), "race", F.col("age").cast("int").alias("age")).agg(F.count("*").alias("n"))
+
+
 @query(
     "parse_modes",
     f"""WITH {RECORDS} SELECT recno, try_cast(CASE WHEN regexp_matches(trim(code_text), '^[0-9]+$') THEN trim(code_text) END AS INTEGER) AS lenient,
