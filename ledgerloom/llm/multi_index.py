@@ -105,8 +105,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candid
         return empty
     dim, total = lengths["dim"], lengths["n"]
     rows, centroids = rows.filter(F.size("vector") == dim), centroids_for(total)
-    lot = F.pmod(F.xxhash64(F.lit("codebook"), "vec_id"), F.lit(1_000_000)) / 1e6 < F.lit(TRAIN_ROWS / total)
-    sample = rows.filter(lot).select("vec_id", "vector").limit(4 * TRAIN_ROWS).collect() or rows.limit(1).collect()
+    draw = F.xxhash64(F.lit("codebook"), "vec_id")
+    lot = F.pmod(draw, F.lit(1_000_000)) / 1e6 < F.lit(TRAIN_ROWS / total)
+    drawn = rows.select("vec_id", "vector").orderBy(draw, "vec_id", "vector")  # reruns take the same rows
+    sample = drawn.filter(lot).limit(4 * TRAIN_ROWS).collect() or drawn.limit(1).collect()
     sample = np.array([r["vector"] for r in sorted(sample, key=lambda r: (r["vec_id"], r["vector"]))])
     books = spark.sparkContext.broadcast(tuple(fit_codebook(x, centroids) for x in halves(sample)))
 
