@@ -39,8 +39,16 @@ def clean(spark: SparkSession, source: str, target: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
-def anonymize(spark: SparkSession, source: str, target: str, k: int = 5, least: int = 5) -> dict[str, str]:
-    rows = release.protect(release.prepare(spark.read.parquet(source)), release.standard_passes(k, least))
+def anonymize(spark: SparkSession, source: str, target: str, k: int = 5, least: int = 5, counties: str | None = None, groups: str | None = None) -> dict[str, str]:
+    """The release files; ``counties`` is a CSV of code and name, ``groups`` a JSON list of lists of names that become one county."""
+    table = None
+    if counties:
+        joined = []
+        if groups:
+            with open(groups, encoding="utf-8") as f:
+                joined = json.load(f)
+        table = release.county_table(spark.read.schema("code int, name string").option("header", "true").csv(counties), joined)
+    rows = release.protect(release.prepare(spark.read.parquet(source), table), release.standard_passes(k, least))
     return release.write_files(rows, target)
 
 
@@ -51,6 +59,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("target")
     parser.add_argument("--layout")
     parser.add_argument("--length", type=int)
+    parser.add_argument("--counties")
+    parser.add_argument("--groups")
     parser.add_argument("--k", type=int, default=5)
     parser.add_argument("--least", type=int, default=5)
     asked = parser.parse_args(arguments)
@@ -62,7 +72,7 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     elif asked.verb == "clean":
         clean(spark, asked.source, asked.target)
     else:
-        anonymize(spark, asked.source, asked.target, asked.k, asked.least)
+        anonymize(spark, asked.source, asked.target, asked.k, asked.least, asked.counties, asked.groups)
 
 
 if __name__ == "__main__":

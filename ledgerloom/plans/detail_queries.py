@@ -280,6 +280,23 @@ def disposition_shares(spark, d):
     return shares.select("agency", "year", "n", *(F.round(c, 9).alias(c) for c in reports.CLASSES))
 
 
+_DISPOSITIONS = [*reports.COURT, *reports.RELEASED, *reports.DECLINED, "pending"]
+
+
+@query(
+    "disposition_classes",
+    f"""WITH {ARRESTS}, named AS (SELECT ncic_jurisdiction AS agency, CASE WHEN db_id % 3 > 0 THEN [{', '.join(map(repr, _DISPOSITIONS))}][CAST(db_id % 26 + 1 AS INTEGER)] END AS court, CASE WHEN db_id % 5 > 0 THEN [{', '.join(map(repr, _DISPOSITIONS))}][CAST(db_id % 7 + 8 AS INTEGER)] END AS arrest FROM arrests)
+    SELECT agency, CASE WHEN d IN ('acquitted', 'certified_to_juvenile_court', 'convicted', 'defendant_deceased', 'dismissed', 'diversion_dismissed', 'not_guilty_insane') THEN 'crt' WHEN d LIKE 'lea\\_rel\\_%' ESCAPE '\\' THEN 'lea' WHEN d LIKE 'da\\_dec\\_%' ESCAPE '\\' THEN 'da' ELSE d END AS class, count(*) AS n
+    FROM (SELECT agency, coalesce(court, arrest) AS d FROM named) GROUP BY ALL""",
+)
+def disposition_classes(spark, d):
+    id_, named = F.col("db_id"), F.array(*map(F.lit, _DISPOSITIONS))
+    court = F.when(id_ % 3 > 0, F.element_at(named, (id_ % len(_DISPOSITIONS) + 1).cast("int")))
+    arrest = F.when(id_ % 5 > 0, F.element_at(named, (id_ % 7 + 8).cast("int")))
+    classes = reports.classified(reports.disposition_class(court, arrest))
+    return aggregates.counts(standins.arrests(spark, d).select(F.col("ncic_jurisdiction").alias("agency"), classes.alias("class")), ["agency", "class"])
+
+
 @query("median_shares_ranked", f"WITH {SHARES}, m AS (SELECT agency, round(median(crt), 9) AS median FROM shares GROUP BY agency) SELECT agency, median, row_number() OVER (ORDER BY median, agency) AS from_least, row_number() OVER (ORDER BY median DESC, agency) AS from_most FROM m")
 def median_shares_ranked(spark, d):
     shares = reports.disposition_shares(_disposed(spark, d), ["agency", "year"])

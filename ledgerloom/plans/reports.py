@@ -14,6 +14,40 @@ from ..operators.quantiles import quantiles
 #: Where a case ends: in court, with the police, with the prosecutor.
 CLASSES = ("crt", "lea", "da")
 
+# The dispositions of each class, as recorded.
+COURT = ("acquitted", "certified_to_juvenile_court", "convicted", "defendant_deceased", "dismissed", "diversion_dismissed", "not_guilty_insane")
+RELEASED = (
+    "lea_rel_arrestee_exonerated",
+    "lea_rel_complaintant_refuses",
+    "lea_rel_further_investigation",
+    "lea_rel_inadmissable_search",
+    "lea_rel_lack_of_corpus",
+    "lea_rel_other",
+    "lea_rel_unspecified",
+)
+DECLINED = (
+    "da_dec_combined_cases",
+    "da_dec_complaintant_refuses",
+    "da_dec_deferred_recovation_of_parole",
+    "da_dec_inadmissable_search",
+    "da_dec_interest_of_justice",
+    "da_dec_lack_of_cause",
+    "da_dec_lack_of_corpus",
+    "da_dec_other",
+    "da_dec_probation_revoked_1203_2PC",
+    "da_dec_prosecution_prefiling_deferred",
+    "da_dec_witness_unavailable",
+)
+
+
+def classified(disposition: Column) -> Column:
+    """The class of a disposition; one that no class has stays as it is."""
+    of = dict(zip(CLASSES, (COURT, RELEASED, DECLINED), strict=True))
+    out = disposition
+    for name, values in of.items():
+        out = F.when(disposition.isin(*values), F.lit(name)).otherwise(out)
+    return out
+
 
 def disposition_class(court: Column, arrest: Column) -> Column:
     """The court's disposition where there is one, else that of the arrest."""

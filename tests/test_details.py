@@ -227,6 +227,11 @@ def test_the_command_line_takes_records_to_a_release(spark, tmp_path):
     verbs.main(["anonymize", str(tmp_path / "year"), steps[3], "--k", "3", "--least", "1"], spark)
     files = {n: spark.read.option("header", "true").csv(f"{steps[3]}/{n}") for n in ("all", "released", "complaint_sought")}
     assert files["all"].count() == 60 == files["released"].count() + files["complaint_sought"].count()
+    (tmp_path / "counties.csv").write_text("code,name\n19,North County\n34,South County\n40,East County\n")
+    (tmp_path / "groups.json").write_text(json.dumps([["North", "South"]]))
+    verbs.main(["anonymize", str(tmp_path / "year"), str(tmp_path / "grouped"), "--k", "1", "--least", "1", "--counties", str(tmp_path / "counties.csv"), "--groups", str(tmp_path / "groups.json")], spark)
+    grouped = spark.read.option("header", "true").csv(str(tmp_path / "grouped" / "all"))
+    assert {r["county"] for r in grouped.collect()} == {"1"} and grouped.count() == 60
     assert "ncic_jurisdiction" not in files["all"].columns and set(files["complaint_sought"].select("disposition").distinct().toPandas()["disposition"]) == {"complaint sought"}
 
 
