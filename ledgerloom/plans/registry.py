@@ -786,12 +786,12 @@ def jeffreys_interval(spark, d):
     h AS (SELECT k, x, min(abs(d)) AS h FROM pairs JOIN q USING (k) WHERE reached >= q GROUP BY k, x),
     w AS (SELECT p.*, pow(1 - pow(abs(d) / h, 3), 3) AS w FROM pairs p JOIN h USING (k, x) WHERE abs(d) < h),
     s AS (SELECT k, x, m, sum(w * n) AS s0, sum(w * n * d) AS s1, sum(w * n * d * d) AS s2, sum(w * sy) AS t0, sum(w * sy * d) AS t1 FROM w GROUP BY k, x, m)
-    SELECT k, x, CAST(m AS BIGINT) AS n, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 3) AS smooth FROM s""",
+    SELECT k, x, CAST(m AS BIGINT) AS n, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 1) AS smooth FROM s""",
 )
 def local_line(spark, d):
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
     orders = read(spark, d, "orders").select(F.col("o_orderpriority").alias("k"), days.alias("x"), "o_totalprice")
-    return local_fit.loess(orders, ["k"], "x", "o_totalprice", 0.3, 256).withColumn("smooth", F.round("smooth", 3))
+    return local_fit.loess(orders, ["k"], "x", "o_totalprice", 0.3, 256).withColumn("smooth", F.round("smooth", 1))
 
 
 @query("density", f"WITH {ARRESTS}, g AS (SELECT unnest([10.0, 30.0, 50.0, 70.0])::DOUBLE AS x) SELECT x, round(avg(exp(-pow((x - age) / 5.0, 2) / 2) / (5.0 * sqrt(2 * pi()))), 9) AS density FROM g, arrests WHERE age IS NOT NULL GROUP BY x")
