@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,8 +76,9 @@ def top_share(shared: DataFrame, keep: float, form: str = "above", name: str = "
 
     above: cumulative share over 1 - keep; with_next: also the largest unit not above it;
     strict: units strictly larger than the last one below it.
+    The cut is the decimal 1 - keep: in doubles 1 - 0.95 lies above 0.05, and a share of just that would fall short.
     """
-    cut = 1 - keep
+    cut = float(1 - Decimal(str(keep)))
     if form == "above":
         return shared.filter(F.col(name) > cut)
     if form == "with_next":

@@ -256,3 +256,13 @@ def test_layouts_from_rows():
     table = tabledef.TableDef.from_rows("short", rows, 6)
     assert [f.name for f in table.fields] == ["age"] and table.length == 6 and table.fields[0].is_whole
     assert tabledef.TableDef.of("made", [("db_id", 1, 2, "bigserial")]).fields[0].is_serial
+
+
+def test_a_share_of_just_the_cut_lies_on_it(spark):
+    from ledgerloom.operators.sequences import top_share
+
+    shared = spark.createDataFrame([(1, 1, 0.01), (2, 1, 0.02), (3, 3, 0.05), (4, 95, 1.0)], "u int, n int, share_below double")
+    found = lambda *how: sorted(r["u"] for r in top_share(shared, *how).collect())
+    assert found(0.95) == [4] and found(0.95, "with_next") == [2, 3, 4]
+    ties = spark.createDataFrame([(1, 1, 0.01), (2, 2, 0.02), (3, 2, 0.04), (4, 96, 1.0)], "u int, n int, share_below double")
+    assert sorted(r["u"] for r in top_share(ties, 0.98, "strict").collect()) == [2, 3, 4]
