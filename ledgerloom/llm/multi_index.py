@@ -3,14 +3,15 @@
 Both halves of the vectors are quantised apart, with codebooks that grow with the root of the
 number of vectors, up to ``MOST_CENTROIDS``, fitted on a bounded sample (``TRAIN_ROWS``); a
 vector's list is the pair of its centroids.  A query goes through the pairs in order of
-summed distance, with a heap over the two sorted rows of distances, until the lists it has
-gone through hold ``share`` of all vectors, or ``candidates`` if that's given; their entries
-are ranked by the exact inner product, in double precision, ties to the smaller id.
+summed distance until the lists it has gone through hold ``share`` of all vectors, or
+``candidates`` if that's given; their entries are ranked by the exact inner product, in
+double precision, ties to the smaller id.
 
 Every vector is indexed.  Lists with one first centroid lie together, in blocks of bounded
 size, so that a hot list is many blocks; queries are sent to the blocks that they visit, with
 the second centroids visited there.  A task holds the vectors of one block, and queries go
-past them a few at a time; only beyond ``QUERIES_A_BLOCK`` queries are blocks repeated.
+past them a few at a time, each with the score that it has found so often already in blocks
+before; only beyond ``QUERIES_A_BLOCK`` queries are blocks repeated.
 
 Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
 components take no part, nor do rows without an id; a repeated id is as many candidates, and
@@ -21,7 +22,6 @@ neighbours are in all directions: ``share`` must be high for a high recall.
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -38,6 +38,8 @@ TRAIN_ROWS = 8192
 VECTORS_A_PAIR, LEAST_CENTROIDS, MOST_CENTROIDS = 2, 16, 512
 #: Vectors that a task holds, queries that go past them together, queries for which a block is sent once.
 VECTORS_A_BLOCK, QUERIES_AT_ONCE, QUERIES_A_BLOCK = 4096, 256, 8192
+#: Queries of which a task remembers the scores that suffice.
+BOUNDS_HELD = 200_000
 
 
 def fit_codebook(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -67,20 +69,15 @@ def nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return ((centres**2).sum(1)[None, :] - 2 * rows @ centres.T).argmin(1)
 
 
-def visit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int) -> Iterator[tuple[int, int]]:
-    """Pairs by summed distance until their lists hold ``wanted`` entries (multi-sequence)."""
-    a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    heap, seen, held = [(float(first[a[0]] + second[b[0]]), 0, 0)], {(0, 0)}, 0
-    while heap and held < wanted:
-        _, i, j = heapq.heappop(heap)
-        n = counts[a[i], b[j]]
-        if n:
-            held += int(n)
-            yield int(a[i]), int(b[j])
-        for x, y in ((i + 1, j), (i, j + 1)):
-            if x < len(a) and y < len(b) and (x, y) not in seen:
-                seen.add((x, y))
-                heapq.heappush(heap, (float(first[a[x]] + second[b[y]]), x, y))
+def visit(first: np.ndarray, second: np.ndarray, filled: np.ndarray, counts: np.ndarray, wanted: int) -> np.ndarray:
+    """Places in ``filled`` of the pairs gone through by summed distance until their lists hold ``wanted`` entries.
+
+    filled: pairs with entries, as first times the number of second centroids plus second; counts: their
+    entries.  The order is that of a multi-sequence heap; where most pairs are gone through, as on vectors
+    without clusters, one sort of all sums costs far less than a heap's steps.
+    """
+    order = np.argsort((first[:, None] + second[None, :]).ravel()[filled], kind="stable")
+    return order[: np.searchsorted(np.cumsum(counts[order]), wanted) + 1]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -131,18 +128,16 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candid
     @tidy
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = books.value
+        filled = np.flatnonzero(sizes.value)
+        held = sizes.value.ravel()[filled]
         for batch in batches:
             left, right = halves(_matrix(batch.column(1), dim))
-            take, c1, visits = [], [], []
             for i in range(len(left)):
-                goes: dict[int, list[int]] = {}
-                for a, b in visit(-(one @ left[i]), -(two @ right[i]), sizes.value, wanted):
-                    goes.setdefault(a, []).append(b)
-                take += [i] * len(goes)
-                c1 += goes.keys()
-                visits += goes.values()
-            at = pa.array(take, pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(c1, pa.int32()), pa.array(visits, pa.list_(pa.int32()))], names=["vec_id", "vector", "c1", "visits"])
+                first, second = np.divmod(filled[np.sort(visit(-(one @ left[i]), -(two @ right[i]), filled, held, wanted))], len(two))
+                start = np.flatnonzero(np.diff(first, prepend=-1))
+                visits = pa.ListArray.from_arrays(pa.array(np.append(start, len(second)).astype(np.int32)), pa.array(second.astype(np.int32)))
+                at = pa.array(np.full(len(start), i, np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(first[start].astype(np.int32)), visits], names=["vec_id", "vector", "c1", "visits"])
 
     parts = {a: max(1, -(-int(n) // VECTORS_A_BLOCK)) for a, n in enumerate(counts.sum(1))}
     asking = max(1, -(-n_queries // QUERIES_A_BLOCK))
@@ -155,7 +150,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candid
     @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's vectors come first and are held; queries are ranked as they come."""
-        key, parts, held = None, [], None
+        key, parts, held, bounds = None, [], None, {}
         for batch in batches:
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
             at = 0
@@ -170,8 +165,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candid
                 elif parts or held:
                     if held is None:
                         held, parts = block_of(parts), []
+                    if len(bounds) > BOUNDS_HELD:
+                        bounds = {}
                     for q in range(at, i, QUERIES_AT_ONCE):
-                        yield from rank(batch.slice(q, min(QUERIES_AT_ONCE, i - q)), *held)
+                        yield from rank(batch.slice(q, min(QUERIES_AT_ONCE, i - q)), *held, bounds)
                 at = i
 
     def block_of(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,16 +176,18 @@ def search(vectors: DataFrame, is_query, k: int = 20, share: float = 0.6, candid
         c2 = np.concatenate([p.column(6).flatten().to_numpy() for p in parts])
         return ids, np.concatenate([_matrix(p.column(5), dim) for p in parts]), c2
 
-    def rank(asked: pa.RecordBatch, ids: np.ndarray, v: np.ndarray, c2: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def rank(asked: pa.RecordBatch, ids: np.ndarray, v: np.ndarray, c2: np.ndarray, bounds: dict[int, float]) -> Iterator[pa.RecordBatch]:
+        """bounds: by query, a score that k entries of blocks before this one reach; what falls short of it is of no use."""
         asking_ids, q = asked.column(4).to_numpy(), _matrix(asked.column(5), dim)
         goes = np.zeros((len(q), centroids), bool)
-        for i, visited in enumerate(asked.column(6).to_pylist()):
-            goes[i, visited] = True
+        goes[np.repeat(np.arange(len(q)), asked.column(6).value_lengths().to_numpy()), asked.column(6).flatten().to_numpy()] = True
         near = q @ v.T
         near[~goes[:, c2] | (asking_ids[:, None] == ids[None, :])] = -np.inf
         # The product orders; what is near the k-th is scored again, in one fixed order of summation.
         kth = np.partition(near, len(v) - k, axis=1)[:, len(v) - k] if len(v) > k else np.full(len(q), -np.inf)
-        a, b = np.nonzero((near >= np.where(kth > -np.inf, kth - 1e-9 * np.maximum(1, np.abs(kth)), -np.inf)[:, None]) & (near > -np.inf))
+        least = np.maximum(kth, [bounds.get(i, -np.inf) for i in asking_ids.tolist()])
+        bounds.update(zip(asking_ids.tolist(), least.tolist(), strict=True))
+        a, b = np.nonzero((near >= np.where(least > -np.inf, least - 1e-9 * np.maximum(1, np.abs(least)), -np.inf)[:, None]) & (near > -np.inf))
         score = np.concatenate([(q[a[s : s + 50_000]] * v[b[s : s + 50_000]]).sum(1) for s in range(0, max(1, len(a)), 50_000)])
         order = np.lexsort((ids[b], -score, a))
         a, b, score = a[order], b[order], score[order]

@@ -377,3 +377,32 @@ def test_mixing_nothing(spark):
     assert mixing.taken(mixing.queue(empty)).count() == 0 and mixing.draw(empty).count() == 0
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert {r["taken"] for r in mixing.taken(mixing.queue(blank)).collect()} == {0} and mixing.draw(blank).count() == 0
+
+
+def test_pairs_come_in_the_order_of_a_heap_without_its_steps():
+    import cProfile
+    import heapq
+    import pstats
+
+    def by_heap(first, second, counts, wanted):
+        a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
+        heap, seen, held = [(float(first[a[0]] + second[b[0]]), 0, 0)], {(0, 0)}, 0
+        while heap and held < wanted:
+            _, i, j = heapq.heappop(heap)
+            if n := counts[a[i], b[j]]:
+                held += int(n)
+                yield int(a[i]) * len(b) + int(b[j])
+            for x, y in ((i + 1, j), (i, j + 1)):
+                if x < len(a) and y < len(b) and (x, y) not in seen:
+                    seen.add((x, y))
+                    heapq.heappush(heap, (float(first[a[x]] + second[b[y]]), x, y))
+
+    rng = np.random.default_rng(5)
+    for n, m, wanted in ((1, 1, 1), (5, 7, 9), (40, 40, 1), (40, 30, 1800), (30, 40, 10**6)):
+        first, second, counts = rng.normal(size=n), rng.normal(size=m), rng.poisson(2, (n, m))
+        counts[0, 0] += 1
+        filled = np.flatnonzero(counts)
+        work = cProfile.Profile()
+        got = work.runcall(multi_index.visit, first, second, filled, counts.ravel()[filled], wanted)
+        assert filled[got].tolist() == [*by_heap(first, second, counts, wanted)]
+        assert pstats.Stats(work).total_calls < 60
