@@ -12,9 +12,10 @@ merges produce, one for each byte string.  It is compiled into a table of bits,
 each state and a column for each class of symbols; states, and symbols, that the same gadgets
 have gone over are one.  The state that an arc leads to is that of its symbol.
 
-A pre-split word is encoded from left to right by looking up (state, symbol): each place in
-it is reached by at most one accepted sequence, so it holds the state reached and the symbol
-that led there.  The symbols whose labels begin at a place are read off a table of
+A pre-split word is encoded from left to right by looking up (state, symbol), the longest
+label that an arc allows first; where no arc goes on, the search goes back to the last place
+with a shorter one.  Each place is reached by at most one accepted sequence, so none is gone
+through twice.  The symbols whose labels begin at a place are read off a table of
 (node, byte).  Decoding emits the labels of the arcs.
 
 Null texts encode as empty ones: no ids; repeated rows each give a row; columns other than
@@ -24,17 +25,19 @@ texts are encoded whole, in segments cut at spaces, so that only their ids are h
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from .bytelevel import PIECES, Remembered, Vocabulary, chunked, load_vocabulary, special_pattern
-from .durable import small_batches, tidy
+from .durable import give_back, small_batches, tidy
 
 Merge = tuple[int, int, int]
 
@@ -153,25 +156,29 @@ class TokenAutomaton:
             node[last] = ((column[s] >> 3, 1 << (column[s] & 7), (state[s] + 1) * self.wide, s), node[last][1] if last in node else {})
 
     def encode_word(self, word: str | bytes) -> list[int]:
-        """The ids of one pre-split word."""
+        """The ids of one pre-split word; nothing, if the table accepts no sequence for it."""
         data = word.encode() if isinstance(word, str) else word
-        n = len(data)
-        rows, came, bits = [0] * (n + 1), [(0, 0)] * (n + 1), self.bits
-        for i in range(n):
-            row, node = rows[i], self.labelled
-            for j in range(i, n):
+        n, bits, labelled = len(data), self.bits, self.labelled
+        i, row, ids, untried = 0, 0, [], []
+        while i < n:
+            node, j, arcs = labelled, i, []
+            while j < n:
                 found = node.get(data[j])
                 if found is None:
                     break
                 arc, node = found
+                j += 1
                 if arc is not None and bits[row + arc[0]] & arc[1]:
-                    rows[j + 1] = arc[2]
-                    came[j + 1] = (i, arc[3])
-        ids = []
-        while n:
-            n, symbol = came[n]
+                    arcs.append((j, arc))
+            untried.append(arcs)
+            while not untried[-1]:  # nothing goes on from here: back to the last place with a shorter arc
+                untried.pop()
+                if not untried:
+                    return []
+                ids.pop()
+            i, (_, _, row, symbol) = untried[-1].pop()
             ids.append(symbol)
-        return ids[::-1]
+        return ids
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", errors="replace")
@@ -184,7 +191,8 @@ class Encoder:
         self.automaton = automaton
         self.pattern = special_pattern(automaton.special)
         self.pieces = Remembered(automaton.encode_word)
-        self.chunks = Remembered(lambda chunk: self._chunk(" " + chunk))
+        self.chunks = Remembered(self._spaced)
+        self.told = Remembered(lambda chunk: self._told(self._spaced(chunk)))
 
     def _chunk(self, chunk: str) -> list[int]:
         found = PIECES.findall(chunk)
@@ -192,6 +200,19 @@ class Encoder:
             return self.automaton.encode_word(chunk)
         return [i for piece in found for i in self.pieces[piece]]
 
+    def _spaced(self, chunk: str) -> list[int]:
+        """The ids of a chunk and the space before it; of letters only, it is one piece."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.automaton.encode_word(" " + chunk)
+        return self._chunk(" " + chunk)
+
+    def _told(self, ids: list[int]) -> tuple[int, str, bytes]:
+        """Number of ids, the ids joined by commas, and their labels."""
+        texts, labels = self.automaton.texts, self.automaton.labels
+        if len(ids) == 1:
+            return 1, texts[ids[0]], labels[ids[0]]
+        return len(ids), ",".join(map(texts.__getitem__, ids)), b"".join(map(labels.__getitem__, ids))
+
     def segments(self, text: str | None) -> Iterator[list[int]]:
         """The ids of a text, a segment of it at a time."""
         for special, first, rest in chunked(text or "", self.pattern):
@@ -208,24 +229,35 @@ class Encoder:
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids joined by commas, SHA-256 of the decoded text."""
-        n, of_ids, of_text, texts = 0, hashlib.sha256(), hashlib.sha256(), self.automaton.texts
-        for ids in self.segments(text):
-            if ids:
-                of_ids.update(((("," if n else "") + ",".join(map(texts.__getitem__, ids)))).encode())
-                of_text.update(self.automaton.decode(ids).encode())
-                n += len(ids)
+        n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
+        for special, first, rest in chunked(text or "", self.pattern):
+            head = [self.automaton.special[special]] if special else self._chunk(first)
+            told = [*([self._told(head)] if head else []), *map(self.told.__getitem__, rest)]
+            if told:
+                counts, ids, labels = zip(*told, strict=True)
+                of_ids.update((("," if n else "") + ",".join(ids)).encode())
+                of_text.update(b"".join(labels).decode("utf-8", errors="replace").encode())
+                n += sum(counts)
         return n, of_ids.hexdigest(), of_text.hexdigest()
 
 
+def _broadcast(rows: DataFrame, tokenizer_path: str) -> Broadcast:
+    """The compiled automaton, of which the driver's Python keeps nothing."""
+    shared = rows.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
+    give_back()
+    return shared
+
+
 def _scan(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, fields: list[T.StructField], arrays) -> DataFrame:
     """One scan that adds what ``arrays`` makes of an encoder and a batch's texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
+    shared = _broadcast(docs, tokenizer_path)
     rows = small_batches(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), *fields])
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
+        gc.freeze()  # until the task gives back: the automaton is no garbage, and looking through it takes long
         for batch in batches:
             made = arrays(encoder, (t.as_py() for t in batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=schema.names)
@@ -244,7 +276,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
 def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "token_ids") -> DataFrame:
     """id and text of every row of ids; null ids decode as null."""
-    shared = encoded.sparkSession.sparkContext.broadcast(TokenAutomaton(load_vocabulary(tokenizer_path)))
+    shared = _broadcast(encoded, tokenizer_path)
     rows = encoded.select(F.col(id_col), F.col(ids_col).cast("array<int>").alias("ids"))
     schema = T.StructType([T.StructField(id_col, rows.schema[0].dataType), T.StructField("text", T.StringType())])
 

@@ -68,6 +68,13 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(labels, merges, special, byte_ids)
 
 
+def _size(value) -> int:
+    """Rough bytes of what a list or a tuple (count, text, bytes) holds of its own: of one token, the vocabulary holds both."""
+    if isinstance(value, tuple):
+        return 82 + len(value[1]) + len(value[2]) if value[0] > 1 else 0
+    return 8 * len(value) if isinstance(value, list) else 0
+
+
 class Remembered(dict):
     """A task's memory of ``make(key)``, bounded by bytes: when it is full, what was used since the last time stays."""
 
@@ -82,7 +89,7 @@ class Remembered(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        self.bytes += _ENTRY + len(key) + (8 * len(value) if isinstance(value, list) else 0)
+        self.bytes += _ENTRY + len(key) + _size(value)
         self[key] = value
         return value
 

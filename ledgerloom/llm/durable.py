@@ -35,6 +35,7 @@ def small_batches(rows: DataFrame) -> DataFrame:
 
 def give_back() -> None:
     """Returns memory that this process no longer uses."""
+    gc.unfreeze()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -164,3 +164,25 @@ def test_a_very_long_word_is_packed(vocabulary):
         assert counter.count(word) == len(library.encode(word, add_special_tokens=False).ids)
         assert tracemalloc.get_traced_memory()[1] < 20_000_000
         tracemalloc.stop()
+
+
+def test_a_word_is_looked_up_from_where_tokens_begin():
+    class Counting(dict):
+        looked = 0
+
+        def get(self, *key):
+            Counting.looked += 1
+            return super().get(*key)
+
+    vocabulary = small([("a", "b"), ("ab", "c"), ("abc", "abc")])
+    automaton = bpe_automaton.TokenAutomaton(vocabulary)
+    automaton.labelled = Counting(automaton.labelled)
+    assert automaton.encode_word("abc" * 40) == [5] * 20
+    assert Counting.looked == 20
+
+
+def test_what_is_told_of_ids():
+    vocabulary = small([("a", "b"), ("ab", "c")])
+    encoder = bpe_automaton.Encoder(bpe_automaton.TokenAutomaton(vocabulary))
+    ids = [0, 4, 3]
+    assert encoder._told(ids) == (3, "0,4,3", b"aabcab") and encoder._told([4]) == (1, "4", b"abc")
