@@ -168,9 +168,10 @@ def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def norms(ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The root of each row's kernel with itself."""
-    order = np.argsort(ids, axis=1, kind="stable")
-    sorted_ids = np.take_along_axis(ids, order, 1)
-    sums = np.cumsum(np.where(sorted_ids > 0, weights[order], 0.0), 1)
+    kinds, kind = np.unique(weights, return_inverse=True)  # a weight for each stretch: few, so they're sorted along
+    packed = np.sort(ids << 3 | kind.astype(ids.dtype), axis=1)
+    sorted_ids = packed >> 3
+    sums = np.cumsum(np.where(sorted_ids > 0, kinds[packed & 7], 0.0), 1)
     ends = np.ones(sums.shape, bool)
     ends[:, :-1] = sorted_ids[:, 1:] != sorted_ids[:, :-1]
     at_ends = np.where(ends, sums, 0.0)
@@ -189,11 +190,13 @@ class ToxicityModel:
 
     def decide(self, windows: list[str]) -> np.ndarray:
         """The machine's decision for each window; windows of fewer than three characters have none and get the least."""
-        parts = [self.decide_rows(rows := self.symbols.rows(windows[at : at + _AT_ONCE]), norms(*subsequences(rows))) for at in range(0, len(windows), _AT_ONCE)]
+        parts = [self._decide(rows := self.symbols.rows(windows[at : at + _AT_ONCE]), *(found := subsequences(rows)), norms(*found)) for at in range(0, len(windows), _AT_ONCE)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
     def decide_rows(self, rows: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        ids, w = subsequences(rows)
+        return self._decide(rows, *subsequences(rows), norm)
+
+    def _decide(self, rows: np.ndarray, ids: np.ndarray, w: np.ndarray, norm: np.ndarray) -> np.ndarray:
         value = self.weights[ids] @ w / norm + self.bias
         return np.where(rows[:, 2] > 0, np.clip(value, -2.0, 2.0), -2.0)
 

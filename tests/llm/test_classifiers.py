@@ -252,3 +252,28 @@ def test_toxicity_without_both_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["predicted"] for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()} == {0}
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), none)).count() == 0
+
+
+def test_windows_are_decided_from_one_list_of_subsequences(monkeypatch):
+    import pytest
+
+    from ledgerloom.llm import toxicity
+
+    windows = [".idiot.", ".hello.", ".a.", ".bananabanana.", "."]
+    symbols = toxicity.Symbols.of(windows)
+    model = toxicity.ToxicityModel(symbols, np.random.default_rng(1).normal(size=toxicity.SYMBOLS**3).astype(np.float32), 0.1, 1.0, 0.0)
+    calls, made = [], toxicity.subsequences
+    monkeypatch.setattr(toxicity, "subsequences", lambda rows: calls.append(1) or made(rows))
+    got = model.decide(windows)
+    assert len(calls) == 1
+    ids, w = made(symbols.rows(windows))
+    for i in range(len(windows)):
+        held = {}
+        for x, y in zip(ids[i].tolist(), w.tolist(), strict=True):
+            if x:
+                held[x] = held.get(x, 0.0) + y
+        norm = max(sum(v * v for v in held.values()), 1e-30) ** 0.5
+        assert toxicity.norms(ids[i : i + 1], w)[0] == pytest.approx(norm, rel=1e-12)
+        want = sum(float(model.weights[x]) * v for x, v in held.items()) / norm + 0.1 if held else None
+        if want is not None:
+            assert got[i] == pytest.approx(max(-2.0, min(2.0, want + float(model.weights[0]) * w[ids[i] == 0].sum() / norm)), rel=1e-4)
