@@ -38,7 +38,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bytelevel import Remembered
 from .durable import cut, small_batches, tidy
 from .graph import components
 from .mixing import fresh
@@ -72,16 +71,48 @@ def word_hash(word: bytes) -> int:
     return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
 
 
+#: Bytes of a word up to which its hash is the sum of a random number for each place and byte; A-Z have those of a-z.
+_SHORT = 64
+_NUMBER = np.random.default_rng(5).integers(1, 1 << 64, (_SHORT, 256), dtype=np.uint64)
+_NUMBER[:, ord("A") : ord("Z") + 1] = _NUMBER[:, ord("a") : ord("z") + 1]
+_BLANK = np.isin(np.arange(256), [*range(9, 14), 32])
+#: Bytes that are hashed at a time, and a bit more, up to the end of a word.
+_STRETCH = 1 << 20
+
+
 class NGrams:
-    """The hashed n-grams of texts, with a task's memory of words."""
+    """The hashed n-grams of texts."""
 
     def __init__(self, words: int = 5):
-        self.words, self.known = words, Remembered(word_hash, most_bytes=16 << 20)
+        self.words = words
 
     def word_hashes(self, text: str) -> np.ndarray:
         """Of each run of characters other than blanks, A-Z lower-cased; bytes split and lower-case by just these."""
-        found = text.encode().lower().split()
-        return np.fromiter(map(self.known.__getitem__, found), np.uint64, len(found))
+        data = np.frombuffer(text.encode(), np.uint8)
+        if len(data) <= _STRETCH:
+            return self._hashes(data)
+        out, at = [], 0
+        while at < len(data):
+            end = at + _STRETCH
+            while end < len(data) and not (blank := _BLANK[data[end : end + _STRETCH]]).any():
+                end += _STRETCH
+            end = end + int(blank.argmax()) if end < len(data) else len(data)
+            out.append(self._hashes(data[at:end]))
+            at = end
+        return np.concatenate(out)
+
+    def _hashes(self, data: np.ndarray) -> np.ndarray:
+        inside = np.flatnonzero(~_BLANK[data])
+        if not len(inside):
+            return np.zeros(0, np.uint64)
+        first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)  # of each word, among the bytes inside words
+        length = np.diff(first, append=len(inside))
+        place = np.minimum(np.arange(len(inside)) - np.repeat(first, length), _SHORT - 1)
+        out = np.add.reduceat(_NUMBER[place, data[inside]], first)
+        for i in np.flatnonzero(length > _SHORT).tolist():
+            at = inside[first[i]]
+            out[i] = word_hash(data[at : at + length[i]].tobytes().lower())
+        return out
 
     def __call__(self, text: str | None) -> np.ndarray:
         """The sorted distinct n-grams; of fewer words the whole sequence as one."""
@@ -90,8 +121,9 @@ class NGrams:
             return w
         n = len(w) - self.words + 1
         total = np.full(max(n, 1), 0 if n >= 1 else len(w), np.uint64)
+        w = _mixed(w)
         for i in range(min(self.words, len(w))):
-            total = total * _MULTIPLIER + _mixed(w[i : i + n] if n >= 1 else w[i : i + 1])
+            total = total * _MULTIPLIER + (w[i : i + n] if n >= 1 else w[i : i + 1])
         return np.unique(_mixed(total))
 
 

@@ -406,3 +406,16 @@ def test_pairs_come_in_the_order_of_a_heap_without_its_steps():
         got = work.runcall(multi_index.visit, first, second, filled, counts.ravel()[filled], wanted)
         assert filled[got].tolist() == [*by_heap(first, second, counts, wanted)]
         assert pstats.Stats(work).total_calls < 60
+
+
+def test_words_are_hashed_without_a_step_for_each():
+    import cProfile
+    import pstats
+
+    grams, text = jaccard_join.NGrams(), " ".join(f"w{i} W{i}" for i in range(5000))
+    work = cProfile.Profile()
+    got = work.runcall(grams.word_hashes, text)
+    assert len(got) == 10_000 and (got[::2] == got[1::2]).all() and len(set(got.tolist())) == 5000
+    assert pstats.Stats(work).total_calls < 200
+    long = "a b " * 700_000 + "c"  # cut at blanks
+    assert set(grams.word_hashes(long).tolist()) == {int(grams.word_hashes(x)[0]) for x in "abc"}
