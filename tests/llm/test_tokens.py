@@ -186,3 +186,34 @@ def test_what_is_told_of_ids():
     encoder = bpe_automaton.Encoder(bpe_automaton.TokenAutomaton(vocabulary))
     ids = [0, 4, 3]
     assert encoder._told(ids) == (3, "0,4,3", b"aabcab") and encoder._told([4]) == (1, "4", b"abc")
+
+
+def test_many_words_are_encoded_together_as_each_alone(vocabulary, monkeypatch):
+    automaton = bpe_automaton.TokenAutomaton(vocabulary)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaonrish é漢.", k=rng.randint(0, 90))) for _ in range(3000)] + ["", "a" * 500]
+    alone = [automaton.encode_word(w) for w in words]
+    looked = []
+    monkeypatch.setattr(bpe_automaton.TokenAutomaton, "encode_word", lambda self, word, own=bpe_automaton.TokenAutomaton.encode_word: looked.append(word) or own(self, word))
+    ids, counts = bpe_automaton.Words(automaton).encode(words)
+    assert counts.tolist() == [len(x) for x in alone] and ids.tolist() == [i for x in alone for i in x]
+    assert {*looked} == {x for w in words if len(x := w.encode()) > bpe_automaton.SHORT}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_words_together_follow_the_merges_and_unknown_letters_have_none(seed):
+    merges = random_merges(random.Random(seed))
+    automaton = bpe_automaton.TokenAutomaton(small(merges))
+    words = ["".join(x) for n in range(1, 7) for x in itertools.product("abc", repeat=n)] + ["abx", "xab"]
+    ids, counts = bpe_automaton.Words(automaton).encode(words)
+    labels = iter([automaton.labels[i].decode() for i in ids.tolist()])
+    assert [[*itertools.islice(labels, n)] for n in counts.tolist()] == [merged(w, merges) if "x" not in w else [] for w in words]
+
+
+def test_a_memory_of_words_that_is_full_changes_no_digest(vocabulary, whole, monkeypatch):
+    some = [None, *texts(300), None]
+    expected = [*whole.digests(some)]
+    assert expected == [whole.digest(t) for t in some]
+    monkeypatch.setattr(bpe_automaton, "REMEMBERED_BYTES", 1000)
+    monkeypatch.setattr(bpe_automaton, "_GROUP", 500)
+    assert [*encoder(vocabulary).digests(some)] == expected
