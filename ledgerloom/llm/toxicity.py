@@ -40,8 +40,9 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 from hashlib import blake2b
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,7 @@ SYMBOLS = 64
 #: Opens and closes a window's string; no letter.
 END = "."
 _OFFSETS = [(j, k) for j, k in combinations(range(1, STRETCH), 2)]
+_WIDTHS = [8, 12, WIDTH]  # to which windows are filled up, by their length, where they are many
 _AT_ONCE = 2000  # windows whose subsequences are held together
 _WIDE_ROWS = 64  # windows whose kernels with all landmarks are computed together
 _WORK = 1 << 20  # characters whose new strings are scored together
@@ -90,7 +92,7 @@ def joins(words: list[str]) -> list[str]:
     out: list[str] = []
     run, before = "", ""
     for w in words:
-        x = w if len(w) > SHORT and w.isalpha() else letters(w)
+        x = (w if w.isalpha() else letters(w)) if len(w) > SHORT else _short_letters(w)
         if not x:
             continue
         if len(x) == 1:
@@ -115,6 +117,10 @@ def letters(word: str) -> str:
     return low if low.isalpha() else "".join(filter(str.isalpha, low))
 
 
+#: Short words are few and come often.
+_short_letters = lru_cache(1 << 14)(letters)
+
+
 def windows_of(string: str) -> list[str]:
     """The windows of a closed string, each of at most WIDTH characters."""
     if len(string) <= WIDTH:
@@ -149,20 +155,28 @@ class Symbols:
         common = sorted(seen, key=lambda c: (-seen[c], c))[: SYMBOLS - 2]
         return Symbols({c: i + 1 for i, c in enumerate(common)})
 
-    def rows(self, windows: list[str]) -> np.ndarray:
-        """A row of numbers for each window."""
-        number, rare = self.number, SYMBOLS - 1
-        coded = b"".join([bytes([number.get(c, rare) for c in w]).ljust(WIDTH, b"\0") for w in windows])
-        return np.frombuffer(coded, np.uint8).reshape(-1, WIDTH).astype(np.int32)
+    @cached_property
+    def _of_code_point(self) -> np.ndarray:
+        table = np.full(0x110000, SYMBOLS - 1, np.uint8)
+        for c, n in self.number.items():
+            table[ord(c)] = n
+        return table
+
+    def rows(self, windows: list[str], width: int = WIDTH) -> np.ndarray:
+        """A row of numbers for each window, filled up to a width that none exceeds."""
+        lengths = np.fromiter(map(len, windows), np.int64, len(windows))
+        out = np.zeros((len(windows), width), np.int32)
+        out[np.arange(width) < lengths[:, None]] = self._of_code_point[np.frombuffer("".join(windows).encode("utf-32-le", "surrogatepass"), "<u4")]
+        return out
 
 
 def subsequences(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row its subsequences of three (numbers; 0: none) and their weights."""
-    ids, weights = [], []
+    ids, weights, width = [], [], rows.shape[1]
     for j, k in _OFFSETS:
-        a, b, c = rows[:, : WIDTH - k], rows[:, j : WIDTH - k + j], rows[:, k:]
+        a, b, c = rows[:, : width - k], rows[:, j : width - k + j], rows[:, k:]
         ids.append(np.where(c > 0, (a * SYMBOLS + b) * SYMBOLS + c, 0))
-        weights.append(np.full(WIDTH - k, DECAY ** (k + 1)))
+        weights.append(np.full(width - k, DECAY ** (k + 1)))
     return np.concatenate(ids, 1), np.concatenate(weights)
 
 
@@ -190,8 +204,15 @@ class ToxicityModel:
 
     def decide(self, windows: list[str]) -> np.ndarray:
         """The machine's decision for each window; windows of fewer than three characters have none and get the least."""
-        parts = [self._decide(rows := self.symbols.rows(windows[at : at + _AT_ONCE]), *(found := subsequences(rows)), norms(*found)) for at in range(0, len(windows), _AT_ONCE)]
-        return np.concatenate(parts) if parts else np.zeros(0)
+        out, lengths = np.full(len(windows), -2.0), np.fromiter(map(len, windows), np.int64, len(windows))
+        for less, width in pairwise([0, *(_WIDTHS if len(windows) > _AT_ONCE else [WIDTH])]):
+            alike = np.flatnonzero((lengths > less) & (lengths <= width))
+            for at in range(0, len(alike), _AT_ONCE):
+                part = alike[at : at + _AT_ONCE]
+                rows = self.symbols.rows([windows[i] for i in part.tolist()], width)
+                found = subsequences(rows)
+                out[part] = self._decide(rows, *found, norms(*found))
+        return out
 
     def decide_rows(self, rows: np.ndarray, norm: np.ndarray) -> np.ndarray:
         return self._decide(rows, *subsequences(rows), norm)
@@ -231,7 +252,7 @@ class ToxicityModel:
         asked = set().union(*waiting)
         if len(known) * 130 > _MEMORY:
             known.clear()
-        new = [s for s in asked if s not in known]
+        new = [*asked.difference(known)]
         known.update(zip(new, self.decide_strings(new).tolist() if new else [], strict=True))
         for own in waiting:
             yield max(map(known.__getitem__, own), default=-2.0)

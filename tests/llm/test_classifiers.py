@@ -277,3 +277,16 @@ def test_windows_are_decided_from_one_list_of_subsequences(monkeypatch):
         want = sum(float(model.weights[x]) * v for x, v in held.items()) / norm + 0.1 if held else None
         if want is not None:
             assert got[i] == pytest.approx(max(-2.0, min(2.0, want + float(model.weights[0]) * w[ids[i] == 0].sum() / norm)), rel=1e-4)
+
+
+def test_many_short_windows_take_no_room_of_long_ones(monkeypatch):
+    rng = random.Random(2)
+    windows = ["." + "".join(rng.choices("abcdeéñ漢", k=rng.choice([0, 1, 4, 5, 6, 7, 10, 11, 13, 14]))) + "." for _ in range(3 * toxicity._AT_ONCE)] + [".", ""]
+    weights = np.random.default_rng(1).normal(size=toxicity.SYMBOLS**3).astype(np.float32)
+    weights[0] = 0
+    model = toxicity.ToxicityModel(toxicity.Symbols.of([w for w in windows if "漢" not in w]), weights, 0.1, 1.0, 0.0)
+    alone = np.concatenate([model.decide(windows[at : at + 500]) for at in range(0, len(windows), 500)])
+    cells, made = [], toxicity.subsequences
+    monkeypatch.setattr(toxicity, "subsequences", lambda rows: (cells.append(rows.size), made(rows))[1])
+    assert np.allclose(model.decide(windows), alone, rtol=0, atol=1e-12)
+    assert sum(cells) < 0.8 * len(windows) * toxicity.WIDTH
