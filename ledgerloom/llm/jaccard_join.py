@@ -325,6 +325,25 @@ def packed_texts(docs: DataFrame, id_col: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def pressed(rows: DataFrame, text_col: str, back: bool = False) -> DataFrame:
+    """``rows`` with their texts compressed, or ``back`` as they were; for texts that move, as the engine's own files hold them in half again the room."""
+    rows, at = small_batches(rows), rows.columns.index(text_col)
+    schema = T.StructType([*rows.schema.fields])
+    schema.fields[at] = T.StructField(text_col, T.StringType() if back else T.BinaryType())
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        for batch in batches:
+            texts = (t.as_py() for t in batch.column(at))
+            made = [None if t is None else unpress.decompress(t).decode() if back else press.compress(t.encode()) for t in texts]
+            columns = batch.columns
+            columns[at] = pa.array(made, pa.string() if back else pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def verify(blocks: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between the askers (role 0) and the others (role 1) of each block.
 
@@ -391,6 +410,7 @@ def star_pairs(shared: DataFrame, rule: Rule) -> DataFrame:
     The centre of an n-gram is the node, among those with it, that has most shared prefix
     n-grams for its size: an unedited original rather than its edited copies.
     """
+    shared = shared.repartition("node")  # once for the ranks and for the join with them
     rank = shared.groupBy("node").agg((F.count("*") / F.max("n")).alias("rank"))
     sized = shared.join(rank, "node").select("gram", "node", "need", "rest", F.col("n").alias("least"), F.col("n").alias("most"), "rank")
     tops = sized.groupBy("gram").agg(F.max(F.struct("rank", "node", "need", "rest", "least", "most")).alias("top")).select("gram", "top.*")
@@ -476,12 +496,14 @@ def one_of_each_class(docs: DataFrame, rule: Rule | None = None, id_col: str = "
     """The rows of ``docs`` without an id or a word, and one row of each class: its smallest id's.
 
     Where that id is repeated, a row with the text of the least hash, and of those the one
-    with the least columns: so columns must have an order.  Reruns agree.
+    with the least columns: so columns must have an order.  Reruns agree.  Texts move compressed
+    (different texts of one hash and id would be ordered so).
     """
     mine, its_id, its_mark = (fresh(n, docs.columns) for n in ("mark", "first_id", "first_mark"))
     placed = _placed(docs, rule or Rule(), id_col, text_col).filter("component IS NOT NULL")
     first = placed.groupBy("component").agg(F.min(F.struct(id_col, "mark")).alias("least")).select(F.col(f"least.{id_col}").alias(its_id), F.col("least.mark").alias(its_mark))
     linked = F.col(id_col).isNotNull() & F.coalesce(F.col(text_col).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = docs.filter(linked).withColumn(mine, _mark(text_col)).join(first, (F.col(id_col) == F.col(its_id)) & (F.col(mine) == F.col(its_mark)), "left_semi")
+    moved, strings = docs.filter(linked).withColumn(mine, _mark(text_col)), docs.select(text_col).schema[0].dataType == T.StringType()
+    kept = (pressed(moved, text_col) if strings else moved).join(first, (F.col(id_col) == F.col(its_id)) & (F.col(mine) == F.col(its_mark)), "left_semi")
     kept = kept.groupBy(id_col, mine).agg(F.min(F.struct(*docs.columns)).alias("least")).select("least.*")
-    return kept.union(docs.filter(~linked))
+    return (pressed(kept, text_col, back=True) if strings else kept).union(docs.filter(~linked))

@@ -419,3 +419,12 @@ def test_words_are_hashed_without_a_step_for_each():
     assert pstats.Stats(work).total_calls < 200
     long = "a b " * 700_000 + "c"  # cut at blanks
     assert set(grams.word_hashes(long).tolist()) == {int(grams.word_hashes(x)[0]) for x in "abc"}
+
+
+def test_texts_of_kept_rows_move_compressed(spark):
+    texts = ["the same few words again " * 40, "the same few words again " * 40 + "é漢", "other words altogether " * 30, None, " \n"]
+    docs = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, x int")
+    assert [tuple(r) for r in jaccard_join.pressed(jaccard_join.pressed(docs, "text"), "text", back=True).orderBy("doc_id").collect()] == [(i, t, i % 2) for i, t in enumerate(texts)]
+    assert jaccard_join.pressed(docs, "text").schema["text"].dataType.simpleString() == "binary"
+    kept = jaccard_join.one_of_each_class(docs)
+    assert sorted(tuple(r) for r in kept.collect() if r["text"]) == sorted((i, t, i % 2) for i, t in enumerate(texts) if i in (0, 2, 4))
